@@ -21,12 +21,12 @@ def decode_le(parts: Sequence[Column | str], bits32: bool = False) -> Column:
     32-bit integer cannot hold.
     """
     columns = [_col(part).cast("bigint") for part in parts]
-    total = columns[0]
+    total = seen = columns[0]
     for position, byte in enumerate(columns[1:], start=1):
         total = total + byte * F.lit(256**position)
-    lowest = F.least(*columns) if len(columns) > 1 else columns[0]
-    highest = F.greatest(*columns) if len(columns) > 1 else columns[0]
-    valid = (lowest >= 0) & (highest <= 255)
+        seen = seen.bitwiseOR(byte)
+    # All bytes are in range exactly when the union of their bits is.
+    valid = seen.between(0, 255)
     if bits32 and len(columns) >= 4:
         valid = valid & (total < INT32_LIMIT)
     return F.when(valid, total)
@@ -43,9 +43,7 @@ def bits(value: Column | str, count: int, align: str = "left") -> list[Column]:
     digits = F.bin(_col(value).cast("bigint"))
     if align == "positional":
         digits = F.lpad(digits, count, "0")
-    return [
-        F.coalesce(F.substring(digits, i + 1, 1).try_cast("int"), F.lit(0)) for i in range(count)
-    ]
+    return [F.when(F.substring(digits, i + 1, 1) == "1", 1).otherwise(0) for i in range(count)]
 
 
 def with_bits(df, columns: dict[str, tuple[str, int]], align: str = "left"):

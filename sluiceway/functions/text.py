@@ -23,8 +23,8 @@ def from_base64url(c: Column | str) -> Column:
 
 
 def to_base64url(c: Column | str) -> Column:
-    """Text or bytes to URL-safe base64 text."""
-    return F.translate(F.base64(_col(c).cast("binary")), "+/", "-_")
+    """Text or bytes to URL-safe base64 text, without the line breaks that Spark puts in."""
+    return F.translate(F.base64(_col(c).cast("binary")), "+/\r\n", "-_")
 
 
 def clean_number(c: Column | str, to: str = "bigint") -> Column:
@@ -59,7 +59,8 @@ def joined(c: Column | str, separator: str = ",") -> Column:
 
 def tokens(c: Column | str, separator: str = " ") -> Column:
     """Split on a literal separator."""
-    return F.split(_col(c), re.escape(separator))
+    plain = all(ch.isalnum() or ch in " ,;:=/-_&\t" for ch in separator)
+    return F.split(_col(c), separator if plain else f"\\Q{separator}\\E")
 
 
 # The named patterns that a capture template may use.

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.functions.text import from_base64url, utf8
+from sluiceway.functions.text import from_base64url, tokens, utf8
 
 
 def message_text(df: DataFrame, column: str = "value", encoding: str = "utf8") -> Column:
@@ -73,21 +73,27 @@ def parse_or_drop(
     return parsed.where(good).select("_record.*"), parsed.where(~good).drop("_record")
 
 
-def csv_fields(line: Column | str, types: Sequence[tuple[str, str]], separator: str = ",") -> dict[str, Column]:
-    """Typed fields of a separated line, trimmed; a missing or unreadable field is null.
+def parse_lines(
+    df: DataFrame,
+    line: Column,
+    types: Sequence[tuple[str, str]],
+    valid: Callable[[Column], Column] | None = None,
+    separator: str = ",",
+) -> tuple[DataFrame, DataFrame]:
+    """Separated text lines to (typed rows, untouched bad rows).
 
-    The type ``timestamp`` expects ``yyyy-MM-dd HH:mm:ss``.
+    Fields are trimmed; a line with a missing or unreadable field is bad. The type ``timestamp`` expects
+    ``yyyy-MM-dd HH:mm:ss``.
     """
-    line = F.col(line) if isinstance(line, str) else line
-    parts = F.split(line, f"\\Q{separator}\\E")
     fields = {}
     for i, (name, kind) in enumerate(types):
-        text = F.trim(F.get(parts, F.lit(i)))
+        text = F.trim(F.get("_parts", F.lit(i)))
         if kind == "timestamp":
             fields[name] = F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss"))
         else:
             fields[name] = text.try_cast(kind)
-    return fields
+    good, bad = parse_or_drop(df.withColumn("_parts", tokens(line, separator)), fields, valid)
+    return good, bad.drop("_parts")
 
 
 def xml_items(df: DataFrame, column: str, item_schema: str, path: Sequence[str], names: dict[str, str] | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sluiceway.operators.ranking import top_k_per, top_names
-from sluiceway.operators.records import csv_fields, parse_or_drop
+from sluiceway.operators.records import parse_lines
 from sluiceway.operators.tumbling import sliding_sum
 from sluiceway.streaming import batches
 
@@ -28,8 +28,8 @@ SIDES = {"B": "BUYS", "S": "SELLS"}
 
 def parse_orders(messages: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
     """Order lines to (orders, bad lines). A line needs all fields and a known side."""
-    fields = csv_fields(F.col(column).cast("string"), ORDER_FIELDS)
-    return parse_or_drop(messages, fields, lambda order: order["side"].isin(*SIDES))
+    text = F.col(column).cast("string")
+    return parse_lines(messages, text, ORDER_FIELDS, lambda order: order["side"].isin(*SIDES))
 
 
 def side_counts(orders: DataFrame) -> DataFrame:
