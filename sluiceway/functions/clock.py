@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,13 +51,36 @@ def micros(df: DataFrame, column: str) -> Column:
     Integers are epoch milliseconds; text and dates are converted as the session's time zone reads them.
     """
     kind = df.schema[column].dataType.typeName()
-    if kind in ("long", "integer", "short", "byte"):
+    if kind in _INTEGERS:
         return F.col(column).cast("bigint") * 1000
     if kind == "string":
         return F.unix_micros(F.try_to_timestamp(column))
     return F.unix_micros(F.col(column).cast("timestamp"))
 
 
+# Larger than the span of bigint, so that the second number never carries into the first.
+_ORDER_STEP = "20000000000000000000BD"
+_EARLIEST = -(2**62)
+_INTEGERS = ("long", "integer", "short", "byte")
+
+
+def order_value(df: DataFrame, time: Column, tiebreak: Sequence[str]) -> Column:
+    """Sort value of a row for ``min_by`` and ``max_by``: a bigint time, then the tie-break columns.
+
+    Nulls come first. Time alone stays a bigint, and with one integer tie-break column both go into one
+    decimal, because only number buffers let Spark aggregate by hash; a struct, needed for other
+    tie-breaks, means sorting every row before the shuffle.
+    """
+    known = F.coalesce(time, F.lit(_EARLIEST))
+    if not tiebreak:
+        return known
+    if len(tiebreak) == 1 and df.schema[tiebreak[0]].dataType.typeName() in _INTEGERS:
+        step = known.cast("decimal(19,0)") * F.expr(_ORDER_STEP)
+        tie = F.coalesce(F.col(tiebreak[0]).cast("bigint"), F.lit(-(2**63)))
+        return (step + tie.cast("decimal(19,0)")).cast("decimal(38,0)")
+    return F.struct(known, *[F.col(c) for c in tiebreak])
+
+
 _UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
 
 

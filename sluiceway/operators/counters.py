@@ -23,7 +23,7 @@ def _with_previous(
 ) -> DataFrame:
     """Attach the previous reading of the key, and on request its first and last known values."""
     sliced = slices.add_slice(df, time, slice_width)
-    order = slices.row_order(tiebreak)
+    order = slices.row_order(sliced, tiebreak)
     aggs = [F.max_by(c, order).alias(f"_newest_{c}") for c in cols]
     if known_range:
         for c in cols:

@@ -73,7 +73,7 @@ def backfill(
     if fallback not in ("last_known", "oldest_row"):
         raise ValueError(f"fallback must be 'last_known' or 'oldest_row', not {fallback!r}")
     sliced = slices.add_slice(df, time, slice_width)
-    order = slices.row_order(tiebreak)
+    order = slices.row_order(sliced, tiebreak)
     aggs = []
     for c in cols:
         when_known = F.when(F.col(c).isNotNull(), order)

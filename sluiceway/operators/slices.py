@@ -19,11 +19,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from sluiceway.functions.clock import duration_micros, micros
+from sluiceway.functions.clock import duration_micros, micros, order_value
 
 SLICE, TIME, EDGE = "_slice", "_time", "_edge"
 
-# Later than every real time (its negative: earlier), and far enough from the bigint limit for frame arithmetic.
+# Later than every real time, and far enough from the bigint limit for frame arithmetic.
 END_OF_TIME = 2**62
 
 
@@ -34,14 +34,9 @@ def add_slice(df: DataFrame, time: str, width: str) -> DataFrame:
     )
 
 
-def row_order(tiebreak: Sequence[str]) -> Column:
-    """Sort value of a row for ``min_by``/``max_by``: time, then the tie-break columns.
-
-    Without tie-break columns it is one bigint, which keeps the summary a hash aggregate.
-    """
-    if not tiebreak:
-        return F.coalesce(F.col(TIME), F.lit(-END_OF_TIME))
-    return F.struct(F.col(TIME), *[F.col(c) for c in tiebreak])
+def row_order(sliced: DataFrame, tiebreak: Sequence[str]) -> Column:
+    """Sort value of a row within its key, for ``min_by`` and ``max_by``."""
+    return order_value(sliced, F.col(TIME), tiebreak)
 
 
 def summarise(sliced: DataFrame, keys: Sequence[str], *aggs: Column) -> DataFrame:

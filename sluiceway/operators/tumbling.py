@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.functions.clock import duration_micros
+from sluiceway.functions.clock import duration_micros, micros, order_value
 
 
 @dataclass(frozen=True)
@@ -46,8 +46,8 @@ def tumble(
 ) -> DataFrame:
     """Aggregate per key and time window; the window becomes the columns ``start`` and ``end``.
 
-    ``spec`` maps output names to aggregates. ``Last`` and ``Growth`` need ``order``, the columns that
-    put the rows of a window in time order. Everything is combined before the shuffle, so a busy device
+    ``spec`` maps output names to aggregates. ``Last`` and ``Growth`` need ``order``: a time column, and
+    columns that decide between rows of one time. Everything is combined before the shuffle, so a busy device
     sends at most one row per task and window.
     """
     by_edge = {name: agg for name, agg in spec.items() if isinstance(agg, Last | Growth)}
@@ -55,7 +55,7 @@ def tumble(
         raise ValueError("Last and Growth need the order columns")
     needed = sorted({agg.column for agg in by_edge.values()})
     grown = sorted({agg.column for agg in by_edge.values() if isinstance(agg, Growth)})
-    position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    position = order_value(df, micros(df, order[0]), order[1:]) if by_edge else None
     aggs = [agg.alias(name) for name, agg in spec.items() if name not in by_edge]
     aggs += [F.max_by(c, position).alias(f"_last_{c}") for c in needed]
     aggs += [F.min_by(c, position).alias(f"_first_{c}") for c in grown]
