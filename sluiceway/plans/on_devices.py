@@ -42,8 +42,7 @@ def _raw_columns() -> dict[str, str]:
             word = _COUNTER.format(rate=i + 1, jump=900000000 if wide else 40000)
         else:
             word = f"(e * {i + 7} % 5000)"
-        limit = 256 ** len(parts)
-        raw |= {byte: f"CAST(floor({word} % {limit} / {256**j}) AS BIGINT) % 256" for j, byte in enumerate(parts)}
+        raw |= {byte: f"(({word}) >> {8 * j}) & 255" for j, byte in enumerate(parts)}
     return raw
 
 

@@ -212,7 +212,10 @@ def url_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analyse_history(pages.select("page_id", F.expr(_url_sql(True)).alias("url")))
 
 
-_ENTITIES = "replace(replace(replace(replace({c}, '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')"
+# These entities end at a semicolon, or without one, as in HTML.
+_ENTITIES = "regexp_replace({c}, '&quot;?', '\"', 'g')"
+_ENTITIES = f"regexp_replace({_ENTITIES}, '&copy;?', '©', 'g')"
+_ENTITIES = f"regexp_replace(replace({_ENTITIES}, '&middot;', '·'), '&amp;?', '&', 'g')"
 
 
 @query(f"SELECT page_id, {_ENTITIES.format(c=chr(34) + 't' + chr(34))} AS title FROM (SELECT page_id, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS t FROM pages)")
