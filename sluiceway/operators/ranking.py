@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sluiceway.session import hand_over
+
 
 def top_k(df: DataFrame, by: str, k: int = 5, tiebreak: str | None = None) -> DataFrame:
     """The k rows with the largest value; each task keeps its own k first."""
@@ -42,28 +44,19 @@ def sorted_distinct(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct().orderBy(column)
 
 
-def _coarse_step(df: DataFrame, column: str) -> Column:
-    kind = df.schema[column].dataType.typeName()
-    if kind in ("date", "timestamp", "timestamp_ntz"):
-        return F.year(column)
-    if kind == "string":
-        return F.substring(column, 1, 3)
-    return F.floor(F.col(column) / 1000)
-
-
-def value_chunks(df: DataFrame, column: str, size: int = 99, coarse: Column | None = None) -> DataFrame:
+def value_chunks(df: DataFrame, column: str, size: int = 99) -> DataFrame:
     """Distinct values in order, cut into chunks of ``size``: (value, chunk) with chunks from 0.
 
-    ``coarse`` is a never-decreasing function of the value; by default the year of a time, the first
-    characters of a text, the thousands of a number. Values are numbered within a coarse step, and only
-    the step totals are added up in one task.
+    The distinct values are spread over tasks by range and written once, so that each keeps its range.
+    Values are numbered within a range, and only the sizes of the ranges are added up in one task.
     """
-    coarse = _coarse_step(df, column) if coarse is None else coarse
-    values = df.select(column).distinct().withColumn("_step", coarse)
-    steps = values.groupBy(F.col("_step").alias("_of")).agg(F.count(F.lit(1)).alias("_n"))
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = df.select(column).distinct().repartitionByRange(ranges, column)
+    values = hand_over(spread.withColumn("_range", F.spark_partition_id()), "value-ranges")
+    sizes = values.groupBy(F.col("_range").alias("_of")).agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
-    skipped = steps.select("_of", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_skip"))
-    number = F.row_number().over(Window.partitionBy("_step").orderBy(column)) + F.col("_skip")
-    return values.join(skipped, F.col("_step").eqNullSafe(F.col("_of"))).select(
+    skipped = sizes.select("_of", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_skip"))
+    number = F.row_number().over(Window.partitionBy("_range").orderBy(column)) + F.col("_skip")
+    return values.join(skipped, F.col("_range") == F.col("_of")).select(
         column, F.floor((number - 1) / size).cast("int").alias("chunk")
     )
