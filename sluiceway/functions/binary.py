@@ -20,10 +20,12 @@ def decode_le(parts: Sequence[Column | str], bits32: bool = False) -> Column:
     A byte outside 0..255 makes the whole value null. ``bits32`` also nulls values that a signed
     32-bit integer cannot hold.
     """
+    if len(parts) > 7:
+        raise ValueError("at most seven bytes fit a bigint without a sign")
     columns = [_col(part).cast("bigint") for part in parts]
     total = seen = columns[0]
     for position, byte in enumerate(columns[1:], start=1):
-        total = total + byte * F.lit(256**position)
+        total = total.bitwiseOR(F.shiftleft(byte, 8 * position))
         seen = seen.bitwiseOR(byte)
     # All bytes are in range exactly when the union of their bits is.
     valid = seen.between(0, 255)

@@ -27,8 +27,8 @@ class Growth:
 
 
 def any_set(column: str) -> Column:
-    """1 when the 0/1 column was set in any row of the window."""
-    return F.ceil(F.avg(column)).cast("int")
+    """1 when the 0/1 column was set in any row of the window: the mean, rounded up, of such a column."""
+    return F.max(column).cast("int")
 
 
 def mean(column: str, digits: int = 0) -> Column:
