@@ -56,3 +56,30 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND rule_failed IS NULL AS kept, rule_failed
 FROM judged LEFT JOIN failing USING (row_id)
 """
+
+
+def op8_sql() -> str:
+    """Windows joined by their word lists."""
+    words = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS row_id, doc_id, coalesce({words}, []) AS ws FROM documents),
+items AS (SELECT item_id, {words} AS ws FROM benchmark WHERE text IS NOT NULL),
+sized AS (SELECT *, least(13, len(ws)) AS size FROM items WHERE len(ws) > 0),
+phrases AS (
+  SELECT DISTINCT item_id, size, w FROM (
+    SELECT item_id, size, unnest(list_transform(range(1, len(ws) - size + 2), lambda i: ws[i:i + size - 1])) AS w FROM sized)),
+sizes AS (SELECT DISTINCT size FROM phrases),
+windows AS (
+  SELECT row_id, size, unnest(range(1, len(ws) - size + 2)) AS p,
+         unnest(list_transform(range(1, len(ws) - size + 2), lambda i: ws[i:i + size - 1])) AS w
+  FROM docs, sizes WHERE len(ws) >= size),
+found AS (SELECT row_id, p, size, item_id FROM windows JOIN phrases USING (size, w)),
+hits AS (SELECT row_id, count(DISTINCT i) AS n_hit FROM (SELECT row_id, unnest(range(p, p + size)) AS i FROM found) GROUP BY 1),
+of_items AS (
+  SELECT row_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+  FROM (SELECT DISTINCT row_id, item_id FROM found WHERE item_id IS NOT NULL) GROUP BY 1)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM docs LEFT JOIN hits USING (row_id) LEFT JOIN of_items USING (row_id)
+"""

@@ -178,8 +178,9 @@ def certified_cutoffs(
             for i, c in enumerate(r.cutoffs)
         ],
     )
-    tests = counts.select(
+    tests = counts.withColumn("n_strata", F.count("*").over(Window.partitionBy())).select(
         "stratum",
+        "n_strata",
         "n_good",
         F.inline(
             F.array(
@@ -197,11 +198,9 @@ def certified_cutoffs(
         ),
     )
     # A handful of rows per stratum from here on.
-    strata = counts.agg(F.count("*").alias("n_strata"))
     sequence = Window.partitionBy("stratum", "rule").orderBy("step")
     passed = (
-        tests.crossJoin(strata)  # one row: the number of tests
-        .withColumn("p", binomial_at_most(F.col("n_rejected"), F.col("n_good"), limit))
+        tests.withColumn("p", binomial_at_most(F.col("n_rejected"), F.col("n_good"), limit))
         .withColumn("ok", F.col("p") <= F.lit(delta) / (F.col("n_strata") * len(rules)))
         .withColumn("failed", F.sum((~F.col("ok")).cast("int")).over(sequence))
         .where("failed = 0")

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.llm import quality_rules
-from sluiceway.llm.oracles import op1_sql
+import public_tokenizers
+
+from sluiceway.llm import decontamination, quality_rules
+from sluiceway.llm import token_counts as counting
+from sluiceway.llm.oracles import op1_sql, op8_sql
 from sluiceway.plans.registry import Query, table
 
 
@@ -18,6 +21,27 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every text under the 32k piece vocabulary."""
+    return counting.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside passages of the benchmark, and the items found."""
+    found = decontamination.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    ids = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(ids, 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": Query(op1_quality_rules, op1_sql()),
+    "op3_token_counts": Query(op3_token_counts, None),
+    "op8_decontamination": Query(op8_decontamination, op8_sql()),
 }
