@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from sluiceway.llm import decontamination, quality_rules, simhash
+from sluiceway.llm import decontamination, quality_rules, sharding, simhash
 from sluiceway.llm import token_counts as counting
 from sluiceway.llm.oracles import op1_sql, op8_sql
 from sluiceway.plans.registry import Query, table
@@ -31,6 +31,20 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counting.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document; shards have nearly equal bytes and keep equal texts together."""
+    placed = sharding.assign(table(spark, sf_dir, "documents"), shards=16)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside passages of the benchmark, and the items found."""
     found = decontamination.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -49,5 +63,6 @@ QUERIES: dict[str, Query] = {
     "op1_quality_rules": Query(op1_quality_rules, op1_sql()),
     "op2_simhash": Query(op2_simhash, None),
     "op3_token_counts": Query(op3_token_counts, None),
+    "op4_sharding": Query(op4_sharding, None),
     "op8_decontamination": Query(op8_decontamination, op8_sql()),
 }
