@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from sluiceway.llm import decontamination, quality_rules, sharding, simhash
+from sluiceway.llm import decontamination, quality_classifier, quality_rules, sharding, simhash
 from sluiceway.llm import token_counts as counting
 from sluiceway.llm.oracles import op1_sql, op8_sql
 from sluiceway.plans.registry import Query, table
@@ -45,6 +45,16 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from the labelled documents that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
+    labels = table(spark, sf_dir, "labels").where(~held_out)
+    space = quality_classifier.fit(*quality_classifier.labelled_sample(docs, labels))
+    scored = quality_classifier.scores(docs, space)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside passages of the benchmark, and the items found."""
     found = decontamination.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -64,5 +74,6 @@ QUERIES: dict[str, Query] = {
     "op2_simhash": Query(op2_simhash, None),
     "op3_token_counts": Query(op3_token_counts, None),
     "op4_sharding": Query(op4_sharding, None),
+    "op7_quality_classifier": Query(op7_quality_classifier, None),
     "op8_decontamination": Query(op8_decontamination, op8_sql()),
 }
