@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from sluiceway.llm import decontamination, quality_classifier, quality_rules, sharding, simhash
+from sluiceway.llm import decontamination, mixing, quality_classifier, quality_rules, sharding, simhash
 from sluiceway.llm import token_counts as counting
 from sluiceway.llm.oracles import op1_sql, op8_sql
 from sluiceway.plans.registry import Query, table
@@ -45,6 +45,12 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domain posteriors, rate and decision of every document."""
+    labelled = mixing.label_domains(table(spark, sf_dir, "labels"))
+    return mixing.mix(table(spark, sf_dir, "documents"), labelled)
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learned from the labelled documents that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -74,6 +80,7 @@ QUERIES: dict[str, Query] = {
     "op2_simhash": Query(op2_simhash, None),
     "op3_token_counts": Query(op3_token_counts, None),
     "op4_sharding": Query(op4_sharding, None),
+    "op5_mixing": Query(op5_mixing, None),
     "op7_quality_classifier": Query(op7_quality_classifier, None),
     "op8_decontamination": Query(op8_decontamination, op8_sql()),
 }
