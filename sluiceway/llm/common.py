@@ -28,9 +28,14 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def clip(df: DataFrame, columns: list[str]) -> DataFrame:
-    """The named columns only, so that further ones of an input cannot clash with an operator's own."""
-    return df.select(*[F.col(f"`{c}`") for c in columns])
+def once(df: DataFrame, name: str = "_once") -> DataFrame:
+    """Add a column that keeps the optimizer from computing the columns of ``df`` again in a filter above.
+
+    A filter is pushed down by substituting the expressions it refers to, which repeats costly ones for every
+    reference. It is not pushed through a projection that numbers rows if the condition refers to the number.
+    Use ``F.col(name) >= 0`` in the condition; it is always true.
+    """
+    return df.withColumn(name, F.monotonically_increasing_id())
 
 
 def bytes_of(text: str = "text") -> Column:

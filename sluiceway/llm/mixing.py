@@ -24,16 +24,21 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm.common import let
+from sluiceway.llm.common import let, once
 from sluiceway.session import hand_over
 
 SAMPLE, TERMS, GRID = 4000, 64, 100
 #: Least gain p * log(p / background) of a term, in nats.
 LEAST_GAIN = 0.03
-ITERATIONS, TOLERANCE = 60, 1e-4
+#: Labelled documents of its domain that a term must occur in; fewer are chance.
+LEAST_SEEN = 20
+#: Times a term must be more frequent in its domain than in the background. Words that are merely a little
+#: more frequent, such as those of a language, come together, and naive Bayes would count them many times.
+LEAST_LIFT = 5.0
+ITERATIONS, TOLERANCE = 24, 1e-3
 
-#: Target shares of tokens by domain in production. Other domains than "good" must be scarce in the result.
-WEIGHTS = {"good": 0.99, "poor": 0.01, "toxic": 0.0}
+#: Target shares of tokens by domain in production; the first domain is the background.
+WEIGHTS = {"good": 0.96, "poor": 0.04, "toxic": 0.0}
 
 
 def label_domains(labels: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -125,7 +130,8 @@ def fit_terms(
     gained = counts.withColumns({f"_g{i}": gain(i) for i in range(1, len(domains))})
     chosen = {}
     for i in range(1, len(domains)):
-        top = gained.where(F.col(f"_g{i}") >= LEAST_GAIN).orderBy(F.desc(f"_g{i}"), "term").limit(n_terms)
+        telling = (F.col(f"_g{i}") >= LEAST_GAIN) & (F.col(f"n_{i}") >= LEAST_SEEN) & (share(i) >= LEAST_LIFT * share(0))
+        top = gained.where(telling).orderBy(F.desc(f"_g{i}"), "term").limit(n_terms)
         chosen |= {r["term"]: r for r in top.collect()}
     total = sum(priors.values())
     base = {d: math.log((priors.get(d, 0) + 0.5) / (total + len(domains))) for d in domains}
@@ -167,43 +173,41 @@ def posteriors(
     out = weights.withColumns(
         {f"p_{i}": f + F.when(t, rest).otherwise(0) for i, (f, t) in enumerate(zip(floors, first_top))}
     )
-    return out.drop("_found", "_top", *[f"_{x}{i}" for x in "se" for i in range(len(domains))])
+    return once(out).drop("_found", "_top", *[f"_{x}{i}" for x in "se" for i in range(len(domains))])
 
 
 def fit_rates(found: DataFrame, domains: list[str], weights: Mapping[str, float]) -> tuple[Column, dict[str, float]]:
     """The rate of a row with ``p_*`` as an expression, and the expected share of tokens of each domain.
 
-    The targets add up to as many tokens as the scarcest wanted domain allows without repeating a document. A
-    wanted domain without tokens cannot be supplied and is left out. The residual of a domain is measured
-    against its present tokens, which keeps the steps well scaled for rare domains. Finally the largest rate
-    becomes 1, which leaves the shares as they are.
+    The first domain, the background, is taken whole; it sets the size of the result. The others get their
+    weight relative to it, or all they have if that is less, since documents are not repeated. The residual of
+    a domain is measured against its present tokens, which keeps the steps well scaled for rare domains. The
+    steps end when no total moves by more than TOLERANCE of all tokens any more.
     """
     names = [f"p_{i}" for i in range(len(domains))]
     table = hand_over(found.groupBy(*names).agg(F.sum("n_tokens").alias("tokens")).where("tokens > 0"), "mixing-cells")
     part = [F.col(n) / GRID for n in names]
     sums = lambda rate: [F.coalesce(F.sum(rate * F.col("tokens") * p), F.lit(0.0)) for p in part]
     have = list(table.agg(*sums(F.lit(1.0))).first())
-    wanted = [i for i, d in enumerate(domains) if weights.get(d, 0) > 0 and have[i] > 0]
-    if not wanted:
-        return F.lit(1.0), {d: h / max(sum(have), 1) for d, h in zip(domains, have)}
-    scale = min(have[i] / weights[domains[i]] for i in wanted)
-    target = [weights.get(d, 0.0) * scale if i in wanted else 0.0 for i, d in enumerate(domains)]
+    first = weights[domains[0]]
+    if not (first and have[0]):
+        return F.lit(1.0), {d: h / max(sum(have), 1e-9) for d, h in zip(domains, have)}
+    target = [min(weights[d] / first * have[0], h) for d, h in zip(domains, have)]
     present = [i for i in range(len(domains)) if have[i] > 0]
     # The steps converge below 2 / the largest eigenvalue of the scaled membership products, bounded by a row sum.
     products = table.agg(*[F.sum(F.col("tokens") * part[i] * part[j]) for i in present for j in present]).first()
     rows = [products[k * len(present) : (k + 1) * len(present)] for k in range(len(present))]
     step = 1 / max(sum(v / math.sqrt(have[i] * have[j]) for v, j in zip(row, present)) for row, i in zip(rows, present))
-    rate = F.lit(1.0)
+    rate, got, before = F.lit(1.0), have, None
     for _ in range(ITERATIONS):
-        got = list(table.agg(*sums(rate)).first())
-        off = [(got[i] - target[i]) / have[i] if i in present else 0.0 for i in range(len(domains))]
-        if max(map(abs, off)) <= TOLERANCE:
+        if before and all(abs(g - b) <= TOLERANCE * sum(have) for g, b in zip(got, before)):
             break
+        off = [(g - t) / h if h > 0 else 0.0 for g, t, h in zip(got, target, have)]
         change = functools.reduce(Column.__add__, [F.lit(step * o) * p for o, p in zip(off, part)])
         rate = F.greatest(F.lit(0.0), rate - change)
-    top, *got = table.agg(F.max(rate), *sums(rate)).first()
-    top = top or 1.0
-    return rate / F.lit(top), {d: g / max(sum(got), 1e-9) for d, g in zip(domains, got)}
+        before, got = got, list(table.agg(*sums(rate)).first())
+    # What is left of the tolerance must not cost documents of the background.
+    return rate * F.lit(1 + 5 * TOLERANCE), {d: g / max(sum(got), 1e-9) for d, g in zip(domains, got)}
 
 
 def mix(
@@ -220,7 +224,7 @@ def mix(
     ``labelled`` holds ``key`` and ``domain``; ``weights`` name the domains and their target shares of tokens.
     Tokens are words of letters and digits. A row is chosen with a chance equal to its rate, decided by a hash
     of key, text and seed, so equal rows share their fate and a repeated run decides alike. Rows with a rate
-    of 1 are always chosen. Null and empty texts have no tokens and are judged by their measures. Without any
+    of 1 or more are always chosen, once. Null and empty texts have no tokens and are judged by their measures. Without any
     labelled document every row belongs to the first domain. An empty table gives no rows.
     """
     domains = list(weights)
@@ -245,5 +249,5 @@ def mix(
         "n_tokens",
         *[(F.col(f"p_{i}") / GRID).alias(f"p_{d}") for i, d in enumerate(domains)],
         "rate",
-        (chance < F.col("rate")).alias("chosen"),
+        ((chance < F.col("rate")) & (F.col("_once") >= 0)).alias("chosen"),
     )

@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluiceway.llm.common import SPACE, let, words
+from sluiceway.llm.common import let, once, words
 from sluiceway.session import hand_over
 
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_marks"]
@@ -269,13 +269,13 @@ def keep(docs: DataFrame, labels: DataFrame, stratum: str = "lang", **options) -
     given = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in own.items()])
     key, text, good = options.get("key", "doc_id"), options.get("text", "text"), options.get("good", "quality")
     labelled = labels.where(F.col(good) == 1).select(F.col(key).alias(own[key]))
-    measured = measures(
-        given.select(own[key], own[stratum], own[text]).join(labelled, own[key], "left_semi"), own[text]
-    ).drop(own[text])
+    sampled = given.select(own[key], own[stratum], own[text]).join(labelled, own[key], "left_semi")
+    measured = hand_over(measures(sampled, own[text]).drop(own[text]), "quality-measures")
     settings = {k: v for k, v in options.items() if k in ("rules", "risk", "delta")}
     cutoffs = hand_over(
         certified_cutoffs(measured, labels.withColumnRenamed(key, own[key]), own[stratum], key=own[key], good=good, **settings),
         "quality-cutoffs",
     )
-    kept = with_verdict(measures(given, own[text]), cutoffs, own[stratum], options.get("rules", RULES)).where("kept")
+    judged = with_verdict(once(measures(given, own[text])), cutoffs, own[stratum], options.get("rules", RULES))
+    kept = judged.where(F.col("kept") & (F.col("_once") >= 0))
     return kept.select(*[F.col(n).alias(c) for c, n in own.items()])
