@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from sluiceway.llm import decontamination, mixing, quality_classifier, quality_rules, sharding, simhash
+from sluiceway.llm import decontamination, mixing, pseudonyms, quality_classifier, quality_rules, sharding, simhash
 from sluiceway.llm import token_counts as counting
 from sluiceway.llm.oracles import op1_sql, op8_sql
 from sluiceway.plans.registry import Query, table
@@ -75,6 +75,12 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal values replaced. The key of a real run comes from a secret store."""
+    replaced = pseudonyms.pseudonymise(table(spark, sf_dir, "documents"), secret="key of the test tables")
+    return replaced.select("doc_id", "text", F.size("pii_kinds").cast("long").alias("n_replaced"), F.array_join("pii_kinds", ",").alias("kinds"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": Query(op1_quality_rules, op1_sql()),
     "op2_simhash": Query(op2_simhash, None),
@@ -83,4 +89,5 @@ QUERIES: dict[str, Query] = {
     "op5_mixing": Query(op5_mixing, None),
     "op7_quality_classifier": Query(op7_quality_classifier, None),
     "op8_decontamination": Query(op8_decontamination, op8_sql()),
+    "op9_pseudonyms": Query(op9_pseudonyms, None),
 }
