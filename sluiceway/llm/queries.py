@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from sluiceway.llm import decontamination, mixing, pseudonyms, quality_classifier, quality_rules, sharding, simhash
+from sluiceway.llm import decontamination, mixing, pseudonyms, quality_classifier, quality_rules, sharding, simhash, substring_dedup, suffix_dedup
 from sluiceway.llm import token_counts as counting
 from sluiceway.llm.oracles import op1_sql, op8_sql
 from sluiceway.plans.registry import Query, table
@@ -51,6 +51,12 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), labelled)
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document outside passages of 13 words that a smaller document holds."""
+    kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", F.col("n_units").alias("n_words"), "n_removed", "kept_sha256")
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learned from the labelled documents that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -81,13 +87,23 @@ def op9_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replaced.select("doc_id", "text", F.size("pii_kinds").cast("long").alias("n_replaced"), F.array_join("pii_kinds", ",").alias("kinds"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document outside strings of 50 bytes that a smaller document holds."""
+    kept = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id", F.col("n_units").alias("n_bytes"), "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": Query(op1_quality_rules, op1_sql()),
     "op2_simhash": Query(op2_simhash, None),
     "op3_token_counts": Query(op3_token_counts, None),
     "op4_sharding": Query(op4_sharding, None),
     "op5_mixing": Query(op5_mixing, None),
+    "op6_substring_dedup": Query(op6_substring_dedup, None),
     "op7_quality_classifier": Query(op7_quality_classifier, None),
     "op8_decontamination": Query(op8_decontamination, op8_sql()),
     "op9_pseudonyms": Query(op9_pseudonyms, None),
+    "op10_suffix_dedup": Query(op10_suffix_dedup, None),
 }
