@@ -171,13 +171,14 @@ def find_passages(
     [begin, end), items the distinct ids of the items with an occurrence, contaminated means that a twentieth
     of the words or more is hit. Null or empty texts have no words and are clean; null or empty items have no
     phrases; an item without an id counts for spans only. An empty benchmark leaves every document clean.
-    Rows with a null or repeated key are judged each on its own.
+    Rows with a null or repeated key are judged each on its own. Carried columns must not have the names of result
+    columns; other columns may have any.
 
     A benchmark that fits one block, the usual case, costs one pass without a shuffle. With more blocks each
     pass writes its findings, and those of a text are put together by (key, digest of the carried row).
     """
-    own = [F.col(f"`{c}`") for c in dict.fromkeys([key, *carry])]
-    taken = docs.select(*own, bytes_of(text).alias("_bytes"))
+    own = {c: f"_in_{i}" for i, c in enumerate(dict.fromkeys([key, *carry]))}
+    taken = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in own.items()], bytes_of(text).alias("_bytes"))
     blocks = _blocks(benchmark, item, item_text, block_bytes)
     first = Phrases(next(blocks, []), width)
     second = next(blocks, None)
@@ -199,6 +200,5 @@ def find_passages(
         )
         found = grouped.withColumn("_again", F.explode(F.sequence(F.lit(1), "_times"))).drop("_again", "_times", "_row")
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
-    return found.withColumn("n_hit", hit).withColumn(
-        "contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
-    )
+    named = found.select(*[F.col(n).alias(c) for c, n in own.items()], "n_words", "spans", "items", hit.alias("n_hit"))
+    return named.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))

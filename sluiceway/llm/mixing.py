@@ -31,7 +31,7 @@ SAMPLE, TERMS, GRID = 4000, 64, 100
 #: Least gain p * log(p / background) of a term, in nats.
 LEAST_GAIN = 0.03
 #: Labelled documents of its domain that a term must occur in; fewer are chance.
-LEAST_SEEN = 20
+LEAST_SEEN = 5
 #: Times a term must be more frequent in its domain than in the background. Words that are merely a little
 #: more frequent, such as those of a language, come together, and naive Bayes would count them many times.
 LEAST_LIFT = 5.0
@@ -206,8 +206,11 @@ def fit_rates(found: DataFrame, domains: list[str], weights: Mapping[str, float]
         change = functools.reduce(Column.__add__, [F.lit(step * o) * p for o, p in zip(off, part)])
         rate = F.greatest(F.lit(0.0), rate - change)
         before, got = got, list(table.agg(*sums(rate)).first())
-    # What is left of the tolerance must not cost documents of the background.
-    return rate * F.lit(1 + 5 * TOLERANCE), {d: g / max(sum(got), 1e-9) for d, g in zip(domains, got)}
+    # Shares do not change with a common factor. If no rate reaches 1, the largest becomes 1; and what is left of
+    # the tolerance must not cost documents of the background.
+    top = table.agg(F.max(rate)).first()[0]
+    factor = (1 + 5 * TOLERANCE) / min(1.0, top or 1.0)
+    return rate * F.lit(factor), {d: g / max(sum(got), 1e-9) for d, g in zip(domains, got)}
 
 
 def mix(
