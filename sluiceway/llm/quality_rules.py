@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluiceway.llm.common import let, once, words
+from sluiceway.llm.common import let, words
 from sluiceway.session import hand_over
 
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_marks"]
@@ -262,20 +262,16 @@ def with_verdict(measured: DataFrame, cutoffs: DataFrame, stratum: str, rules: t
 def keep(docs: DataFrame, labels: DataFrame, stratum: str = "lang", **options) -> DataFrame:
     """The documents that base rules and certified rules keep, with all their columns.
 
-    The texts are measured twice, once for the cutoffs (labelled documents only) and once for the verdicts:
-    carrying whole texts through the shared folder would cost more.
+    Measured rows go through the shared folder with their columns, about the size of the input: cutoffs need
+    the numbers of all labelled documents before the first verdict. No text is shuffled.
     """
     own = {c: f"_in_{i}" for i, c in enumerate(docs.columns)}
-    given = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in own.items()])
     key, text, good = options.get("key", "doc_id"), options.get("text", "text"), options.get("good", "quality")
-    labelled = labels.where(F.col(good) == 1).select(F.col(key).alias(own[key]))
-    sampled = given.select(own[key], own[stratum], own[text]).join(labelled, own[key], "left_semi")
-    measured = hand_over(measures(sampled, own[text]).drop(own[text]), "quality-measures")
+    given = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in own.items()])
+    measured = hand_over(measures(given, own[text]), "quality-measures")
     settings = {k: v for k, v in options.items() if k in ("rules", "risk", "delta")}
-    cutoffs = hand_over(
-        certified_cutoffs(measured, labels.withColumnRenamed(key, own[key]), own[stratum], key=own[key], good=good, **settings),
-        "quality-cutoffs",
-    )
-    judged = with_verdict(once(measures(given, own[text])), cutoffs, own[stratum], options.get("rules", RULES))
-    kept = judged.where(F.col("kept") & (F.col("_once") >= 0))
+    known = labels.select(F.col(key).alias(own[key]), good)
+    numbers = measured.select(own[key], own[stratum], *MEASURES)
+    cutoffs = certified_cutoffs(numbers, known, own[stratum], key=own[key], good=good, **settings)
+    kept = with_verdict(measured, cutoffs, own[stratum], options.get("rules", RULES)).where("kept")
     return kept.select(*[F.col(n).alias(c) for c, n in own.items()])

@@ -231,7 +231,8 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", **optio
     firsts = hand_over(
         classes.where(F.col(key).eqNullSafe(F.col("component_id"))).groupBy(key).agg(rows), "simhash-firsts"
     )
-    kept = docs.join(firsts.where(F.col(key).isNotNull()).select(key), key, "left_semi")
+    # The keys to keep grow with the input and are never broadcast: the same plan at every size.
+    kept = docs.join(firsts.where(F.col(key).isNotNull()).select(key).hint("merge"), key, "left_semi")
     repeated = firsts.where(F.col(key).isNotNull() & (F.col("rows") > 1)).select(key)
     if not repeated.isEmpty():
         once = kept.join(repeated, key, "left_semi").dropDuplicates([key])
