@@ -14,15 +14,20 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _number(c: Column | str) -> Column:
+    """A packed value as a number; six decimals keep fractions of text, and no integer is rounded."""
+    return _col(c).try_cast("decimal(30,6)")
+
+
 def decode_le(parts: Sequence[Column | str], bits32: bool = False) -> Column:
     """Join byte columns, lowest byte first, into one bigint.
 
-    A byte outside 0..255 makes the whole value null. ``bits32`` also nulls values that a signed
+    A byte outside 0..255, or text that is no number, makes the whole value null. ``bits32`` also nulls values that a signed
     32-bit integer cannot hold.
     """
     if len(parts) > 7:
         raise ValueError("at most seven bytes fit a bigint without a sign")
-    columns = [_col(part).cast("bigint") for part in parts]
+    columns = [_col(part).try_cast("bigint") for part in parts]
     total = seen = columns[0]
     for position, byte in enumerate(columns[1:], start=1):
         total = total.bitwiseOR(F.shiftleft(byte, 8 * position))
@@ -42,7 +47,7 @@ def bits(value: Column | str, count: int, align: str = "left") -> list[Column]:
     """
     if align not in ("left", "positional"):
         raise ValueError(f"align must be 'left' or 'positional', not {align!r}")
-    digits = F.bin(_col(value).cast("bigint"))
+    digits = F.bin(_col(value).try_cast("bigint"))
     if align == "positional":
         digits = F.lpad(digits, count, "0")
     return [F.when(F.substring(digits, i + 1, 1) == "1", 1).otherwise(0) for i in range(count)]
@@ -58,13 +63,13 @@ def with_bits(df, columns: dict[str, tuple[str, int]], align: str = "left"):
 
 
 def low_part(value: Column | str, base: int = 256) -> Column:
-    """Remainder of a packed pair, as int."""
-    return F.round(_col(value) % base).cast("int")
+    """Remainder of a packed pair, as int; null for text that is no number."""
+    return F.round(_number(value) % base).try_cast("int")
 
 
 def high_part(value: Column | str, base: int = 256) -> Column:
-    """Quotient of a packed pair, rounded half up (384 / 256 gives 2), as int."""
-    return F.round(_col(value) / base).cast("int")
+    """Quotient of a packed pair, rounded half up (384 / 256 gives 2), as int; null for text that is no number."""
+    return F.round(_number(value) / base).try_cast("int")
 
 
 def array_pair(array: Column | str, index: int) -> tuple[Column, Column]:

@@ -18,9 +18,9 @@ def previous_month(run_date: dt.date) -> tuple[str, str]:
 
 
 def epoch_ms(c: Column | str) -> Column:
-    """Epoch milliseconds to timestamp, cut to whole seconds."""
+    """Epoch milliseconds to timestamp, cut to whole seconds; null for text that is no number."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.timestamp_seconds(F.floor(c.cast("bigint") / 1000).cast("bigint"))
+    return F.timestamp_seconds(F.floor(c.try_cast("bigint") / 1000).cast("bigint"))
 
 
 def text_time(c: Column | str, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:

@@ -17,6 +17,23 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Elements without an end tag.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+# Elements whose end tag may be omitted, and what begins after their end.
+_BLOCKS = (
+    "address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav "
+    "ol p pre section table ul"
+)
+ENDED_BY = {
+    "li": {"li"},
+    "dt": {"dt", "dd"},
+    "dd": {"dt", "dd"},
+    "p": set(_BLOCKS.split()) | {"li", "dt", "dd", "td", "th", "tr"},
+    "option": {"option", "optgroup"},
+    "td": {"td", "th", "tr", "tbody", "tfoot"},
+    "th": {"td", "th", "tr", "tbody", "tfoot"},
+    "tr": {"tr", "tbody", "tfoot"},
+}
+# A start tag inside one of these ends nothing outside it.
+HOLDS_ITS_OWN = frozenset("ul ol menu dl table select".split())
 
 
 @dataclass(frozen=True)
@@ -46,69 +63,76 @@ class Element:
         return True
 
 
+@dataclass
+class _Open:
+    """An element whose end has not been seen: the record it started, and the fields that read its text."""
+
+    tag: str
+    record: dict[str, str | None] | None
+    reading: list[tuple[dict, str, list[str]]] = field(default_factory=list)
+
+
 class _Collector(HTMLParser):
-    """Collects, per container element, the first value of every wanted field."""
+    """Collects, per container element, the first value of every wanted field.
+
+    Open elements are kept as a stack. A container inside another gives a record of its own; what lies in
+    the inner one lies in the outer one as well. Elements whose end tag may be omitted end where the next
+    one of their kind begins, others at the end of what holds them.
+    """
 
     def __init__(self, container: Element, fields: dict[str, Element]):
         super().__init__(convert_charrefs=True)
         self.container, self.fields = container, fields
         self.records: list[dict[str, str | None]] = []
-        self._record: dict | None = None
-        self._container_tag, self._container_depth = "", 0
-        self._open: list[list] = []  # [field name, tag, depth, text pieces]
+        self._stack: list[_Open] = []
 
     def handle_starttag(self, tag, attrs):
         attrs = {k: v or "" for k, v in attrs}
-        for item in self._open:
-            item[2] += tag == item[1] and tag not in VOID
-        if self._record is not None:
-            self._container_depth += tag == self._container_tag and tag not in VOID
-        elif self.container.matches(tag, attrs):
-            self._record = dict.fromkeys(self.fields)
-            self.records.append(self._record)
-            self._container_tag, self._container_depth = tag, 1
-        if self._record is not None:
+        self._end_omitted(tag)
+        opened = _Open(tag, dict.fromkeys(self.fields) if self.container.matches(tag, attrs) else None)
+        if opened.record is not None:
+            self.records.append(opened.record)
+        for record in [o.record for o in [*self._stack, opened] if o.record is not None]:
             for name, wanted in self.fields.items():
-                if self._record[name] is None and wanted.matches(tag, attrs):
-                    self._take(name, wanted, tag, attrs)
-            if tag in VOID and tag == self._container_tag:
-                self._record = None
-
-    def _take(self, name, wanted, tag, attrs):
-        if wanted.read != "text":
-            self._record[name] = attrs.get(wanted.read)
-        else:
-            self._record[name] = ""
-            if tag not in VOID:
-                self._open.append([name, tag, 1, []])
+                if record[name] is None and wanted.matches(tag, attrs):
+                    if wanted.read != "text":
+                        record[name] = attrs.get(wanted.read)
+                    else:
+                        record[name] = ""
+                        opened.reading.append((record, name, []))
+        if tag not in VOID:
+            self._stack.append(opened)
+
+    def _end_omitted(self, tag: str) -> None:
+        """End open elements that the start of ``tag`` implies."""
+        for at in range(len(self._stack) - 1, -1, -1):
+            there = self._stack[at].tag
+            if tag in ENDED_BY.get(there, ()):
+                self._end(at)
+            elif there in HOLDS_ITS_OWN:
+                return
 
     def handle_data(self, data):
-        for item in self._open:
-            item[3].append(data)
+        for opened in self._stack:
+            for _, _, pieces in opened.reading:
+                pieces.append(data)
 
     def handle_endtag(self, tag):
-        for item in [i for i in self._open if i[1] == tag]:
-            item[2] -= 1
-            if item[2] == 0:
-                self._finish(item)
-        if self._record is not None and tag == self._container_tag:
-            self._container_depth -= 1
-            if self._container_depth == 0:
-                self._leave()
-
-    def _finish(self, item):
-        self._record[item[0]] = "".join(item[3])
-        self._open.remove(item)
-
-    def _leave(self):
-        for item in list(self._open):
-            self._finish(item)
-        self._record = None
+        for at in range(len(self._stack) - 1, -1, -1):
+            if self._stack[at].tag == tag:
+                self._end(at)
+                return
+
+    def _end(self, at: int) -> None:
+        """End the open element at this place of the stack and all inside it."""
+        for opened in self._stack[at:]:
+            for record, name, pieces in opened.reading:
+                record[name] = "".join(pieces)
+        del self._stack[at:]
 
     def close(self):
         super().close()
-        if self._record is not None:
-            self._leave()
+        self._end(0)
 
 
 def page_records(html: str | None, container: Element, fields: dict[str, Element]) -> list[dict]:
@@ -123,7 +147,7 @@ def extract_html(df: DataFrame, column: str, container: Element, fields: dict[st
     """One row per container element: the other columns plus one text column per field.
 
     A field is the first matching element inside the container, or the container itself; null when there
-    is none. Only the page text goes to Python; rows come back as Arrow batches.
+    is none. Containers inside containers give rows of their own. Only the page text goes to Python; rows come back as Arrow batches.
     """
     schema = "array<struct<" + ", ".join(f"`{name}`: string" for name in fields) + ">>"
 

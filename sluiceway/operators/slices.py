@@ -95,11 +95,13 @@ def fit_slice(
     shortest = min(widths, key=duration_micros)
     fine = add_slice(df, time, shortest).groupBy(*keys, SLICE).agg(F.count(F.lit(1)).alias("n"))
     step = duration_micros(shortest)
-    largest = {}
-    for width in widths:
-        coarse = F.floor(F.col(SLICE) * step / duration_micros(width))
-        per_slice = fine.groupBy(*keys, coarse.alias("coarse")).agg(F.sum("n").alias("n"))
-        largest[width] = per_slice.agg(F.max("n")).first()[0] or 0
+    # The small counts are copied once per width and added up for all widths together.
+    wider = [
+        F.struct(F.lit(w).alias("width"), F.floor(F.col(SLICE) * step / duration_micros(w)).alias("coarse")) for w in widths
+    ]
+    per_slice = fine.select(*keys, "n", F.inline(F.array(*wider))).groupBy(*keys, "width", "coarse").agg(F.sum("n").alias("n"))
+    found = {r["width"]: r["n"] for r in per_slice.groupBy("width").agg(F.max("n").alias("n")).collect()}
+    largest = {w: found.get(w, 0) for w in widths}
     for width in sorted(widths, key=duration_micros, reverse=True):
         if largest[width] <= max_rows:
             return width

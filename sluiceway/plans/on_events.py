@@ -147,6 +147,32 @@ def bit_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", *left, *positional)
 
 
+@query(
+    """
+    WITH b AS (SELECT l_orderkey, l_linenumber, l_partkey, l_partkey % 256 AS b0, l_suppkey % 256 AS b1,
+                      l_orderkey % 5 = 0 AS bad FROM lineitem)
+    SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN NOT bad THEN b0 + b1 * 256 END AS u16,
+           CASE WHEN NOT bad THEN CAST(b0 % 256 AS INTEGER) END AS low, CASE WHEN NOT bad THEN b0 % 2 ELSE 0 END AS last_bit FROM b"""
+)
+def decode_text_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SCL1-5, SCL7: bytes that arrive as text, some of them unreadable, which become null and end no job."""
+    bad = F.col("l_orderkey") % 5 == 0
+    rows = table(spark, sf_dir, "lineitem").withColumns(
+        {
+            "b0": F.when(bad, "x").otherwise((F.col("l_partkey") % 256).cast("string")),
+            "b1": (F.col("l_suppkey") % 256).cast("string"),
+        }
+    )
+    return rows.select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        decode_le(["b0", "b1"]).alias("u16"),
+        low_part("b0").alias("low"),
+        bits("b0", 8, "positional")[7].alias("last_bit"),
+    )
+
+
 @query(
     f"""
     WITH p AS (SELECT event_id, {PROPS_K} * 128 + user_id AS a, user_id * 64 AS b FROM events)

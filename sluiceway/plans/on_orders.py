@@ -14,6 +14,7 @@ from sluiceway.plans.registry import query, table
 from sluiceway.session import shared_folder
 from sluiceway.sources.messages import read_folder_stream
 from sluiceway.streaming import batches, orders as order_flow
+from sluiceway.streaming.words import batch_size
 
 _LINES = """
     o AS (SELECT *, CASE o_orderstatus WHEN 'F' THEN 'B' WHEN 'O' THEN 'S' ELSE 'P' END AS side,
@@ -156,13 +157,13 @@ def sorted_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """
     WITH li AS (SELECT l_orderkey, CAST(sum(l_quantity) AS BIGINT) AS quantity, count(*) AS lines FROM lineitem GROUP BY 1),
-    f AS (SELECT *, CASE WHEN o_orderstatus = 'F' THEN 2 ELSE 3 END AS type FROM orders WHERE o_orderstatus IN ('F', 'O'))
+    f AS (SELECT *, CASE o_orderstatus WHEN 'F' THEN 2 WHEN 'O' THEN 3 ELSE 4 END AS type FROM orders)
     SELECT o_orderkey, o_custkey, o_orderstatus, type, c_mktsegment, n_name, coalesce(quantity, 0) AS quantity, coalesce(lines, 0) AS lines
     FROM f LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
     LEFT JOIN li ON o_orderkey = l_orderkey WHERE n_name IS NOT NULL"""
 )
 def left_chain_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JN1-3, SET1, PRJ3-4, NUL1, FLT4: two families, a chain of left joins, zeros and required columns."""
+    """JN1-3, SET1, PRJ3-4, NUL1, FLT4: three families, a chain of left joins, zeros and required columns."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.sum("l_quantity").cast("bigint").alias("quantity"), F.count(F.lit(1)).alias("lines")
@@ -171,9 +172,7 @@ def left_chain_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_custkey").alias("o_custkey"), "c_mktsegment", F.col("c_nationkey").alias("n_nationkey")
     )
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    families = union_families(
-        {2: orders.where(F.col("o_orderstatus") == "F"), 3: orders.where(F.col("o_orderstatus") == "O")}
-    )
+    families = union_families({i: orders.where(F.col("o_orderstatus") == s) for i, s in ((2, "F"), (3, "O"), (4, "P"))})
     rows = chain_left(families, [lines], ["o_orderkey"])
     rows = chain_left(rows, [customers], ["o_custkey"])
     rows = chain_left(rows, [nations], ["n_nationkey"])
@@ -193,17 +192,17 @@ def customer_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'F' THEN '2001' WHEN o_orderstatus = 'O' THEN '2002'
-                                       WHEN o_orderstatus = 'X' THEN '2003' ELSE '2004' END AS adjusted
-    FROM orders WHERE o_orderpriority = '5-LOW' AND strftime(o_orderdate, '%Y%m') >= '199712'"""
+    SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'now' WHEN '2-HIGH' THEN 'today' WHEN '3-MEDIUM' THEN 'week'
+                                            ELSE 'later' END AS due
+    FROM orders WHERE o_orderstatus = 'O' AND strftime(o_orderdate, '%Y-%m') >= '1996-05'"""
 )
 def case_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SCL12, FLT9: text values to codes, with an equality and a text-range filter."""
     orders = table(spark, sf_dir, "orders").where(
-        (F.col("o_orderpriority") == "5-LOW") & (F.date_format("o_orderdate", "yyyyMM") >= "199712")
+        (F.col("o_orderstatus") == "O") & (F.date_format("o_orderdate", "yyyy-MM") >= "1996-05")
     )
-    code = code_of("o_orderstatus", {"F": "2001", "O": "2002", "X": "2003"}, "2004")
-    return orders.select("o_orderkey", "o_custkey", code.alias("adjusted"))
+    due = code_of("o_orderpriority", {"1-URGENT": "now", "2-HIGH": "today", "3-MEDIUM": "week"}, "later")
+    return orders.select("o_orderkey", due.alias("due"))
 
 
 def order_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -227,9 +226,9 @@ def stream_client_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written.where(F.col("batch") == newest).select("clientid", "total")
 
 
-@query(_METRICS.replace("TOP5STOCKS', string_agg(symbol, ',' ORDER BY total DESC, symbol) FROM s", "TOP5STOCKS', 'per window' FROM s GROUP BY 1"))
+@query(_METRICS)
 def stream_order_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STR1, STR4-8, SNK7: the three metric queries of the order stream, run to the end of the input."""
+    """STR1, STR4-8, SNK7: the three metric queries of the order stream; what each wrote for its last batch."""
     folder = shared_folder(spark, "order-metrics")
     running = order_flow.start_order_metrics(
         order_stream(spark, sf_dir),
@@ -239,25 +238,55 @@ def stream_order_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     for one in running:
         one.awaitTermination()
-    text = F.when(F.col("metric") == "TOP5STOCKS", "per window").otherwise(F.concat_ws(",", "values"))
-    return spark.read.parquet(f"{folder}/out").select("metric", text.alias("values")).distinct()
+    out = spark.read.parquet(f"{folder}/out")
+    last = out.groupBy(F.col("query").alias("_q")).agg(F.max("batch").alias("_b"))
+    newest = out.join(last, (F.col("query") == F.col("_q")) & (F.col("batch") == F.col("_b")))
+    return newest.select("metric", F.concat_ws(",", "values").alias("values"))
+
+
+def order_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order stream in four micro-batches that each hold orders of all times, so that most come late."""
+    folder = shared_folder(spark, "order-files")
+    orders = table(spark, sf_dir, "orders")
+    orders.repartition(4, "o_orderkey").write.parquet(folder)
+    schema = orders.schema.simpleString()[len("struct<") : -1].replace(":", " ")
+    rows = read_folder_stream(spark, folder, schema, files_per_batch=1)
+    return order_flow.parse_orders(order_lines(spark, sf_dir, rows))[0]
 
 
 @query(
     f"""
     WITH {_LINES},
     pane AS (SELECT o_orderdate AS p, symbol, CAST(sum(amount) AS BIGINT) AS part FROM o WHERE side IN ('B', 'S') GROUP BY 1, 2),
-    win AS (SELECT p - INTERVAL (15 * i) MINUTE AS s, symbol, CAST(sum(part) AS BIGINT) AS total FROM pane, range(4) r(i) GROUP BY 1, 2),
-    closed AS (SELECT * FROM win WHERE s + INTERVAL 60 MINUTE <= (SELECT max(o_orderdate) FROM o WHERE side IN ('B', 'S')) - INTERVAL 10 MINUTE)
-    SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS "start", symbol, total FROM closed"""
+    win AS (SELECT p - INTERVAL (15 * i) MINUTE AS s, symbol, CAST(sum(part) AS BIGINT) AS total FROM pane, range(4) r(i) GROUP BY 1, 2)
+    SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS "start", symbol, total FROM win"""
 )
 def stream_symbol_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STR4: sliding event-time sums of a stream; only windows that the watermark has closed are written."""
+    """STR4: sliding sums of a stream in several batches: late orders count, open windows are reported."""
     folder = shared_folder(spark, "symbol-volume")
-    timed = order_stream(spark, sf_dir).withWatermark("time", "10 minutes")
-    volume = order_flow.symbol_volume(timed, "60 minutes", "15 minutes")
-    batches.start(
-        volume, f"{folder}/checkpoint", batches.to_folder(f"{folder}/out"), "append", interval=None
-    ).awaitTermination()
-    written = spark.read.parquet(f"{folder}/out")
-    return written.select(F.col("window.start").cast("string").alias("start"), "symbol", "total")
+    add = order_flow.to_panes(f"{folder}/panes", "15 minutes")
+    batches.start(order_batches(spark, sf_dir), f"{folder}/checkpoint", add, interval=None).awaitTermination()
+    windows = order_flow.pane_windows(spark, f"{folder}/panes", "60 minutes", "15 minutes")
+    return windows.select(F.col("window.start").cast("string").alias("start"), "symbol", "total")
+
+
+@query(f"WITH {_LINES} SELECT count(*) AS orders, sum(amount)::BIGINT AS amount, true AS some_late FROM o WHERE side IN ('B', 'S')")
+def stream_late_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR4: the panes hold every order, on time or late; the late ones are reported on the side."""
+    folder = shared_folder(spark, "late-orders")
+    add = order_flow.to_panes(f"{folder}/panes", late=batches.to_folder(f"{folder}/late"))
+    batches.start(order_batches(spark, sf_dir), f"{folder}/checkpoint", add, interval=None).awaitTermination()
+    order_flow.compact_panes(spark, f"{folder}/panes", f"{folder}/compacted")
+    panes = order_flow.read_batches(spark, f"{folder}/compacted")
+    late = spark.read.parquet(f"{folder}/late").agg((F.count("*") > 0).alias("some_late"))
+    sums = panes.agg(F.sum("orders").alias("orders"), F.sum("total").alias("amount"))
+    return sums.withColumn("some_late", F.lit(late.first()["some_late"]))
+
+
+@query(f"WITH {_LINES} SELECT CAST(count(*) AS BIGINT) AS messages, CAST(4 AS BIGINT) AS batches FROM o WHERE side IN ('B', 'S')")
+def stream_batch_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG12: the number of messages of each micro-batch, added up."""
+    folder = shared_folder(spark, "batch-sizes")
+    sizes = batch_size(batches.to_folder(f"{folder}/out"))
+    batches.start(order_batches(spark, sf_dir), f"{folder}/checkpoint", sizes, interval=None).awaitTermination()
+    return spark.read.parquet(f"{folder}/out").agg(F.sum("messages").alias("messages"), F.count("*").alias("batches"))

@@ -42,8 +42,17 @@ def partition_pruned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC1-2, SNK1, FLT10: partitioned write, then a scan of one month's folders only."""
     folder = shared_folder(spark, "orders-by-month")
     write_partitioned(dated_orders(spark, sf_dir), folder, ["year", "month"], sort=["o_orderkey"])
-    typed = spark.read.schema(_DDL).parquet(folder)
-    return typed.where((F.col("year") == "1997") & (F.col("month") == "03"))
+    return read_table(spark, folder, {"year": "1997", "month": "03"})
+
+
+@query(f"SELECT o_orderkey, cents, \"year\", \"month\" FROM ({_ROWS}) WHERE \"year\" IN ('1995', '1997')")
+def partition_rewritten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC1-2, SNK1: rows read from one zone keep their folder names, ``month=03``, in the next one."""
+    first, second = shared_folder(spark, "zone-one"), shared_folder(spark, "zone-two")
+    write_partitioned(dated_orders(spark, sf_dir).select("o_orderkey", "cents", "year", "month"), first, ["year", "month"])
+    for year in ("1995", "1997"):
+        write_partitioned(read_table(spark, first, {"year": year}), second, ["year", "month"])
+    return read_table(spark, second)
 
 
 @query(f"SELECT o_orderkey, cents, \"month\", 'O' AS status, '1' AS load FROM ({_ROWS}) WHERE o_orderstatus = 'O'")
@@ -128,19 +137,21 @@ def insert_and_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN '2001' WHEN o_orderstatus = 'O' THEN '2002' ELSE '2004' END AS adjusted
-    FROM orders WHERE strftime(o_orderdate, '%Y%m') >= '199712'"""
+    SELECT c_mktsegment AS segment, CASE WHEN c_acctbal < 0 THEN 'owing' WHEN c_acctbal < 5000 THEN 'even' ELSE 'rich' END AS standing,
+           count(*) AS customers FROM customer WHERE c_custkey >= 10 GROUP BY ALL"""
 )
 def table_from_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK13, SRC8-10, SCL12: SQL text over a named frame, stored as a new table and read back."""
-    name, folder = new_table(spark, "adjusted")
+    name, folder = new_table(spark, "standings")
     rows = run_sql(
         spark,
         """
-        SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN '2001' WHEN o_orderstatus = 'O' THEN '2002' ELSE '2004' END AS adjusted
-        FROM {orders} WHERE 1 = 1 AND date_format(o_orderdate, 'yyyyMM') >= :month""",
-        {"month": "199712"},
-        orders=table(spark, sf_dir, "orders"),
+        SELECT c_mktsegment AS segment,
+               CASE WHEN c_acctbal < 0 THEN 'owing' WHEN c_acctbal < 5000 THEN 'even' ELSE 'rich' END AS standing,
+               count(*) AS customers
+        FROM {customers} WHERE c_custkey >= :first GROUP BY ALL""",
+        {"first": 10},
+        customers=table(spark, sf_dir, "customer"),
     )
     table_sink.create_table_as(rows, name, folder)
     return select_all(spark, name)
@@ -156,6 +167,24 @@ def truncate_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+@query(
+    """
+    SELECT o_orderkey, "year", half FROM (SELECT o_orderkey, strftime(o_orderdate, '%Y') AS "year",
+           CASE WHEN month(o_orderdate) < 7 THEN 'it''s 1' ELSE 'b\\2' END AS half FROM orders)
+    WHERE "year" <> '1995' AND NOT ("year" IN ('1997', '1998') AND half = 'it''s 1')"""
+)
+def purged_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK15: on two levels, a whole year and one value of listed years are emptied; values hold quotes."""
+    name, folder = new_table(spark, "orders_purged")
+    table_sink.create_table(spark, name, "o_orderkey BIGINT, year STRING, half STRING", folder, partition_by=["year", "half"])
+    half = F.when(F.month("o_orderdate") < 7, "it's 1").otherwise("b\\2")
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy").alias("year"), half.alias("half"))
+    table_sink.overwrite_partitions(rows, name)
+    table_sink.truncate_table(spark, name, {"year": "1995"})
+    table_sink.truncate_table(spark, name, {"year": ["1997", "1998", "2050"], "half": "it's 1"})
+    return spark.table(name)
+
+
 @query(_ROWS)
 def recovered_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK16: folders written beside a table become its partitions."""

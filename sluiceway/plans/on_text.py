@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluiceway.functions.clock import korean_date, month_date
-from sluiceway.functions.text import capture_fields, clean_number, joined, rating, to_base64url
+from sluiceway.functions.text import capture_fields, clean_number, from_base64url, joined, rating, to_base64url, utf8
 from sluiceway.operators import changes
 from sluiceway.operators.columns import fan_out
+from sluiceway.operators.html import Element, extract_html
 from sluiceway.operators.records import json_field, parse_json, parse_json_list, to_json_lines, to_messages, wrap_text
 from sluiceway.operators.words import word_count
 from sluiceway.plans import pages as page_jobs
@@ -96,7 +97,11 @@ def json_route_temperature(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sensor_routes(sensor_messages(table(spark, sf_dir, "events")))["temperature"]
 
 
-@query(_TEMPERATURES)
+@query(
+    f"""
+    SELECT 'temperature' AS output, event_type AS tags, NULL::DOUBLE AS x, NULL::DOUBLE AS y, epoch_us(ts) // 1000000 AS "timestamp", value AS temperature FROM events
+    UNION ALL SELECT 'position', event_type, CAST(user_id AS DOUBLE), {_K}, NULL, NULL FROM events"""
+)
 def stream_message_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR9-10, PRJ13, SRC14: a stream fans out to two tables; the code is that of the batch job."""
     folder = shared_folder(spark, "sensor-tables")
@@ -108,7 +113,8 @@ def stream_message_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         "temperature": (["tags", "data.timestamp", "data.temperature"], batches.to_folder(f"{folder}/temperature")),
     }
     batches.start(parsed, f"{folder}/checkpoint", batches.fan_out_to(outputs), interval=None).awaitTermination()
-    return spark.read.parquet(f"{folder}/temperature").drop("batch")
+    written = [spark.read.parquet(f"{folder}/{name}").drop("batch").withColumn("output", F.lit(name)) for name in outputs]
+    return written[0].unionByName(written[1], allowMissingColumns=True)
 
 
 @query("SELECT user_id AS number, CAST(length(event_type) AS INTEGER) AS option FROM events UNION ALL SELECT event_id, 0 FROM events")
@@ -128,8 +134,7 @@ def json_list_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 def base64url_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SCL20-21: text to URL-safe base64 and back."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", to_base64url("text").alias("coded"))
-    wrapped = F.decode(F.unbase64(F.translate("coded", "-_", "+/")), "UTF-8")
-    return rows.withColumn("text", wrapped)
+    return rows.withColumn("text", utf8(from_base64url("coded")))
 
 
 @query("SELECT text AS comment, CAST(length(text) AS INTEGER) AS n FROM conversations")
@@ -436,3 +441,19 @@ def stream_cdc_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     unwrapped = changes.unwrap_changes(change_messages(customers), ROW_SCHEMA)
     start_latest_changes(unwrapped, ["id"], f"{folder}/out", f"{folder}/checkpoint", interval=None).awaitTermination()
     return read_latest_state(spark, f"{folder}/out", ["id"])
+
+
+@query(
+    """
+    SELECT c_custkey, c_name AS item FROM customer UNION ALL SELECT c_custkey, c_mktsegment || c_nationkey FROM customer
+    UNION ALL SELECT c_custkey, c_nationkey::VARCHAR FROM customer"""
+)
+def html_nested_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC19, SCL30, SCL33: records inside records, some with and some without their end tags."""
+    open_form = F.concat(F.lit("<ul><li>"), "c_name", F.lit("<li>"), "c_mktsegment", F.lit("<ul><li>"), F.col("c_nationkey").cast("string"), F.lit("</ul></ul>"))
+    closed = F.concat(
+        F.lit("<ul><li>"), "c_name", F.lit("</li><li>"), "c_mktsegment", F.lit("<ul><li>"), F.col("c_nationkey").cast("string"), F.lit("</li></ul></li></ul>")
+    )
+    page = F.when(F.col("c_custkey") % 2 == 0, open_form).otherwise(closed)
+    pages = table(spark, sf_dir, "customer").select("c_custkey", page.alias("html"))
+    return extract_html(pages, "html", Element("li"), {"item": Element("li")})

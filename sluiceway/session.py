@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN_FOLDERS: dict[str, str] = {}
+_HANDED_OVER: dict[str, list[str]] = {}
 
 # The JVM interprets, and never compiles, methods above 8000 bytes of code. Wide projections such as the
 # device decoding reach that in one generated method. A cluster sets the same option for its executors.
@@ -40,9 +41,11 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         context = spark.sparkContext
-        if not context.master.startswith("local"):
+        if not (context.master == "local" or context.master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = _OWN_FOLDERS.setdefault(context.applicationId, tempfile.mkdtemp(prefix="sluiceway-"))
+        if context.applicationId not in _OWN_FOLDERS:
+            _OWN_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="sluiceway-")
+        root = _OWN_FOLDERS[context.applicationId]
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
@@ -54,5 +57,19 @@ def hand_over(df: DataFrame, purpose: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_folder(spark, purpose)
+    _HANDED_OVER.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete what ``hand_over`` has written in this application, and return the number of folders.
+
+    Call it at the end of a job, when the results are stored: frames that were handed over cannot be read after.
+    """
+    folders = _HANDED_OVER.pop(spark.sparkContext.applicationId, [])
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+    return len(folders)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,8 @@ from sluiceway.sources.tables import read_csv
 def conform(df: DataFrame, schema: StructType | str, ignore_unknown: bool = True) -> DataFrame:
     """The declared columns with the declared types; missing columns are null.
 
-    A column that is not declared is left out, or an error without ``ignore_unknown``.
+    A column that is not declared is left out, or an error without ``ignore_unknown``. A value that does not
+    fit its declared type ends the job: a table must not lose values without a trace. Use ``try_cast`` before.
     """
     declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     have = {c.lower(): c for c in df.columns}
@@ -118,21 +120,43 @@ def _is_external(spark: SparkSession, table: str) -> bool:
     return spark.catalog.getTable(table).tableType == "EXTERNAL"
 
 
-def truncate_table(spark: SparkSession, table: str, partition: dict[str, str] | None = None) -> None:
-    """Delete all rows, or those of one partition, of an external table too."""
-    where = ""
-    if partition:
-        where = " PARTITION (" + ", ".join(f"{k} = '{v}'" for k, v in partition.items()) + ")"
-    if not _is_external(spark, table):
-        spark.sql(f"TRUNCATE TABLE {table}{where}")
+def _partitions_of(spark: SparkSession, table: str) -> list[dict[str, str]]:
+    """The partitions that the catalog knows, as column to value."""
+    return [
+        {unquote(k): unquote(v) for k, v in (level.split("=", 1) for level in row[0].split("/"))}
+        for row in spark.sql(f"SHOW PARTITIONS {table}").collect()
+    ]
+
+
+def _quoted(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def truncate_table(spark: SparkSession, table: str, partition: dict[str, str | Sequence[str]] | None = None) -> None:
+    """Delete all rows, or those of the matching partitions, of an external table too.
+
+    ``partition`` maps some or all of the partition columns to a value or a list of values; every partition
+    that agrees in these columns is emptied. None matching is no error.
+    """
+    external = _is_external(spark, table)
+    if not partition:
+        if external:
+            overwrite_table(spark.createDataFrame([], spark.table(table).schema), table)
+        else:
+            spark.sql(f"TRUNCATE TABLE {table}")
         return
-    # Spark truncates managed tables only; an overwrite with no rows does the same for the others.
-    kept = [f for f in spark.table(table).schema if f.name not in (partition or {})]
-    nothing = spark.createDataFrame([], StructType(kept))
-    if partition:
-        spark.sql(f"INSERT OVERWRITE TABLE {table}{where} SELECT * FROM {{nothing}}", nothing=nothing)
-    else:
-        overwrite_table(nothing, table)
+    wanted = {k: {v} if isinstance(v, str) else set(v) for k, v in partition.items()}
+    for found in _partitions_of(spark, table):
+        if any(found[k] not in values for k, values in wanted.items()):
+            continue
+        where = "PARTITION (" + ", ".join(f"`{k}` = {_quoted(v)}" for k, v in found.items()) + ")"
+        if not external:
+            spark.sql(f"TRUNCATE TABLE {table} {where}")
+            continue
+        # Spark truncates managed tables only. An overwrite of a partition named in full replaces its rows
+        # whatever the session says about dynamic overwrites.
+        nothing = spark.createDataFrame([], StructType([f for f in spark.table(table).schema if f.name not in found]))
+        spark.sql(f"INSERT OVERWRITE TABLE {table} {where} SELECT * FROM {{nothing}}", nothing=nothing)
 
 
 def drop_table(spark: SparkSession, table: str, purge_data: bool = True) -> None:

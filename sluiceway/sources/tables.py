@@ -4,23 +4,45 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from sluiceway.functions.clock import path_value
 from sluiceway.operators.columns import lower_names
 
 
-def read_table(spark: SparkSession, name: str, partitions: dict[str, str] | None = None) -> DataFrame:
+def read_table(
+    spark: SparkSession, name: str, partitions: dict[str, str] | None = None, schema: StructType | str | None = None
+) -> DataFrame:
     """A catalog table, or a Parquet folder when the name holds a slash.
 
-    ``partitions`` keeps only the matching partition folders; the others are not listed or read.
+    ``partitions`` keeps only the matching partition folders; the others are not listed or read. The partition
+    columns of a folder are text, so ``month=08`` stays ``08`` and can be written on under the same name; a
+    ``schema`` says otherwise for the columns it names.
     """
-    df = spark.read.parquet(name) if "/" in name else spark.table(name)
+    if "/" not in name:
+        df = spark.table(name)
+    else:
+        declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        if declared is None:
+            declared = _with_text_partitions(spark, name)
+        df = spark.read.schema(declared).parquet(name)
     df = lower_names(df)
     for column, value in (partitions or {}).items():
         df = df.where(F.col(column) == value)
     return df
 
 
+def _with_text_partitions(spark: SparkSession, folder: str) -> StructType:
+    """The schema of a folder, its partition columns as text: those that no file holds, at the end."""
+    whole = spark.read.parquet(folder)
+    # The files' own columns, read from one of them as it stands, without folder names.
+    files = whole.select(F.input_file_name().alias("file")).limit(1).collect()
+    if not files:
+        return whole.schema
+    held = {f.name for f in spark.read.parquet(files[0]["file"]).schema}
+    return StructType([f if f.name in held else StructField(f.name, StringType()) for f in whole.schema])
+
+
 def read_raw_zone(
     spark: SparkSession, root: str, parts: dict[str, str], fmt: str = "parquet", schema: str | None = None, **options: str
 ) -> DataFrame:

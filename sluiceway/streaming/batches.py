@@ -45,6 +45,8 @@ def to_folder(path: str) -> BatchFunction:
 
 
 def to_console(rows: int = 20) -> BatchFunction:
+    """Print the first ``rows`` rows of each micro-batch: a preview, not a full output."""
+
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.show(rows, truncate=False)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -48,7 +48,10 @@ def top_clients(totals: DataFrame, k: int = 5) -> DataFrame:
 
 
 def symbol_volume(orders: DataFrame, size: str = "60 minutes", slide: str = "5 minutes") -> DataFrame:
-    """Amount per symbol over sliding windows of event time."""
+    """Amount per symbol over sliding windows of event time.
+
+    On a stream, orders behind the watermark are dropped and open windows wait; ``to_panes`` does neither.
+    """
     return sliding_sum(orders, ["symbol"], "time", "amount", size, slide)
 
 
@@ -77,6 +80,71 @@ def order_metrics(orders: DataFrame) -> DataFrame:
     )
 
 
+PANES = "symbol string, pane struct<start: timestamp, end: timestamp>, total bigint, orders bigint, newest timestamp"
+
+
+def to_panes(
+    path: str, slide: str = "5 minutes", delay: str = "10 minutes", late: batches.BatchFunction | None = None
+) -> batches.BatchFunction:
+    """Add every micro-batch of orders to the amounts per symbol and pane in ``path``.
+
+    No order is dropped: one that comes late counts in the pane of its own time. Orders more than ``delay``
+    older than the newest order of the batches before go to ``late`` as well, if it is given. A repeated batch
+    replaces what it wrote before.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if batch_id == 0:  # so that the folder can be read before it holds a pane
+            spark.createDataFrame([], PANES).write.mode("overwrite").parquet(batches.batch_folder(path, -1))
+        batch.persist()
+        try:
+            if late is not None:
+                known = read_batches(spark, path).where(F.col("batch") < batch_id)
+                newest = known.agg(F.max("newest").alias("newest")).first()["newest"]
+                limit = F.lit(newest).cast("timestamp") - F.expr(f"INTERVAL {delay}")
+                late(batch.where(F.col("time") < limit), batch_id)
+            panes = batch.groupBy("symbol", F.window("time", slide).alias("pane")).agg(
+                F.sum("amount").alias("total"), F.count(F.lit(1)).alias("orders"), F.max("time").alias("newest")
+            )
+            panes.write.mode("overwrite").parquet(batches.batch_folder(path, batch_id))
+        finally:
+            batch.unpersist()
+
+    return write
+
+
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(f"{PANES}, batch bigint").parquet(path)
+
+
+def compact_panes(spark: SparkSession, path: str, target: str) -> None:
+    """Put the panes of all batches together in a new folder that takes the place of the old one.
+
+    Run it between two runs of the stream. The numbers of the batches go on from where they were.
+    """
+    rows = read_batches(spark, path)
+    last = rows.agg(F.max("batch").alias("batch")).first()["batch"]
+    if last is not None:
+        rows.groupBy("symbol", "pane").agg(
+            F.sum("total").alias("total"), F.sum("orders").alias("orders"), F.max("newest").alias("newest")
+        ).write.mode("overwrite").parquet(batches.batch_folder(target, last))
+
+
+def pane_windows(spark: SparkSession, path: str, size: str = "60 minutes", slide: str = "5 minutes") -> DataFrame:
+    """``window, symbol, total`` of every window that an order lies in, those still open included."""
+    panes = read_batches(spark, path).select("symbol", F.col("pane.start").alias("time"), "total")
+    return sliding_sum(panes, ["symbol"], "time", "total", size, slide)
+
+
+def running_top(spark: SparkSession, path: str, size: str = "60 minutes", k: int = 5) -> DataFrame:
+    """(metric, values): the symbols with the largest volume in the panes of the last ``size``."""
+    panes = read_batches(spark, path)
+    newest = panes.agg(F.max("pane.end").alias("end")).first()["end"]
+    recent = panes.where(F.col("pane.start") >= F.lit(newest).cast("timestamp") - F.expr(f"INTERVAL {size}"))
+    return top_names(recent.groupBy("symbol").agg(F.sum("total").alias("total")), "total", "symbol", "TOP5STOCKS", k)
+
+
 def start_order_metrics(
     orders: DataFrame,
     sink_of: Callable[[str], batches.BatchFunction],
@@ -85,28 +153,31 @@ def start_order_metrics(
     size: str = "60 minutes",
     slide: str = "5 minutes",
     delay: str = "10 minutes",
+    late: batches.BatchFunction | None = None,
 ) -> list[StreamingQuery]:
-    """Write the (metric, values) rows of all four metrics.
+    """Write the (metric, values) rows of all four metrics at every batch.
 
-    Three queries share the source: counts per batch without state; one running sum per client; and sums
-    per pane and window, which leave the state when the watermark passes. ``sink_of`` gives the sink of
-    ``sides``, ``clients`` and ``stocks``; each query numbers its own batches, so folders must differ.
+    Three queries share the source: counts per batch without state; one running sum per client; and sums per
+    symbol and pane, kept beside the checkpoint, from which the top stocks of the running ``size`` are ranked at
+    once, not only when a window closes. Late orders count, and go to ``late`` as well. ``sink_of`` gives the
+    sink of ``sides``, ``clients`` and ``stocks``; each query numbers its own batches, so folders must differ.
     """
+    panes = f"{checkpoint}/stock-panes"
+    add = to_panes(panes, slide, delay, late)
+    sinks = {name: sink_of(name) for name in ("sides", "clients", "stocks")}
 
-    def report(name: str, rows_of: Callable[[DataFrame], DataFrame]) -> batches.BatchFunction:
-        sink = sink_of(name)
-
-        def write(batch: DataFrame, batch_id: int) -> None:
-            sink(rows_of(batch), batch_id)
+    def sides(batch: DataFrame, batch_id: int) -> None:
+        sinks["sides"](side_counts(batch), batch_id)
 
-        return write
+    def clients(batch: DataFrame, batch_id: int) -> None:
+        sinks["clients"](top_clients(batch), batch_id)
 
-    def stocks(volume: DataFrame) -> DataFrame:
-        return top_symbols(volume).select("metric", "values")
+    def stocks(batch: DataFrame, batch_id: int) -> None:
+        add(batch, batch_id)
+        sinks["stocks"](running_top(batch.sparkSession, panes, size), batch_id)
 
-    volume = symbol_volume(orders.withWatermark("time", delay), size, slide)
     return [
-        batches.start(orders, f"{checkpoint}/sides", report("sides", side_counts), "append", interval),
-        batches.start(client_totals(orders), f"{checkpoint}/clients", report("clients", top_clients), "complete", interval),
-        batches.start(volume, f"{checkpoint}/stocks", report("stocks", stocks), "append", interval),
+        batches.start(orders, f"{checkpoint}/sides", sides, "append", interval),
+        batches.start(client_totals(orders), f"{checkpoint}/clients", clients, "complete", interval),
+        batches.start(orders, f"{checkpoint}/stocks", stocks, "append", interval),
     ]
