@@ -223,10 +223,10 @@ _DEVICE = {
     "hotwatertemperaturemin": "v",
     "hotwatertemperaturemax": "v + 40",
 }
-_DEVICE_WHERE = "event_type = 'signup' AND v > 20"
+_DEVICE_WHERE = "event_type = 'signup'"
 # Packed codes of an error record: item 0 holds a low part, item 1 a high part.
 _ERROR_CODES = [f"v % 13 + 256 * {i}" if i % 2 == 0 else f"v * {i % 3}" for i in range(18)]
-_ERROR_WHERE = "event_type = 'error' AND v < 30 AND d < 12"
+_ERROR_WHERE = "event_type = 'error'"
 
 
 def error_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -309,9 +309,6 @@ def device_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mart.keep_keys(decoded, failed, ["macaddress"]).select("macaddress", "registerat")
 
 
-_MART_COLUMNS = ["rddata4", "rd_18_19", "tcp0", "statenum"]
-
-
 def _family_sql(number: int, parity: int) -> str:
     errors = ", ".join(f"e.{c}" for c in telemetry.ERROR_FIELDS.values())
     return f"""
@@ -332,18 +329,12 @@ def _mart_sql() -> str:
     versions = ", ".join(
         f"coalesce(first_value({c} IGNORE NULLS) OVER (PARTITION BY macaddress ORDER BY {order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), "
         f"last_value({c} IGNORE NULLS) OVER (PARTITION BY macaddress ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS {c}"
-        for c in mart.VERSIONS[:1]
+        for c in mart.VERSIONS
     )
-    ten_keys = ", ".join(["macaddress", *_ATTRIBUTES, '"year"', '"month"', '"day"'])
-    bucket = "time_bucket(INTERVAL '10 minutes', seen)"
     required = " AND ".join(f"{c} IS NOT NULL" for c in mart.REQUIRED)
     return f"""
-    WITH {_base_sql()}, {_decoded_sql()},
-    ten AS (SELECT {ten_keys}, strftime({bucket}, '%Y-%m-%d %H:%M:%S') AS "start",
-                   CAST(round(CAST(avg(rddata4) AS DECIMAL(28, 8)), 0) AS DOUBLE) AS rddata4,
-                   CAST(round(CAST(avg(rd_18_19) AS DECIMAL(28, 8)), 0) AS DOUBLE) AS rd_18_19,
-                   CAST(ceil(avg(tcp0)) AS INTEGER) AS tcp0, {_struct_last('statenum')} AS statenum
-            FROM decoded GROUP BY {ten_keys}, {bucket}),
+    WITH {_base_sql()}, {_decoded_sql()}, {_repaired_sql()}, {_grown_sql()},
+    ten AS (SELECT * EXCLUDE ("end") FROM ({_windows_sql()})),
     {_side_sql('error_raw', _ERROR_RAW, _ERROR_WHERE)}, {_error_sql()},
     labelled AS (SELECT *, {_LABEL} AS errorlabel FROM error),
     {_side_sql('status_raw', _STATUS, _STATUS_WHERE)}, {_STATUS_SQL},
@@ -365,20 +356,13 @@ def _mart_sql() -> str:
                       AND CAST(a.next_start AS TIMESTAMP) - INTERVAL 1 DAY <= CAST(j."start" AS TIMESTAMP)
                       THEN a.next_lab ELSE errorlabel END AS errorlabel
                FROM joined j JOIN ahead a ON j.macaddress = a.macaddress AND j."start" = a."start")
-    SELECT * EXCLUDE ({mart.VERSIONS[0]}, additionalvalue), CAST(additionalvalue AS VARCHAR) AS additionalvalue, {versions} FROM marked"""
+    SELECT * EXCLUDE ({', '.join(mart.VERSIONS)}, additionalvalue), CAST(additionalvalue AS VARCHAR) AS additionalvalue, {versions} FROM marked"""
 
 
 def ten_minute_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A narrow ten-minute table for the mart."""
-    decoded = telemetry.decode(telemetry_rows(spark, sf_dir))
-    spec = {
-        "rddata4": telemetry.mean("rddata4"),
-        "rd_18_19": telemetry.mean("rd_18_19"),
-        "tcp0": telemetry.any_set("tcp0"),
-        "statenum": telemetry.Last("statenum"),
-    }
-    keys = ["macaddress", *_ATTRIBUTES, "year", "month", "day"]
-    return telemetry.tumble(decoded, keys, telemetry.epoch_ms("registerat"), "10 minutes", spec, ["registerat"]).drop("end")
+    """All ten-minute measures for the mart."""
+    repaired = telemetry.repair(telemetry.decode(telemetry_rows(spark, sf_dir)), "6 hours")
+    return telemetry.ten_minutes(mart.hand_over(repaired, "readings"), "6 hours").drop("end")
 
 
 @query(_mart_sql())
@@ -403,7 +387,6 @@ def device_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
         families,
         connection,
         weather,
-        versions=mart.VERSIONS[:1],
         tiebreak=["operationmode", "hotwatertemperaturemin", "boilercontrollerswsubversion"],
         slice_width="12 hours",
     )
