@@ -6,12 +6,16 @@ device. The SQL side derives the same telemetry and follows the rules in plain w
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluiceway.plans import mart, telemetry
 from sluiceway.plans.registry import query, table
 from sluiceway.plans.telemetry import COUNTERS, FINE_MEANS, FLAGS, PLAIN_READINGS, STATE_RANGES, WHOLE_MEANS, WORDS16, WORDS32
+from sluiceway.session import shared_folder
+from sluiceway.sinks.files import write_partitioned
 
 START_MS = 1704067200000  # 2024-01-01 00:00:00
 STEP_MS = 20000
@@ -162,6 +166,17 @@ def device_ten_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return telemetry.ten_minutes(mart.hand_over(repaired, "readings"), "6 hours")
 
 
+_OF_MONTH = _grown_sql().replace("FROM repaired)", "FROM repaired WHERE \"year\" = '2024' AND \"month\" = '01')")
+
+
+@query(f"WITH {_base_sql()}, {_decoded_sql()}, {_repaired_sql()}, {_OF_MONTH} {_windows_sql()}")
+def device_month_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC1-2, SRC4, SNK1, SRT1: one call from the run date over a raw zone to stored, sorted ten-minute rows."""
+    zone, target = shared_folder(spark, "alive-zone"), shared_folder(spark, "alive-windows")
+    write_partitioned(telemetry_rows(spark, sf_dir), zone, telemetry.PARTITION)
+    return telemetry.month_job(spark, zone, target, dt.date(2024, 2, 3), slice_width=None, max_rows=2_000)
+
+
 # Side tables, again from events. v is a small number that varies from event to event.
 def side_rows(spark: SparkSession, sf_dir: str, columns: dict[str, str], where: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select(

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluiceway.functions.binary import array_pair, bucket_ranges, decode_le, with_bits
-from sluiceway.functions.clock import epoch_ms
+from sluiceway.functions.clock import epoch_ms, previous_month
 from sluiceway.operators.counters import counter_diff, repair_counter
+from sluiceway.operators.slices import fit_slice
 from sluiceway.operators.tumbling import Growth, Last, any_set, mean, tumble
+from sluiceway.session import hand_over, release
+from sluiceway.sinks.files import write_partitioned
+from sluiceway.sources.tables import read_table
 
 # The device protocol. Names of raw byte columns, decoded fields, flags and code ranges.
 DEVICE, TIME = "macaddress", "registerat"
@@ -128,3 +133,28 @@ def status_windows(status: DataFrame, width: str = "10 minutes") -> DataFrame:
     spec["errorcode_status"] = F.max("errorcode")
     keys = [DEVICE, "additionalvalue", "operationmode", *PARTITION]
     return tumble(status, keys, epoch_ms(TIME), width, spec)
+
+
+def month_job(
+    spark: SparkSession,
+    zone: str,
+    target: str,
+    run_date: dt.date,
+    slice_width: str | None = "1 day",
+    max_rows: int = 5_000_000,
+    tiebreak: Sequence[str] = (),
+) -> DataFrame:
+    """The ten-minute rows of the month before the run date, from a raw zone to a partitioned target.
+
+    Only the folders of that month are read. They replace their own partitions of the target, sorted by device
+    and time within each file. Without a ``slice_width`` the job measures which slice length keeps every slice
+    of a device below ``max_rows``. Returns the month as stored; intermediate folders are deleted.
+    """
+    year, month = previous_month(run_date)
+    decoded = decode(read_table(spark, zone, {"year": year, "month": month}))
+    width = slice_width or fit_slice(decoded, [DEVICE], TIME, max_rows)
+    repaired = hand_over(repair(decoded, width, tiebreak), "month-readings")
+    rows = ten_minutes(repaired, width, tiebreak)
+    write_partitioned(rows, target, PARTITION, "overwrite_partitions", sort=[DEVICE, "start"])
+    release(spark)
+    return read_table(spark, target, {"year": year, "month": month})
