@@ -191,7 +191,8 @@ def covered(docs: DataFrame, units: Units, match: Match, key: str = "doc_id", te
         bytes_of(text).alias("_bytes"),
     )
     rows = hand_over(keyed.select("key", "digest", "rep").distinct(), "repeats-rows")
-    firsts = rows.groupBy("digest").agg(F.min("key").alias("key"), F.first("rep").alias("rep"))
+    # Written, so that the joins below shuffle both sides and Spark can split a digest that many rows share.
+    firsts = hand_over(rows.groupBy("digest").agg(F.min("key").alias("key"), F.first("rep").alias("rep")), "repeats-firsts")
     copies = rows.join(firsts.select("digest", F.col("key").alias("_first")), "digest").where(F.col("key") > F.col("_first"))
 
     emitted = keyed.select("rep", "_bytes").mapInArrow(_emit_anchors(units), "anchor long, rep long")
@@ -228,7 +229,7 @@ def covered(docs: DataFrame, units: Units, match: Match, key: str = "doc_id", te
         .mapInArrow(_by_shard(match), "key long, digest binary, begin long, end long")
     )
     windows = segments.where("hot").select(F.col("segment").alias("window"), "key", "digest", "begin")
-    first_key = windows.groupBy("window").agg(F.min("key").alias("_first"))
+    first_key = hand_over(windows.groupBy("window").agg(F.min("key").alias("_first")), "repeats-windows")
     in_windows = (
         windows.join(first_key, "window")
         .where(F.col("_first") < F.col("key"))
