@@ -177,10 +177,11 @@ def _url_sql(spark_side: bool) -> str:
     return f"CASE page_id % {len(_URL_FORMS)} {' '.join(whens)} END"
 
 
+_TITLE = "regexp_extract(html, '<title>([^<]*)</title>', 1)"
 _TITLE_WORDS = "trim(regexp_replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '[^A-Za-z]+', ' '{flag}))"
 
 
-def _history_sql() -> str:
+def _history_sql(url: str | None = None, columns: str = "page_id, url, domain, keyword, search") -> str:
     from sluiceway.functions.urls import HOST_SUFFIXES
 
     domain, keyword = "''", "''"
@@ -203,11 +204,11 @@ def _history_sql() -> str:
         WHEN contains(k, 'query') THEN {to_amp("strpos(k, 'query') + 5")}
         WHEN contains(k, '&q') THEN substr(k, {q_start}, greatest(0, {q_stop} - ({q_start}))) ELSE '' END"""
     return f"""
-    WITH p AS (SELECT page_id, url, {_TITLE_WORDS.format(flag=", 'g'")} AS lang_words FROM pages),
-    h AS (SELECT page_id, {_url_sql(False)} AS u FROM p),
+    WITH p AS (SELECT page_id, url, {_TITLE_WORDS.format(flag=", 'g'")} AS lang_words, {_TITLE} AS title FROM pages),
+    h AS (SELECT page_id, {url or _url_sql(False)} AS u FROM p),
     d AS (SELECT page_id, u AS url, {domain} AS domain, {keyword} AS keyword FROM h),
     k AS (SELECT *, url_decode(keyword) AS k FROM d)
-    SELECT page_id, url, domain, keyword, replace({search}, '+', ' ') AS search FROM k"""
+    SELECT {columns} FROM (SELECT page_id, url, domain, keyword, replace({search}, '+', ' ') AS search FROM k)"""
 
 
 @query(_history_sql())
@@ -217,6 +218,20 @@ def url_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analyse_history(pages.select("page_id", F.expr(_url_sql(True)).alias("url")))
 
 
+@query(_history_sql("url"))
+def url_history_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SCL28-29b: every page url as it is."""
+    return analyse_history(table(spark, sf_dir, "pages").select("page_id", "url"))
+
+
+@query(_history_sql("'https://g.com/search?q=' || url_encode(title) || '&oq=x'", "page_id, domain, search"))
+def url_encoded_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SCL29b, SCL37: searches for whole titles, percent-encoded UTF-8 with all their letters."""
+    url = F.concat(F.lit("https://g.com/search?q="), F.url_encode(F.expr(_TITLE)), F.lit("&oq=x"))
+    pages = table(spark, sf_dir, "pages").select("page_id", url.alias("url"))
+    return analyse_history(pages).select("page_id", "domain", "search")
+
+
 # These entities end at a semicolon, or without one, as in HTML.
 _ENTITIES = "regexp_replace({c}, '&quot;?', '\"', 'g')"
 _ENTITIES = f"regexp_replace({_ENTITIES}, '&copy;?', '©', 'g')"
