@@ -8,7 +8,8 @@ become equal pseudonyms in all documents, whatever their punctuation.
 
 Kinds: payment cards (13 to 19 digits, Luhn; the check digit is computed anew), telephone numbers
 (+CC and ten digits), social security numbers (ddd-dd-dddd in valid ranges), IPv4 addresses, dates
-(yyyy-mm-dd, dd/mm/yyyy, dd.mm.yyyy within FIRST_DAY .. FIRST_DAY + DAYS), and the local part of e-mail
+(yyyy-mm-dd, dd/mm/yyyy, dd.mm.yyyy within FIRST_DAY .. FIRST_DAY + DAYS), access tokens (32 to 64 hexadecimal
+digits after a word such as token or secret, permuted ten digits at a time), and the local part of e-mail
 addresses, which is not a number: it becomes a keyed name of 16 hexadecimal digits.
 
 Everything is built from column functions; nothing is shuffled.
@@ -27,7 +28,7 @@ from sluiceway.llm.common import let, once
 ROUNDS = 10
 #: Dates are permuted within this range; others are left alone. DAYS factors into 250 * 292.
 FIRST_DAY, DAYS = "1900-01-01", 73_000
-KINDS = ("email", "ipv4", "phone", "ssn", "date", "card")
+KINDS = ("email", "ipv4", "phone", "ssn", "date", "secret", "card")
 
 _FORMS = {
     "email": r"[A-Za-z0-9][A-Za-z0-9._%+\-]*@(?:[A-Za-z0-9\-]+\.)+[A-Za-z]{2,}",
@@ -35,6 +36,8 @@ _FORMS = {
     "phone": r"(?<![\d+])\+\d{1,3}[ .\-]?\(?\d{3}\)?[ .\-]?\d{3}[ .\-]?\d{4}(?!\d)",
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
     "date": r"(?<![\d./\-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\d/\-])",
+    "secret": r"(?<=(?i:token|secret|apikey|api_key|password)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)"
+    r"(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![0-9A-Za-z])",
     "card": r"(?<![\d\-.])\d(?:[ \-]?\d){12,18}(?![\d\-])",
 }
 #: One pattern for all kinds; the first alternative that matches at a place decides.
@@ -166,9 +169,27 @@ def _email(value: Column, secret: str) -> Column:
     return F.concat(F.lit("u"), F.substring(digest, 1, 16), F.lit("@"), F.split(value, "@")[1])
 
 
+def _secret(value: Column, secret: str, backwards: bool) -> Column:
+    def chunk(number: Column) -> Column:
+        x = F.conv(number, 16, 10).cast("long")
+        sizes = [
+            F.when(
+                F.length(number) == n,
+                F.lpad(F.lower(F.hex(permute(x, 16 ** (n - n // 2), 16 ** (n // 2), secret, f"secret{n}", backwards))), n, "0"),
+            )
+            for n in range(1, 11)
+        ]
+        return F.coalesce(*sizes)
+
+    parts = F.regexp_extract_all(F.lower(value), F.lit("([0-9a-f]{1,10})"), 1)
+    new = F.array_join(F.transform(parts, chunk), "")
+    return F.when(value == F.upper(value), F.upper(new)).otherwise(new)
+
+
 def _kind(value: Column) -> Column:
-    """The kind whose form a match has as a whole."""
-    whole = [F.when(value.rlike(f"^(?:{_FORMS[k]})$"), F.lit(k)) for k in KINDS]
+    """The kind whose form a match has as a whole; what stood before a token is not part of the match."""
+    alone = _FORMS | {"secret": "[0-9A-Fa-f]{32,64}"}
+    whole = [F.when(value.rlike(f"^(?:{alone[k]})$"), F.lit(k)) for k in KINDS]
     return F.coalesce(*whole)
 
 
@@ -183,6 +204,7 @@ def pseudonym(value: Column, secret: str, backwards: bool = False) -> Column:
         "phone": lambda v: _phone(v, secret, backwards),
         "ssn": lambda v: _ssn(v, secret, backwards),
         "date": lambda v: _date(v, secret, backwards),
+        "secret": lambda v: _secret(v, secret, backwards),
         "card": lambda v: _card(v, secret, backwards),
     }
 

@@ -47,6 +47,14 @@ def test_forms_stay_valid_and_can_be_undone(spark):
     assert replaced(spark, new, backwards=True) == texts
 
 
+def test_tokens_keep_their_form(spark):
+    tokens = ["token = \"e7fbfec6a80404dc513b99d3fdbf2a6e53400638\"", "TOKEN: 9233A8ECF7C5B09FE5949719B6B82BC4", "sha e7fbfec6a80404dc513b99d3fdbf2a6e53400638"]
+    new = replaced(spark, tokens)
+    assert re.fullmatch(r'token = "[0-9a-f]{40}"', new[0]) and re.fullmatch(r"TOKEN: [0-9A-F]{32}", new[1])
+    assert new[0] != tokens[0] and new[1] != tokens[1] and new[2] == tokens[2]
+    assert replaced(spark, new, backwards=True) == tokens
+
+
 def test_different_values_stay_different(spark):
     texts = [f"10.0.{i // 256}.{i % 256}" for i in range(600)]
     assert len(set(replaced(spark, texts))) == 600
