@@ -59,15 +59,25 @@ def _sliding(values: np.ndarray, span: int, pick: np.ufunc) -> np.ndarray:
     return pick(out[:-rest], out[rest:]) if rest else out
 
 
+def _grams(codes: np.ndarray, k: int) -> np.ndarray:
+    """A polynomial hash of every k consecutive codes, in about log2(k) passes."""
+    done, out, step = 1, codes, _ODD
+    whole, size = None, 0  # hash of the first ``size`` codes, for the binary digits of k
+    while True:
+        if k & done:
+            whole, size = (out, done) if whole is None else (whole[: len(codes) - size - done + 1] * step + out[size:], size + done)
+        if 2 * done > k:
+            return whole
+        out, done = out[:-done] * step + out[done:], 2 * done
+        step = np.uint64(int(step) ** 2 & 0xFFFFFFFFFFFFFFFF)
+
+
 def anchors(codes: np.ndarray, units: Units) -> tuple[np.ndarray, np.ndarray]:
     """(positions, hashes) of the k-grams that are least in some window; nothing for texts below a window."""
     n, k = len(codes), units.gram
     if n < units.width:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    grams = np.zeros(n - k + 1, np.uint64)
-    for i in range(k):
-        grams = grams * _ODD + codes[i : n - k + 1 + i]
-    grams = _mixed(grams)
+    grams = _mixed(_grams(codes, k))
     span = units.width - k + 1
     least = _sliding(grams, span, np.minimum)
     # A k-gram is the least of a window if the largest of the window minima over it is the k-gram itself.

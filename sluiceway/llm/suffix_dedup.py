@@ -23,7 +23,7 @@ LENGTH = 50
 
 def _names(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(order, names): the order of the keys and, by position, their rank from 1 with equal keys alike."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     ranked = keys[order]
     names = np.empty(len(keys), np.int64)
     names[order] = np.cumsum(np.concatenate(([1], ranked[1:] != ranked[:-1])))
@@ -50,7 +50,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     rank[sample[order]] = np.arange(1, len(sample) + 1)
     rank[n:] = 0
     base = n + 3
-    zeros = zeros[np.argsort(s[zeros] * base + rank[zeros + 1], kind="stable")]
+    zeros = zeros[np.argsort(s[zeros] * base + rank[zeros + 1])]
     sampled = sample[order]
     sampled = sampled[sampled < n]
     one, two = sampled[sampled % 3 == 1], sampled[sampled % 3 == 2]
@@ -68,36 +68,61 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     return out
 
 
+def repeated_windows(
+    segments: list[bytes], sizes: np.ndarray, owners: np.ndarray, length: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(segment, begin, end), in order, of the runs of windows that a segment of a smaller owner holds too."""
+    nothing = (np.zeros(0, np.int64),) * 3
+    starts = np.concatenate(([0], np.cumsum(sizes + 1)[:-1]))
+    raw = np.frombuffer(b"\x00".join(segments) + b"\x00" * (length + 9), np.uint8)
+    n = int((sizes + 1).sum())
+    text = raw[:n].astype(np.int64) + 2
+    text[starts + sizes] = 1  # between segments
+    row = np.repeat(np.arange(len(segments)), sizes + 1)
+    room = (starts + sizes)[row] - np.arange(n)
+    order = suffix_array(text)
+    order = order[room[order] >= length]  # starts of whole windows
+    if len(order) < 2:
+        return nothing
+    eights = np.lib.stride_tricks.as_strided(raw, (len(raw) - 7, 8), (1, 1))
+    words = np.ascontiguousarray(eights).view(np.int64).ravel()
+    alike = np.ones(len(order) - 1, bool)
+    for at in [*range(0, length - 7, 8), length - 8]:
+        part = words[order + at]
+        alike &= part[1:] == part[:-1]
+    first = np.concatenate(([True], ~alike))
+    owner = owners[row[order]]
+    least = np.minimum.reduceat(owner, np.flatnonzero(first))[np.cumsum(first) - 1]
+    hits = np.sort(order[least < owner])
+    if not len(hits):
+        return nothing
+    new = np.flatnonzero(np.concatenate(([True], (np.diff(hits) > 1) | (np.diff(row[hits]) != 0))))
+    last = np.concatenate((new[1:], [len(hits)])) - 1
+    of = row[hits[new]]
+    return of, hits[new] - starts[of], hits[last] - starts[of] + length
+
+
 def _match(length: int) -> repeats.Match:
     def match(anchors: np.ndarray, keys: np.ndarray, segments: list[bytes]):
-        sizes = np.array([len(x) for x in segments], np.int64)
-        starts = np.concatenate(([0], np.cumsum(sizes + 1)[:-1]))
-        raw = np.frombuffer(b"\x00".join(segments) + b"\x00" * (length + 9), np.uint8)
-        n = int((sizes + 1).sum())
-        text = raw[:n].astype(np.int64) + 2
-        text[starts + sizes] = 1  # between segments
-        row = np.repeat(np.arange(len(segments)), sizes + 1)
-        room = (starts + sizes)[row] - np.arange(n)
-        order = suffix_array(text)
-        order = order[room[order] >= length]  # starts of whole windows
-        if len(order) < 2:
-            return (np.zeros(0, np.int64),) * 3
-        alike = np.ones(len(order) - 1, bool)
-        eights = np.lib.stride_tricks.as_strided(raw.view(), (len(raw) - 7, 8), (1, 1))
-        words = np.ascontiguousarray(eights).view(np.int64).ravel()
-        for at in [*range(0, length - 7, 8), length - 8]:
-            part = words[order + at]
-            alike &= part[1:] == part[:-1]
-        first = np.concatenate(([True], ~alike))
-        owner = keys[row[order]]
-        least = np.minimum.reduceat(owner, np.flatnonzero(first))[np.cumsum(first) - 1]
-        hits = np.sort(order[least < owner])
-        if not len(hits):
-            return (np.zeros(0, np.int64),) * 3
-        new = np.flatnonzero(np.concatenate(([True], (np.diff(hits) > 1) | (np.diff(row[hits]) != 0))))
-        last = np.concatenate((new[1:], [len(hits)])) - 1
-        at = row[hits[new]]
-        return at, hits[new] - starts[at], hits[last] - starts[at] + length
+        # Equal segments are sorted once, for the least of their keys; in the others all windows are repeats.
+        seen: dict[bytes, int] = {}
+        which = np.array([seen.setdefault(x, len(seen)) for x in segments], np.int64)
+        distinct = list(seen)
+        owners = np.full(len(distinct), np.iinfo(np.int64).max)
+        np.minimum.at(owners, which, keys)
+        sizes = np.array([len(x) for x in distinct], np.int64)
+        of, begin, end = repeated_windows(distinct, sizes, owners, length)
+        later = np.flatnonzero((keys > owners[which]) & (sizes[which] >= length))
+        first = np.flatnonzero(keys == owners[which])
+        n = np.bincount(of, minlength=len(distinct))
+        at = np.cumsum(n) - n
+        each = n[which[first]]
+        span = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each) + np.repeat(at[which[first]], each)
+        return (
+            np.concatenate((np.repeat(first, each), later)),
+            np.concatenate((begin[span], np.zeros(len(later), np.int64))),
+            np.concatenate((end[span], sizes[which[later]])),
+        )
 
     return match
 
