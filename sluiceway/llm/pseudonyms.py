@@ -223,7 +223,7 @@ def pseudonymise(
     """Replace personal values in ``text`` and add ``kinds``: the kind of every replaced value, in order.
 
     All other columns and rows stay. Null texts stay null, texts without such values stay as they are; both
-    have no kinds. A column of that name in the input is replaced. Whoever has ``secret`` can undo the
+    have no kinds. A column of that name in the input is replaced; columns named _found, _new or _once are left out. Whoever has ``secret`` can undo the
     numbers and dates; keep it out of the data.
     """
     body = F.col(f"`{text}`")

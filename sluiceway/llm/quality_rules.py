@@ -12,7 +12,8 @@ binomial test on labelled documents certifies that it rejects few good ones:
   tested in a fixed order from lenient to strict and the first failure ends the sequence, which needs no
   further correction. The strictest cutoff that passes is used.
 
-The cutoffs are parameters, not fitted, so all labelled documents serve as the holdout. Strata without
+The cutoffs are parameters, not fitted, so all labelled documents serve as the holdout. Documents that the base
+rules reject are not counted: the limit is on what the certified rules add. Strata without
 enough labelled documents certify nothing there, and only the base rules apply.
 """
 
