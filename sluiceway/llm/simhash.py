@@ -14,7 +14,7 @@ lanes have overflowed are dropped after every few planes.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -220,13 +220,13 @@ def near_duplicates(
     return marked.join(classes, "fp").select(key, "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """One document of each component: the one with the least key.
+def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", find: Callable = near_duplicates, **options) -> DataFrame:
+    """One document of each component that ``find`` gives: the one with the least key.
 
     Of rows with that same key one is kept. If some component has only rows without a key, all rows without a key are
     kept, as they cannot be told apart.
     """
-    classes = near_duplicates(docs, key=key, text=text, **options)
+    classes = find(docs, key=key, text=text, **options)
     rows = F.count("*").alias("rows")
     firsts = hand_over(
         classes.where(F.col(key).eqNullSafe(F.col("component_id"))).groupBy(key).agg(rows), "simhash-firsts"
