@@ -6,7 +6,8 @@ modulo A or B. That is a permutation of the numbers below A * B for any A and B,
 form, is again valid, differs for different values, and can be undone with the key. Equal values of a kind
 become equal pseudonyms in all documents, whatever their punctuation.
 
-Kinds: payment cards (13 to 19 digits, Luhn; the check digit is computed anew), telephone numbers
+Kinds: payment cards (13 to 19 digits, Luhn; the check digit is computed anew; see _cards for cards beside other
+digits), telephone numbers
 (+CC and ten digits), social security numbers (ddd-dd-dddd in valid ranges), IPv4 addresses, dates
 (yyyy-mm-dd, dd/mm/yyyy, dd.mm.yyyy within FIRST_DAY .. FIRST_DAY + DAYS), access tokens (32 to 64 hexadecimal
 digits after a word such as token or secret, permuted ten digits at a time), and the local part of e-mail
@@ -38,8 +39,13 @@ _FORMS = {
     "date": r"(?<![\d./\-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\d/\-])",
     "secret": r"(?<=(?i:token|secret|apikey|api_key|password)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)"
     r"(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![0-9A-Za-z])",
-    "card": r"(?<![\d\-.])\d(?:[ \-]?\d){12,18}(?![\d\-])",
 }
+# A run of digit groups with one space or hyphen between; it ends before a value of another kind.
+_GROUP = r"\d++(?!-(?!\d))"
+_OTHER = "|".join(_FORMS[k] for k in ("ipv4", "ssn", "date"))
+_FORMS["card"] = rf"(?<![\d\-.])(?=\d(?:[ \-]?\d){{12}}){_GROUP}(?:[ \-](?!{_OTHER}){_GROUP})*+"
+#: Usual sizes of the digit groups of cards besides one unbroken run, in order of preference.
+GROUPINGS = ("4-4-4-4", "4-6-5", "4-6-4", "4-4-5", "4-3-3-3", "4-4-4-4-3", "6-13")
 #: One pattern for all kinds; the first alternative that matches at a place decides.
 PATTERN = "(" + "|".join(f"(?:{_FORMS[k]})" for k in KINDS) + ")"
 
@@ -111,6 +117,73 @@ def _card(value: Column, secret: str, backwards: bool) -> Column:
     return let(_digits(value), of)
 
 
+def _cards(value: Column, secret: str, backwards: bool) -> Column:
+    """Struct ``new, n``: a run of digit groups with its n cards replaced; new is null if there are none.
+
+    An unbroken run of 13 to 19 digits or one of the usual groupings is a card if it is valid, wherever it begins.
+    Elsewhere the longest row of groups up to 19 digits is tried from each group on, from left to right. If an invalid
+    reading overlaps the card that was found, the pseudonym may make it valid by chance; then that one is not undone.
+    """
+
+    def valid(digits: Column) -> Column:
+        return luhn_sum(digits) % 10 == 0
+
+    def of(s: Column) -> Column:
+        groups, marks = s["groups"], s["marks"]
+        at = F.sequence(F.lit(1), F.size(groups))
+        joined = lambda i, n: F.array_join(F.slice(groups, i, F.lit(n) if isinstance(n, int) else n), "")
+
+        def usual(i: Column) -> Column:
+            forms = F.array(*[F.struct(F.lit(f).alias("form"), F.lit(f.count("-") + 1).alias("n")) for f in ("", *GROUPINGS)])
+            sizes = lambda n: F.array_join(F.transform(F.slice(groups, i, n), lambda g: F.length(g).cast("string")), "-")
+            shaped = lambda f: F.when(f["form"] == "", F.length(F.get(groups, i - 1)).between(13, 19)).otherwise(sizes(f["n"]) == f["form"])
+            fit = F.filter(forms, lambda f: F.when(shaped(f), valid(joined(i, f["n"]))).otherwise(F.lit(False)))
+            return F.coalesce(F.get(fit, F.lit(0))["n"], F.lit(0))
+
+        def walk(known: Column) -> Column:
+            def longest(i: Column) -> Column:
+                """How many groups from i on hold at most 19 digits and no known card."""
+                ahead = F.zip_with(F.slice(groups, i, 19), F.slice(known, i, 19), lambda g, k: F.struct(F.length(g).alias("g"), k.alias("k")))
+                start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("sum"))
+                more = lambda t, x: F.when(
+                    (t["sum"] >= 0) & (x["k"] == 0) & (t["sum"] + x["g"] <= 19),
+                    F.struct((t["n"] + 1).alias("n"), (t["sum"] + x["g"]).alias("sum")),
+                ).otherwise(F.struct(t["n"].alias("n"), F.lit(-1).alias("sum")))
+                return F.aggregate(ahead, start, more)["n"]
+
+            def free(i: Column) -> Column:
+                return let(longest(i), lambda n: let(joined(i, n), lambda d: F.when((F.length(d) >= 13) & valid(d), n).otherwise(F.lit(0))))
+
+            def step(t: Column, i: Column) -> Column:
+                taken = let(F.when(F.get(known, i - 1) > 0, F.get(known, i - 1)).otherwise(free(i)), lambda n: F.struct(
+                    F.array_append(t["spans"], F.struct(i.alias("at"), F.greatest(n, F.lit(1)).alias("n"), (n > 0).alias("card"))).alias("spans"),
+                    (i + F.greatest(n, F.lit(1))).alias("next"),
+                ))
+                return F.when(i < t["next"], t).otherwise(taken)
+
+            none = F.array().cast("array<struct<at:int,n:int,card:boolean>>")
+            return F.aggregate(at, F.struct(none.alias("spans"), F.lit(1).alias("next")), step)["spans"]
+
+        def text(span: Column) -> Column:
+            """The groups of a span with the marks between them."""
+            inner = F.zip_with(F.slice(groups, span["at"], span["n"]), F.slice(marks, span["at"], span["n"]), lambda g, m: F.concat(g, m))
+            return F.rtrim(F.array_join(inner, ""), F.lit(" -"))
+
+        def write(spans: Column) -> Column:
+            piece = lambda p: F.concat(
+                F.when(p["card"], _card(text(p), secret, backwards)).otherwise(text(p)),
+                F.get(marks, p["at"] + p["n"] - 2),
+            )
+            n = F.size(F.filter(spans, lambda p: p["card"]))
+            return F.struct(F.when(n > 0, F.array_join(F.transform(spans, piece), "")).alias("new"), n.alias("n"))
+
+        return let(let(F.transform(at, usual), walk), write)
+
+    groups = F.regexp_extract_all(value, F.lit(r"(\d+)"), 1)
+    marks = F.concat(F.regexp_extract_all(value, F.lit(r"([ \-])"), 1), F.array(F.lit("")))
+    return let(F.struct(groups.alias("groups"), marks.alias("marks")), of)
+
+
 def _phone(value: Column, secret: str, backwards: bool) -> Column:
     def of(digits: Column) -> Column:
         country = F.substr(digits, F.lit(1), F.length(digits) - 10)
@@ -194,7 +267,7 @@ def _kind(value: Column) -> Column:
 
 
 def pseudonym(value: Column, secret: str, backwards: bool = False) -> Column:
-    """Struct ``kind, new`` of one matched value; new is null if the value is not valid.
+    """Struct ``kind, new, n`` of one matched value; new is null if the value is not valid. n is 1, or the number of cards.
 
     Backwards gives the original again, except for e-mail addresses, which stay as they are.
     """
@@ -205,14 +278,17 @@ def pseudonym(value: Column, secret: str, backwards: bool = False) -> Column:
         "ssn": lambda v: _ssn(v, secret, backwards),
         "date": lambda v: _date(v, secret, backwards),
         "secret": lambda v: _secret(v, secret, backwards),
-        "card": lambda v: _card(v, secret, backwards),
     }
 
     def of(s: Column) -> Column:
         new = functools.reduce(
-            lambda done, k: done.when(s["k"] == k, by_kind[k](s["v"])), KINDS[1:], F.when(s["k"] == KINDS[0], by_kind[KINDS[0]](s["v"]))
+            lambda done, k: done.when(s["k"] == k, by_kind[k](s["v"])), KINDS[1:-1], F.when(s["k"] == KINDS[0], by_kind[KINDS[0]](s["v"]))
+        )
+        one = F.struct(new.alias("new"), F.lit(1).alias("n"))
+        return let(
+            F.when(s["k"] == "card", _cards(s["v"], secret, backwards)).otherwise(one),
+            lambda r: F.struct(s["k"].alias("kind"), r["new"].alias("new"), r["n"].alias("n")),
         )
-        return F.struct(s["k"].alias("kind"), new.alias("new"))
 
     return let(F.struct(_kind(value).alias("k"), value.alias("v")), of)
 
@@ -235,5 +311,5 @@ def pseudonymise(
     pieces = F.zip_with(gaps, F.arrays_zip(F.col("_found").alias("old"), F.col("_new").alias("p")), lambda g, m: F.concat(g, F.coalesce(m["p"]["new"], m["old"], F.lit(""))))
     replaced = F.when(F.exists("_new", lambda p: p["new"].isNotNull()), F.array_join(pieces, "")).otherwise(body)
     return new.withColumns(
-        {text: replaced, kinds: F.transform(F.filter("_new", lambda p: p["new"].isNotNull()), lambda p: p["kind"])}
+        {text: replaced, kinds: F.flatten(F.transform(F.filter("_new", lambda p: p["new"].isNotNull()), lambda p: F.array_repeat(p["kind"], p["n"])))}
     ).drop("_found", "_new", "_once")

@@ -70,6 +70,26 @@ def test_what_is_no_personal_value_stays(spark):
     assert replaced(spark, texts) == texts
 
 
+def test_cards_beside_other_digits(spark):
+    card, other, ip, date = "4111111111111111", "378282246310005", "190.137.223.204", "2024-01-05"
+    grouped = lambda v: " ".join(v[i : i + 4] for i in range(0, 16, 4))
+
+    def cases(c, o, ip, date):
+        return [
+            c, o, ip, date, f"{c} {ip}", f"{c}-{ip}", f"{c} {date}", f"{grouped(c)} 12/27", f"{c} 123", f"order 12 {c}", f"order 12-{c}",
+            f"{grouped(c)} 99 7-{o} 1", f"{o[:4]}-{o[4:10]}-{o[10:]} {c}", f"{c} {o}",
+        ]
+
+    old = cases(card, other, ip, date)
+    rows = spark.createDataFrame(list(enumerate([*old, "41111 11111 111111", " ".join(["7"] * 3000)])), "id int, text string")
+    out = p.pseudonymise(rows, "secret").orderBy("id").collect()
+    new = [r.text for r in out]
+    assert new[: len(old)] == cases(*new[:4]) and not set(new[:4]) & set(old)
+    assert out[len(old) - 1].pii_kinds == ["card", "card"]
+    assert re.fullmatch(r"\d{5} \d{5} \d{6}", new[-2]) and new[-2] != "41111 11111 111111" and len(new[-1]) == 5999
+    assert replaced(spark, new[: len(old)], backwards=True) == old
+
+
 def test_odd_rows(odd):
     out = p.pseudonymise(odd, "secret")
     assert out.count() == odd.count() and set(out.columns) >= {c for c in odd.columns if c not in ("_found", "_once")}
