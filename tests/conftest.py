@@ -28,12 +28,3 @@ def spark():
 @pytest.fixture(scope="session")
 def sf_dir():
     return "/root/testdata/sf0.001"
-
-
-def rows(df, *order):
-    """Rows as tuples, sorted."""
-    return sorted((tuple(r) for r in df.collect()), key=repr)
-
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()

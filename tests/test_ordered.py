@@ -4,7 +4,7 @@ import datetime as dt
 import random
 
 import pytest
-from conftest import plan_of, rows
+from helpers import plan_of, rows
 
 from sluiceway.operators import slices
 from sluiceway.operators.counters import counter_diff, repair_counter

@@ -1,6 +1,6 @@
 """What the physical plans must and must not hold."""
 
-from conftest import plan_of
+from helpers import plan_of
 from pyspark.sql import functions as F
 
 from sluiceway.operators.counters import repair_counter

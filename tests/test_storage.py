@@ -3,7 +3,7 @@
 import datetime as dt
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from sluiceway.session import hand_over, shared_folder
 from sluiceway.sinks import jdbc as jdbc_sink
