@@ -5,9 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.llm import decontamination, mixing, pseudonyms, quality_classifier, quality_rules, sharding, simhash, substring_dedup, suffix_dedup
+from sluiceway.llm import (
+    decontamination,
+    hard_negatives,
+    mixing,
+    piece_merging,
+    pseudonyms,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    simhash,
+    substring_dedup,
+    suffix_dedup,
+)
 from sluiceway.llm import token_counts as counting
-from sluiceway.llm.oracles import op1_sql, op8_sql
+from sluiceway.llm.oracles import op1_sql, op8_sql, op13_sql
 from sluiceway.plans.registry import Query, table
 
 
@@ -95,6 +107,23 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_piece_merging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text under the 32k piece vocabulary, and the text that they decode to."""
+    import public_tokenizers
+
+    done = piece_merging.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return done.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
+    )
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every vector whose id is divisible by 50; some labels are shifted first."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", shifted), F.col("key") % 50 == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": Query(op1_quality_rules, op1_sql()),
     "op2_simhash": Query(op2_simhash, None),
@@ -106,4 +135,6 @@ QUERIES: dict[str, Query] = {
     "op8_decontamination": Query(op8_decontamination, op8_sql()),
     "op9_pseudonyms": Query(op9_pseudonyms, None),
     "op10_suffix_dedup": Query(op10_suffix_dedup, None),
+    "op12_piece_merging": Query(op12_piece_merging, None),
+    "op13_hard_negatives": Query(op13_hard_negatives, op13_sql()),
 }
