@@ -123,7 +123,7 @@ def _search(df: DataFrame, phrases: Phrases) -> DataFrame:
     return df.select(*carried, "_bytes").mapInArrow(run, f"{schema}, {_FOUND}")
 
 
-def _blocks(benchmark: DataFrame, item: str, text: str, block_bytes: int) -> Iterator[list[tuple[int | None, bytes]]]:
+def blocks(benchmark: DataFrame, item: str, text: str, block_bytes: int) -> Iterator[list[tuple[int | None, bytes]]]:
     """The benchmark in blocks of about ``block_bytes``; one block is on the driver at a time."""
     rows = benchmark.where(F.col(text).isNotNull()).select(F.col(item).cast("long").alias("item"), bytes_of(text).alias("b"))
     total = rows.agg(F.sum(F.octet_length("b"))).first()[0] or 0
@@ -179,15 +179,15 @@ def find_passages(
     """
     own = {c: f"_in_{i}" for i, c in enumerate(dict.fromkeys([key, *carry]))}
     taken = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in own.items()], bytes_of(text).alias("_bytes"))
-    blocks = _blocks(benchmark, item, item_text, block_bytes)
-    first = Phrases(next(blocks, []), width)
-    second = next(blocks, None)
+    parts = blocks(benchmark, item, item_text, block_bytes)
+    first = Phrases(next(parts, []), width)
+    second = next(parts, None)
     if second is None:
         found = _search(taken, first)
     else:
         passes = []
         carried = taken.columns[:-1]
-        for phrases in itertools.chain([first], (Phrases(b, width) for b in itertools.chain([second], blocks))):
+        for phrases in itertools.chain([first], (Phrases(b, width) for b in itertools.chain([second], parts))):
             marked = taken.withColumn("_row", F.sha2(F.col("_bytes"), 256))
             passes.append(hand_over(_search(marked, phrases), "decontamination-block"))
         together = passes[0]

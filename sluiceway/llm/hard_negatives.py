@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sluiceway.llm.heaps import Heaps, spread
 from sluiceway.session import hand_over
 
 #: Bytes of anchor vectors that one pass takes, rows of a tile of anchors and of candidates, and the side below which
@@ -62,45 +63,6 @@ def strassen(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out[:m, :n]
 
 
-class Heaps:
-    """The first ``size`` entries of each of ``n`` lists: highest score first, equal scores by smaller key."""
-
-    def __init__(self, n: int, size: int):
-        self.scores = np.zeros((n, size), np.int64)
-        self.keys = np.zeros((n, size), np.int64)
-        self.filled = np.zeros(n, np.int64)
-
-    def admits(self, at: np.ndarray, scores: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        """Which entries of a matrix, a list per row and a key per column, still have a place in their lists."""
-        last, key = self.scores[at, -1][:, None], self.keys[at, -1][:, None]
-        open_ = (self.filled[at] < self.scores.shape[1])[:, None]
-        return open_ | (scores > last) | ((scores == last) & (keys < key))
-
-    def add(self, at: np.ndarray, scores: np.ndarray, keys: np.ndarray) -> None:
-        """Put entries into the lists ``at``."""
-        if not len(at):
-            return
-        touched = np.unique(at)
-        old = np.repeat(touched, self.filled[touched])
-        place = np.arange(len(old)) - np.repeat(np.cumsum(self.filled[touched]) - self.filled[touched], self.filled[touched])
-        at = np.concatenate((old, at))
-        scores = np.concatenate((self.scores[old, place], scores))
-        keys = np.concatenate((self.keys[old, place], keys))
-        order = np.lexsort((keys, ~scores, at))
-        at, scores, keys = at[order], scores[order], keys[order]
-        first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-        sizes = np.diff(np.concatenate((first, [len(at)])))
-        rank = np.arange(len(at)) - np.repeat(first, sizes)
-        kept = rank < self.scores.shape[1]
-        self.scores[at[kept], rank[kept]] = scores[kept]
-        self.keys[at[kept], rank[kept]] = keys[kept]
-        self.filled[at[first]] = np.minimum(sizes, self.scores.shape[1])
-
-    def entries(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        at, place = np.nonzero(np.arange(self.scores.shape[1])[None, :] < self.filled[:, None])
-        return at, self.scores[at, place], self.keys[at, place]
-
-
 class Block:
     """Anchors of one pass as arrays: keys, labels, vectors (padded with zeros to ``width``)."""
 
@@ -114,7 +76,7 @@ def _matrix(vectors: pa.ListArray, width: int) -> np.ndarray:
     sizes = vectors.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
     out = np.zeros((len(sizes), width), np.int64)
     row = np.repeat(np.arange(len(sizes)), sizes)
-    out[row, np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = vectors.flatten().to_numpy(zero_copy_only=False)
+    out[row, spread(np.zeros(len(sizes), np.int64), sizes)] = vectors.flatten().to_numpy(zero_copy_only=False)
     return out
 
 
@@ -138,7 +100,7 @@ def _positives(shared, width: int, size: int):
                 for begin in range(0, len(own), ANCHOR_TILE):
                     at = own[begin : begin + ANCHOR_TILE]
                     scores = strassen(block.vectors[at], transposed)
-                    row, column = np.nonzero((block.keys[at][:, None] != there) & heaps.admits(at, scores, there))
+                    row, column = np.nonzero((block.keys[at][:, None] != there) & heaps.admits(at[:, None], scores, there))
                     heaps.add(at[row], scores[row, column], there[column])
         columns = [pa.array(c, pa.int64()) for c in heaps.entries()]
         yield pa.RecordBatch.from_arrays(columns, names=["anchor", "score", "key"])
@@ -161,7 +123,7 @@ def _negatives(shared, width: int, size: int):
                 other = block.labels[at][:, None] != labels
                 for w in range(windows):
                     fits = other & (scores >= low[at, w][:, None]) & (scores <= high[at, w][:, None])
-                    fits &= heaps.admits(at * windows + w, scores, keys)
+                    fits &= heaps.admits((at * windows + w)[:, None], scores, keys)
                     row, column = np.nonzero(fits)
                     heaps.add(at[row] * windows + w, scores[row, column], keys[column])
         columns = [pa.array(c, pa.int64()) for c in heaps.entries()]

@@ -85,6 +85,27 @@ FROM docs LEFT JOIN hits USING (row_id) LEFT JOIN of_items USING (row_id)
 """
 
 
+def op11_sql() -> str:
+    """Term counts of all documents joined with the terms of the items."""
+    terms = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS row_id, doc_id, coalesce({terms}, []) AS ts FROM documents),
+items AS (SELECT row_number() OVER () AS item, item_id, list_distinct({terms}) AS ts FROM benchmark WHERE text IS NOT NULL),
+asked AS (SELECT item, item_id, unnest(ts) AS t FROM items),
+totals AS (SELECT count(*) FILTER (len(ts) > 0) AS n_docs, sum(len(ts))::BIGINT AS n_terms FROM docs),
+counts AS (
+  SELECT row_id, t, count(*) AS tf FROM (SELECT row_id, unnest(ts) AS t FROM docs) WHERE t IN (SELECT t FROM asked) GROUP BY ALL),
+weights AS (SELECT t, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM counts, totals GROUP BY t),
+scored AS (
+  SELECT item, any_value(item_id) AS item_id, row_id, any_value(doc_id) AS doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * len(ts) * n_docs) // n_terms))))::BIGINT AS score
+  FROM asked JOIN counts USING (t) JOIN weights USING (t) JOIN docs USING (row_id), totals
+  WHERE doc_id IS NOT NULL GROUP BY item, row_id)
+SELECT item_id, row_number() OVER w AS rank, doc_id, score FROM scored WHERE score > 0
+WINDOW w AS (PARTITION BY item ORDER BY score DESC, doc_id) QUALIFY row_number() OVER w <= 50
+"""
+
+
 def op13_sql() -> str:
     """All anchors against all rows, ranked twice."""
     return """

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sluiceway.llm import (
     decontamination,
     hard_negatives,
+    lexical_search,
     mixing,
     piece_merging,
     pseudonyms,
@@ -19,7 +20,7 @@ from sluiceway.llm import (
     suffix_dedup,
 )
 from sluiceway.llm import token_counts as counting
-from sluiceway.llm.oracles import op1_sql, op8_sql, op13_sql
+from sluiceway.llm.oracles import op1_sql, op8_sql, op11_sql, op13_sql
 from sluiceway.plans.registry import Query, table
 
 
@@ -107,6 +108,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return lexical_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_piece_merging(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text under the 32k piece vocabulary, and the text that they decode to."""
     import public_tokenizers
@@ -135,6 +141,7 @@ QUERIES: dict[str, Query] = {
     "op8_decontamination": Query(op8_decontamination, op8_sql()),
     "op9_pseudonyms": Query(op9_pseudonyms, None),
     "op10_suffix_dedup": Query(op10_suffix_dedup, None),
+    "op11_lexical_search": Query(op11_lexical_search, op11_sql()),
     "op12_piece_merging": Query(op12_piece_merging, None),
     "op13_hard_negatives": Query(op13_hard_negatives, op13_sql()),
 }
