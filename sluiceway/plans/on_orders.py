@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,22 +17,25 @@ from sluiceway.sources.messages import read_folder_stream
 from sluiceway.streaming import batches, orders as order_flow
 from sluiceway.streaming.words import batch_size
 
+# Order times lie inside panes: the dates of the table are replaced by instants of three days, a second apart in places.
 _LINES = """
     o AS (SELECT *, CASE o_orderstatus WHEN 'F' THEN 'B' WHEN 'O' THEN 'S' ELSE 'P' END AS side,
-                 substr(o_orderpriority, 3) AS symbol, CAST(floor(o_totalprice) AS INTEGER) % 100 AS amount,
-                 CAST(o_custkey % 13 + 1 AS DOUBLE) AS price FROM orders)"""
+                 substr(o_orderpriority, 3) || o_custkey % 10 AS symbol, CAST(floor(o_totalprice) AS INTEGER) % 100 AS amount,
+                 CAST(o_custkey % 13 + 1 AS DOUBLE) AS price,
+                 TIMESTAMP '1998-08-01 00:00:00' + to_seconds(o_orderkey * 7919 % 259200) AS otime FROM orders)"""
 
 
 def order_lines(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
     """Orders as text lines. Status P gives an unknown side, so those lines are bad."""
     orders = table(spark, sf_dir, "orders") if orders is None else orders
+    time = F.lit("1998-08-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("o_orderkey") * 7919 % 259200)
     return orders.select(
         F.concat_ws(
             ",",
-            F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"),
+            F.date_format(time, "yyyy-MM-dd HH:mm:ss"),
             "o_orderkey",
             "o_custkey",
-            F.substring("o_orderpriority", 3, 100),
+            F.concat(F.substring("o_orderpriority", 3, 100), (F.col("o_custkey") % 10).cast("string")),
             F.floor("o_totalprice").cast("int") % 100,
             (F.col("o_custkey") % 13 + 1).cast("double"),
             F.translate("o_orderstatus", "FO", "BS"),
@@ -46,7 +50,7 @@ def good_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""
     WITH {_LINES}
-    SELECT strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS time, o_orderkey AS orderid, o_custkey AS clientid, symbol, amount, price, side
+    SELECT strftime(otime, '%Y-%m-%d %H:%M:%S') AS time, o_orderkey AS orderid, o_custkey AS clientid, symbol, amount, price, side
     FROM o WHERE side IN ('B', 'S')"""
 )
 def order_lines_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +89,7 @@ def top5_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""
     WITH {_LINES},
-    pane AS (SELECT o_orderdate AS p, symbol, CAST(sum(amount) AS BIGINT) AS part FROM o WHERE side IN ('B', 'S') GROUP BY 1, 2),
+    pane AS (SELECT time_bucket(INTERVAL '5 minutes', otime) AS p, symbol, CAST(sum(amount) AS BIGINT) AS part FROM o WHERE side IN ('B', 'S') GROUP BY 1, 2),
     win AS (SELECT p - INTERVAL (5 * i) MINUTE AS s, symbol, CAST(sum(part) AS BIGINT) AS total FROM pane, range(12) r(i) GROUP BY 1, 2),
     ranked AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY total DESC, symbol) AS rank FROM win)
     SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS "start", symbol, total, CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= 5"""
@@ -124,7 +128,7 @@ def buy_sell_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 _METRICS = f"""
     WITH {_LINES}, g AS (SELECT * FROM o WHERE side IN ('B', 'S')),
     c AS (SELECT o_custkey, sum(amount * price) AS total FROM g GROUP BY 1 ORDER BY total DESC, o_custkey LIMIT 5),
-    s AS (SELECT symbol, sum(amount) AS total FROM g WHERE o_orderdate > (SELECT max(o_orderdate) FROM g) - INTERVAL 60 MINUTE
+    s AS (SELECT symbol, sum(amount) AS total FROM g WHERE otime > (SELECT max(otime) FROM g) - INTERVAL 60 MINUTE
           GROUP BY 1 ORDER BY total DESC, symbol LIMIT 5)
     SELECT CASE side WHEN 'B' THEN 'BUYS' ELSE 'SELLS' END AS metric, CAST(count(*) AS VARCHAR) AS "values" FROM g GROUP BY 1
     UNION ALL SELECT 'TOP5CLIENTS', string_agg(CAST(o_custkey AS VARCHAR), ',' ORDER BY total DESC, o_custkey) FROM c
@@ -215,15 +219,12 @@ def order_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {_LINES} SELECT o_custkey AS clientid, sum(amount * price) AS total FROM o WHERE side IN ('B', 'S') GROUP BY 1"
 )
 def stream_client_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STR2, STR7, UDF6: running totals per client, written by a stream and read back."""
+    """STR2, STR7, UDF6: running totals per client, kept by a stream and read back."""
     folder = shared_folder(spark, "client-totals")
     totals = order_flow.client_totals(order_stream(spark, sf_dir))
-    batches.start(
-        totals, f"{folder}/checkpoint", batches.to_folder(f"{folder}/out"), "complete", interval=None
-    ).awaitTermination()
-    written = spark.read.parquet(f"{folder}/out")
-    newest = written.select(F.max("batch")).scalar()
-    return written.where(F.col("batch") == newest).select("clientid", "total")
+    add = order_flow.to_totals(f"{folder}/totals")
+    batches.start(totals, f"{folder}/checkpoint", add, "update", interval=None).awaitTermination()
+    return order_flow.total_store(spark, f"{folder}/totals").read().select("clientid", "total")
 
 
 @query(_METRICS)
@@ -244,20 +245,29 @@ def stream_order_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return newest.select("metric", F.concat_ws(",", "values").alias("values"))
 
 
+BATCHES = 5
+
+
 def order_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The order stream in four micro-batches that each hold orders of all times, so that most come late."""
+    """The order stream in micro-batches by key, each with orders of all times, so that many come late."""
     folder = shared_folder(spark, "order-files")
     orders = table(spark, sf_dir, "orders")
-    orders.repartition(4, "o_orderkey").write.parquet(folder)
+    files = 4
+    for batch in range(BATCHES):
+        orders.where(F.col("o_orderkey") % BATCHES == batch).repartition(files).write.mode("append").parquet(folder)
     schema = orders.schema.simpleString()[len("struct<") : -1].replace(":", " ")
-    rows = read_folder_stream(spark, folder, schema, files_per_batch=1)
+    rows = read_folder_stream(spark, folder, schema, files_per_batch=files)
     return order_flow.parse_orders(order_lines(spark, sf_dir, rows))[0]
 
 
+def run_batches(orders: DataFrame, checkpoint: str, write: batches.BatchFunction) -> None:
+    batches.start(orders, checkpoint, write, interval=None).awaitTermination()
+
+
 @query(
     f"""
     WITH {_LINES},
-    pane AS (SELECT o_orderdate AS p, symbol, CAST(sum(amount) AS BIGINT) AS part FROM o WHERE side IN ('B', 'S') GROUP BY 1, 2),
+    pane AS (SELECT time_bucket(INTERVAL '15 minutes', otime) AS p, symbol, CAST(sum(amount) AS BIGINT) AS part FROM o WHERE side IN ('B', 'S') GROUP BY 1, 2),
     win AS (SELECT p - INTERVAL (15 * i) MINUTE AS s, symbol, CAST(sum(part) AS BIGINT) AS total FROM pane, range(4) r(i) GROUP BY 1, 2)
     SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS "start", symbol, total FROM win"""
 )
@@ -265,28 +275,100 @@ def stream_symbol_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR4: sliding sums of a stream in several batches: late orders count, open windows are reported."""
     folder = shared_folder(spark, "symbol-volume")
     add = order_flow.to_panes(f"{folder}/panes", "15 minutes")
-    batches.start(order_batches(spark, sf_dir), f"{folder}/checkpoint", add, interval=None).awaitTermination()
+    run_batches(order_batches(spark, sf_dir), f"{folder}/checkpoint", add)
     windows = order_flow.pane_windows(spark, f"{folder}/panes", "60 minutes", "15 minutes")
     return windows.select(F.col("window.start").cast("string").alias("start"), "symbol", "total")
 
 
-@query(f"WITH {_LINES} SELECT count(*) AS orders, sum(amount)::BIGINT AS amount, true AS some_late FROM o WHERE side IN ('B', 'S')")
+_PER_BATCH = f"""
+    WITH {_LINES}, g AS (SELECT *, o_orderkey % {BATCHES} AS batch FROM o WHERE side IN ('B', 'S')),
+    newest AS (SELECT b, max(otime) AS newest FROM g, range({BATCHES}) r(b) WHERE batch <= b GROUP BY b)"""
+
+
+@query(
+    f"""{_PER_BATCH}
+    SELECT g.batch, o_orderkey AS orderid, strftime(otime, '%Y-%m-%d %H:%M:%S') AS time
+    FROM g JOIN newest ON b = g.batch - 1 WHERE otime < newest - INTERVAL 10 MINUTE"""
+)
 def stream_late_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STR4: the panes hold every order, on time or late; the late ones are reported on the side."""
+    """STR4: the late orders of each batch, reported on the side."""
     folder = shared_folder(spark, "late-orders")
     add = order_flow.to_panes(f"{folder}/panes", late=batches.to_folder(f"{folder}/late"))
-    batches.start(order_batches(spark, sf_dir), f"{folder}/checkpoint", add, interval=None).awaitTermination()
-    order_flow.compact_panes(spark, f"{folder}/panes", f"{folder}/compacted")
-    panes = order_flow.read_batches(spark, f"{folder}/compacted")
-    late = spark.read.parquet(f"{folder}/late").agg((F.count("*") > 0).alias("some_late"))
-    sums = panes.agg(F.sum("orders").alias("orders"), F.sum("total").alias("amount"))
-    return sums.withColumn("some_late", F.lit(late.first()["some_late"]))
+    run_batches(order_batches(spark, sf_dir), f"{folder}/checkpoint", add)
+    late = spark.read.schema("time timestamp, orderid bigint, batch bigint").parquet(f"{folder}/late")
+    return late.select("batch", "orderid", F.col("time").cast("string").alias("time"))
+
+
+@query(
+    f"""{_PER_BATCH}
+    SELECT b AS batch, symbol, CAST(sum(amount) AS BIGINT) AS total FROM g JOIN newest ON g.batch <= b AND otime > newest - INTERVAL 60 MINUTE
+    GROUP BY ALL"""
+)
+def stream_running_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR4, STR6: after each batch, the amounts of the last 60 minutes to the second, late orders included."""
+    folder = shared_folder(spark, "running-hour")
+    add, sink = order_flow.to_ticks(f"{folder}/ticks", fan=2), batches.to_folder(f"{folder}/out")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        add(batch, batch_id)
+        sink(order_flow.running_volume(batch.sparkSession, f"{folder}/ticks"), batch_id)
+
+    run_batches(order_batches(spark, sf_dir), f"{folder}/checkpoint", write)
+    return spark.read.schema("symbol string, total bigint, batch bigint").parquet(f"{folder}/out")
+
+
+@query(
+    f"""{_PER_BATCH}
+    SELECT strftime(time_bucket(INTERVAL '5 minutes', otime), '%Y-%m-%d %H:%M:%S') AS pane, symbol, CAST(sum(amount) AS BIGINT) AS total,
+           count(*) AS orders, strftime(max(otime), '%Y-%m-%d %H:%M:%S') AS newest FROM g GROUP BY 1, 2"""
+)
+def stream_replayed_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR2-4, STR11: a stream is killed after it has added a batch and replays it, before and after parts are merged."""
+    folder = shared_folder(spark, "replayed-panes")
+    panes, orders, failed = f"{folder}/panes", order_batches(spark, sf_dir), set()
+    add = order_flow.to_panes(panes, fan=2)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        add(batch, batch_id)
+        if batch_id in (0, 1, 3) and batch_id not in failed:
+            failed.add(batch_id)
+            raise RuntimeError("killed before the batch was committed")
+
+    for kills in range(4):
+        try:
+            run_batches(orders, f"{folder}/checkpoint", write)
+        except StreamingQueryException:
+            if len(failed) <= kills:  # not of our making
+                raise
+            if kills == 1:  # the rest runs on one merged part
+                order_flow.pane_store(spark, panes).compact()
+    rows = order_flow.pane_store(spark, panes).read()
+    return rows.select(F.col("pane.start").cast("string").alias("pane"), "symbol", "total", "orders", F.col("newest").cast("string").alias("newest"))
+
+
+@query(
+    f"""{_PER_BATCH}, t AS (SELECT b, o_custkey, sum(amount * price) AS total FROM g JOIN newest ON g.batch <= b GROUP BY ALL),
+    r AS (SELECT *, row_number() OVER (PARTITION BY b ORDER BY total DESC, o_custkey) AS rank FROM t)
+    SELECT b AS batch, string_agg(CAST(o_custkey AS VARCHAR), ',' ORDER BY rank) AS "values" FROM r WHERE rank <= 5 GROUP BY b"""
+)
+def stream_top_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR2, STR6, AGG14: the top clients after each batch; a batch writes only the totals that it changes."""
+    folder = shared_folder(spark, "top-clients")
+    add, sink = order_flow.to_totals(f"{folder}/totals", fan=2), batches.to_folder(f"{folder}/out")
+
+    def write(changed: DataFrame, batch_id: int) -> None:
+        add(changed, batch_id)
+        sink(order_flow.top_clients(order_flow.total_store(changed.sparkSession, f"{folder}/totals").read()), batch_id)
+
+    totals = order_flow.client_totals(order_batches(spark, sf_dir))
+    batches.start(totals, f"{folder}/checkpoint", write, "update", interval=None).awaitTermination()
+    out = spark.read.schema("metric string, values array<string>, batch bigint").parquet(f"{folder}/out")
+    return out.select("batch", F.concat_ws(",", "values").alias("values"))
 
 
-@query(f"WITH {_LINES} SELECT CAST(count(*) AS BIGINT) AS messages, CAST(4 AS BIGINT) AS batches FROM o WHERE side IN ('B', 'S')")
+@query(f"{_PER_BATCH} SELECT batch, count(*) AS messages FROM g GROUP BY batch")
 def stream_batch_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """AGG12: the number of messages of each micro-batch, added up."""
+    """AGG12: the number of messages of each micro-batch."""
     folder = shared_folder(spark, "batch-sizes")
-    sizes = batch_size(batches.to_folder(f"{folder}/out"))
-    batches.start(order_batches(spark, sf_dir), f"{folder}/checkpoint", sizes, interval=None).awaitTermination()
-    return spark.read.parquet(f"{folder}/out").agg(F.sum("messages").alias("messages"), F.count("*").alias("batches"))
+    run_batches(order_batches(spark, sf_dir), f"{folder}/checkpoint", batch_size(batches.to_folder(f"{folder}/out")))
+    return spark.read.schema("messages bigint, batch bigint").parquet(f"{folder}/out")

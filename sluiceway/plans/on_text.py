@@ -20,7 +20,7 @@ from sluiceway.session import shared_folder
 from sluiceway.sources.messages import read_folder_stream
 from sluiceway.streaming import batches
 from sluiceway.streaming.changes import read_latest_state, start_latest_changes
-from sluiceway.streaming.words import start_word_count
+from sluiceway.streaming.words import keep_word_counts, read_word_counts
 
 # Short function words of the four languages in ``documents``.
 STOP_WORDS = "the of and to in a is it that for der die das und ist ein le la les de des et que el los en y un una".split()
@@ -48,12 +48,8 @@ def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "word-count")
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
     messages = read_folder_stream(spark, sf_dir, schema, pathGlobFilter="documents.parquet")
-    start_word_count(
-        messages, "text", stop_words(spark), batches.to_folder(f"{folder}/out"), f"{folder}/checkpoint", LATIN, None
-    ).awaitTermination()
-    written = spark.read.parquet(f"{folder}/out")
-    newest = written.select(F.max("batch")).scalar()
-    return written.where(F.col("batch") == newest).select("word", "n")
+    keep_word_counts(messages, "text", f"{folder}/counts", f"{folder}/checkpoint", LATIN, None).awaitTermination()
+    return read_word_counts(spark, f"{folder}/counts", stop_words(spark))
 
 
 def sensor_messages(events: DataFrame) -> DataFrame:
@@ -455,7 +451,7 @@ def stream_cdc_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = read_folder_stream(spark, sf_dir, schema, pathGlobFilter="customer.parquet")
     unwrapped = changes.unwrap_changes(change_messages(customers), ROW_SCHEMA)
     start_latest_changes(unwrapped, ["id"], f"{folder}/out", f"{folder}/checkpoint", interval=None).awaitTermination()
-    return read_latest_state(spark, f"{folder}/out", ["id"])
+    return read_latest_state(spark, f"{folder}/out", ["id"], ROW_SCHEMA)
 
 
 @query(

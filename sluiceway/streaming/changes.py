@@ -9,6 +9,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sluiceway.operators.changes import DELETED, newest_per_key
 from sluiceway.streaming import batches
+from sluiceway.streaming.generations import Generations
+
+
+def change_store(spark: SparkSession, path: str, schema: str, keys: Sequence[str], order: Sequence[str], fan: int = 8) -> Generations:
+    """The newest change of every key, deletes included."""
+    return Generations(spark, path, schema, lambda rows: newest_per_key(rows, keys, order), fan=fan)
 
 
 def start_latest_changes(
@@ -18,13 +24,26 @@ def start_latest_changes(
     checkpoint: str,
     order: Sequence[str] = ("ts_ms", "pos"),
     interval: str | None = "5 seconds",
+    fan: int = 8,
 ) -> StreamingQuery:
-    """Keep the newest change of each key as state, and write the keys that changed in each batch."""
+    """Keep the newest change of each key as state, and add the keys that changed in each batch to the table in ``path``."""
     newest = newest_per_key(changes, keys, order)
-    return batches.start(newest, checkpoint, batches.to_folder(path), "update", interval)
+    schema = schema_text(newest)
+
+    def write(changed: DataFrame, batch_id: int) -> None:
+        change_store(changed.sparkSession, path, schema, keys, order, fan).append(changed, batch_id)
+
+    return batches.start(newest, checkpoint, write, "update", interval)
+
+
+def schema_text(df: DataFrame) -> str:
+    """The columns of a frame as a schema text."""
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
 
 
-def read_latest_state(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str] = ("ts_ms", "pos")) -> DataFrame:
-    """The current rows from the folders that ``start_latest_changes`` wrote."""
-    written = spark.read.parquet(path)
-    return newest_per_key(written, keys, order).where(f"op <> '{DELETED}'").select("row.*")
+def read_latest_state(
+    spark: SparkSession, path: str, keys: Sequence[str], row_schema: str, order: Sequence[str] = ("ts_ms", "pos"), order_type: str = "bigint"
+) -> DataFrame:
+    """The current rows of the table that ``start_latest_changes`` keeps; deleted keys are left out."""
+    schema = ", ".join([*(f"`{c}` {order_type}" for c in order), "op string", f"row struct<{row_schema}>"])
+    return change_store(spark, path, schema, keys, order).read().where(f"op <> '{DELETED}'").select("row.*")

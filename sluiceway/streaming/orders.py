@@ -12,6 +12,7 @@ from sluiceway.operators.ranking import top_k_per, top_names
 from sluiceway.operators.records import parse_lines
 from sluiceway.operators.tumbling import sliding_sum
 from sluiceway.streaming import batches
+from sluiceway.streaming.generations import Generations
 
 # Fields of an order line, and the two sides.
 ORDER_FIELDS = (
@@ -81,68 +82,112 @@ def order_metrics(orders: DataFrame) -> DataFrame:
 
 
 PANES = "symbol string, pane struct<start: timestamp, end: timestamp>, total bigint, orders bigint, newest timestamp"
+TICKS = "symbol string, time timestamp, total bigint"
+
+
+def pane_store(spark: SparkSession, path: str, fan: int = 8) -> Generations:
+    """Sums per symbol and pane since the stream began."""
+
+    def combine(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("symbol", "pane").agg(
+            F.sum("total").alias("total"), F.sum("orders").alias("orders"), F.max("newest").alias("newest")
+        )
+
+    return Generations(spark, path, PANES, combine, "newest", fan=fan)
+
+
+def tick_store(spark: SparkSession, path: str, size: str = "60 minutes", fan: int = 8) -> Generations:
+    """Sums per symbol and instant over the last ``size``; what is older leaves when parts are merged."""
+
+    def combine(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("symbol", "time").agg(F.sum("total").alias("total"))
+
+    return Generations(spark, path, TICKS, combine, "time", _micros(spark, size), fan)
+
+
+def _micros(spark: SparkSession, size: str) -> int:
+    return spark.range(1).select(F.unix_micros(F.timestamp_seconds(F.lit(0)) + F.expr(f"INTERVAL {size}"))).first()[0]
 
 
 def to_panes(
-    path: str, slide: str = "5 minutes", delay: str = "10 minutes", late: batches.BatchFunction | None = None
+    path: str, slide: str = "5 minutes", delay: str = "10 minutes", late: batches.BatchFunction | None = None, fan: int = 8
 ) -> batches.BatchFunction:
     """Add every micro-batch of orders to the amounts per symbol and pane in ``path``.
 
     No order is dropped: one that comes late counts in the pane of its own time. Orders more than ``delay``
     older than the newest order of the batches before go to ``late`` as well, if it is given. A repeated batch
-    replaces what it wrote before.
+    adds nothing, and gives ``late`` the same orders as before.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if batch_id == 0:  # so that the folder can be read before it holds a pane
-            spark.createDataFrame([], PANES).write.mode("overwrite").parquet(batches.batch_folder(path, -1))
+        store = pane_store(batch.sparkSession, path, fan)
         batch.persist()
         try:
             if late is not None:
-                known = read_batches(spark, path).where(F.col("batch") < batch_id)
-                newest = known.agg(F.max("newest").alias("newest")).first()["newest"]
-                limit = F.lit(newest).cast("timestamp") - F.expr(f"INTERVAL {delay}")
+                now = store.manifest()
+                newest = now.high if now.last < batch_id else now.high_before
+                limit = F.timestamp_micros(F.lit(newest).cast("bigint")) - F.expr(f"INTERVAL {delay}")
                 late(batch.where(F.col("time") < limit), batch_id)
             panes = batch.groupBy("symbol", F.window("time", slide).alias("pane")).agg(
                 F.sum("amount").alias("total"), F.count(F.lit(1)).alias("orders"), F.max("time").alias("newest")
             )
-            panes.write.mode("overwrite").parquet(batches.batch_folder(path, batch_id))
+            store.append(panes, batch_id)
         finally:
             batch.unpersist()
 
     return write
 
 
-def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(f"{PANES}, batch bigint").parquet(path)
+def to_ticks(path: str, size: str = "60 minutes", fan: int = 8) -> batches.BatchFunction:
+    """Add every micro-batch of orders to the amounts per symbol and instant in ``path``; a repeated batch adds nothing."""
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        ticks = batch.groupBy("symbol", "time").agg(F.sum("amount").alias("total"))
+        tick_store(batch.sparkSession, path, size, fan).append(ticks, batch_id)
 
-def compact_panes(spark: SparkSession, path: str, target: str) -> None:
-    """Put the panes of all batches together in a new folder that takes the place of the old one.
-
-    Run it between two runs of the stream. The numbers of the batches go on from where they were.
-    """
-    rows = read_batches(spark, path)
-    last = rows.agg(F.max("batch").alias("batch")).first()["batch"]
-    if last is not None:
-        rows.groupBy("symbol", "pane").agg(
-            F.sum("total").alias("total"), F.sum("orders").alias("orders"), F.max("newest").alias("newest")
-        ).write.mode("overwrite").parquet(batches.batch_folder(target, last))
+    return write
 
 
 def pane_windows(spark: SparkSession, path: str, size: str = "60 minutes", slide: str = "5 minutes") -> DataFrame:
     """``window, symbol, total`` of every window that an order lies in, those still open included."""
-    panes = read_batches(spark, path).select("symbol", F.col("pane.start").alias("time"), "total")
+    panes = pane_store(spark, path).read().select("symbol", F.col("pane.start").alias("time"), "total")
     return sliding_sum(panes, ["symbol"], "time", "total", size, slide)
 
 
+def running_volume(spark: SparkSession, path: str, size: str = "60 minutes") -> DataFrame:
+    """``symbol, total`` over the last ``size`` before the newest order, to the instant; ``path`` is that of ``to_ticks``."""
+    store = tick_store(spark, path, size)
+    newest = store.manifest().high
+    edge = None if newest is None else newest - store.horizon
+    recent = store.read(edge).where(F.unix_micros("time") > F.lit(edge).cast("bigint"))
+    return recent.groupBy("symbol").agg(F.sum("total").alias("total"))
+
+
 def running_top(spark: SparkSession, path: str, size: str = "60 minutes", k: int = 5) -> DataFrame:
-    """(metric, values): the symbols with the largest volume in the panes of the last ``size``."""
-    panes = read_batches(spark, path)
-    newest = panes.agg(F.max("pane.end").alias("end")).first()["end"]
-    recent = panes.where(F.col("pane.start") >= F.lit(newest).cast("timestamp") - F.expr(f"INTERVAL {size}"))
-    return top_names(recent.groupBy("symbol").agg(F.sum("total").alias("total")), "total", "symbol", "TOP5STOCKS", k)
+    """(metric, values): the symbols with the largest volume of the last ``size``."""
+    return top_names(running_volume(spark, path, size), "total", "symbol", "TOP5STOCKS", k)
+
+
+TOTALS = "clientid bigint, total double, batch bigint"
+
+
+def total_store(spark: SparkSession, path: str, fan: int = 8) -> Generations:
+    """The running total of every client: of several, the one of the last batch."""
+
+    def combine(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("clientid").agg(F.max_by("total", "batch").alias("total"), F.max("batch").alias("batch"))
+
+    return Generations(spark, path, TOTALS, combine, fan=fan)
+
+
+def to_totals(path: str, fan: int = 8) -> batches.BatchFunction:
+    """Add the totals that a batch has changed; for ``client_totals`` in update mode."""
+
+    def write(changed: DataFrame, batch_id: int) -> None:
+        rows = changed.select("clientid", F.col("total").cast("double").alias("total"), F.lit(batch_id).cast("bigint").alias("batch"))
+        total_store(changed.sparkSession, path, fan).append(rows, batch_id)
+
+    return write
 
 
 def start_order_metrics(
@@ -157,27 +202,34 @@ def start_order_metrics(
 ) -> list[StreamingQuery]:
     """Write the (metric, values) rows of all four metrics at every batch.
 
-    Three queries share the source: counts per batch without state; one running sum per client; and sums per
-    symbol and pane, kept beside the checkpoint, from which the top stocks of the running ``size`` are ranked at
-    once, not only when a window closes. Late orders count, and go to ``late`` as well. ``sink_of`` gives the
-    sink of ``sides``, ``clients`` and ``stocks``; each query numbers its own batches, so folders must differ.
+    Three queries share the source: counts per batch without state; one running sum per client, of which a batch
+    writes the changed ones only; and sums per symbol and pane, and per symbol and instant, kept beside the checkpoint. From
+    the last the top stocks of the running ``size`` are ranked at once, not only when a window closes, and without reading
+    what is older. Late orders count, and go to ``late`` as well. ``sink_of`` gives the sink of ``sides``, ``clients`` and
+    ``stocks``; each query numbers its own batches, so folders must differ.
     """
-    panes = f"{checkpoint}/stock-panes"
-    add = to_panes(panes, slide, delay, late)
+    panes, ticks, totals = (f"{checkpoint}/{name}" for name in ("stock-panes", "stock-ticks", "client-totals"))
+    add, tick, change = to_panes(panes, slide, delay, late), to_ticks(ticks, size), to_totals(totals)
     sinks = {name: sink_of(name) for name in ("sides", "clients", "stocks")}
 
     def sides(batch: DataFrame, batch_id: int) -> None:
         sinks["sides"](side_counts(batch), batch_id)
 
     def clients(batch: DataFrame, batch_id: int) -> None:
-        sinks["clients"](top_clients(batch), batch_id)
+        change(batch, batch_id)
+        sinks["clients"](top_clients(total_store(batch.sparkSession, totals).read()), batch_id)
 
     def stocks(batch: DataFrame, batch_id: int) -> None:
-        add(batch, batch_id)
-        sinks["stocks"](running_top(batch.sparkSession, panes, size), batch_id)
+        batch.persist()
+        try:
+            add(batch, batch_id)
+            tick(batch, batch_id)
+        finally:
+            batch.unpersist()
+        sinks["stocks"](running_top(batch.sparkSession, ticks, size), batch_id)
 
     return [
         batches.start(orders, f"{checkpoint}/sides", sides, "append", interval),
-        batches.start(client_totals(orders), f"{checkpoint}/clients", clients, "complete", interval),
+        batches.start(client_totals(orders), f"{checkpoint}/clients", clients, "update", interval),
         batches.start(orders, f"{checkpoint}/stocks", stocks, "append", interval),
     ]

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+from dataclasses import replace
 
 import pytest
 from helpers import rows
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from sluiceway.operators.tumbling import sliding_sum
 from sluiceway.sources.messages import read_folder_stream, read_messages
 from sluiceway.streaming import batches, orders, words
+from sluiceway.streaming.generations import Generations
 from sluiceway.streaming.changes import read_latest_state, start_latest_changes
 
 T0 = dt.datetime(2020, 1, 1)
@@ -91,9 +93,94 @@ def test_late_orders_count_and_are_reported(spark, tmp_path):
     assert late == [3]
     windows = orders.pane_windows(spark, f"{tmp_path}/panes")
     assert {r.symbol: r.total for r in windows.groupBy("symbol").agg(F.max("total").alias("total")).collect()} == {"X": 15, "Y": 10}
-    orders.compact_panes(spark, f"{tmp_path}/panes", f"{tmp_path}/new")
-    assert rows(orders.pane_windows(spark, f"{tmp_path}/new")) == rows(windows)
-    assert rows(orders.running_top(spark, f"{tmp_path}/new")) == [("TOP5STOCKS", ["Y"])]
+    before = rows(windows)
+    orders.pane_store(spark, f"{tmp_path}/panes").compact()
+    assert rows(orders.pane_windows(spark, f"{tmp_path}/panes")) == before
+
+
+@pytest.mark.parametrize("fan", [2, 8])
+def test_running_hour_is_exact(spark, tmp_path, fan):
+    """The order of 10:02 is out of the hour that ends at 11:02; late orders of the hour count, replays do not."""
+    ticks = f"{tmp_path}/ticks"
+    add = orders.to_ticks(ticks, fan=fan)
+    schema = "symbol string, time timestamp, amount int"
+    seen, newest = [], T0
+    for batch, minutes in enumerate([[2, 30], [62, 1], [61, 3, 2], [200], [150, 139, 300]]):
+        part = [("AB"[m % 2], T0 + dt.timedelta(minutes=m), m) for m in minutes]
+        seen += part
+        for _ in range(2):
+            add(spark.createDataFrame(part, schema), batch)
+        newest = max([newest, *(t for _, t, _ in part)])
+        want = {}
+        for symbol, time, amount in seen:
+            if time > newest - dt.timedelta(minutes=60):
+                want[symbol] = want.get(symbol, 0) + amount
+        assert rows(orders.running_volume(spark, ticks)) == sorted(want.items())
+    assert rows(orders.running_top(spark, ticks)) == [("TOP5STOCKS", ["A"])]
+    assert all(p.high > orders.tick_store(spark, ticks).manifest().high - 3600 * 10**6 for p in orders.tick_store(spark, ticks).manifest().parts)
+
+
+def test_running_hour_of_nothing(spark, tmp_path):
+    assert rows(orders.running_volume(spark, f"{tmp_path}/none")) == []
+    add = orders.to_ticks(f"{tmp_path}/ticks")
+    add(spark.createDataFrame([], "symbol string, time timestamp, amount int"), 0)
+    assert rows(orders.running_volume(spark, f"{tmp_path}/ticks")) == []
+
+
+def sums(spark, path, **options):
+    return Generations(spark, path, "k bigint, n bigint", lambda r: r.groupBy("k").agg(F.sum("n").alias("n")), **options)
+
+
+def test_generations(spark, tmp_path):
+    store = sums(spark, f"{tmp_path}/g", fan=3)
+    for batch in range(20):
+        rows_ = spark.range(4).select(F.col("id").alias("k"), F.lit(batch).cast("bigint").alias("n"))
+        assert store.append(rows_, batch)
+        assert not store.append(rows_, batch)  # a replay, also of batches that are merged already
+        assert not store.append(rows_, 0)
+        parts = store.manifest().parts
+        assert [p.first for p in parts] == [0, *(p.last + 1 for p in parts[:-1])] and parts[-1].last == batch
+        assert len(parts) <= 6
+    want = [(k, sum(range(20))) for k in range(4)]
+    assert rows(store.read()) == want
+    store.compact()
+    assert len(store.manifest().parts) == 1 and rows(store.read()) == want and not store.append(rows_, 19)
+    assert store.vacuum() > 0 and rows(store.read()) == want and store.vacuum() == 0
+    assert store.append(spark.createDataFrame([(0, 1)], "k bigint, n bigint"), 25)  # numbers may leave gaps
+    assert rows(store.read())[0] == (0, 191)
+
+
+def test_a_batch_that_died_before_its_manifest_leaves_nothing(spark, tmp_path):
+    store = sums(spark, f"{tmp_path}/g")
+    one = spark.createDataFrame([(0, 1)], "k bigint, n bigint")
+    store.append(one, 0)
+    one.write.parquet(f"{tmp_path}/g/parts/1-1-died")
+    assert rows(store.read()) == [(0, 1)] and store.append(one, 1) and rows(store.read()) == [(0, 2)]
+    assert store.vacuum() >= 1 and rows(store.read()) == [(0, 2)]
+
+
+def test_second_writer_is_refused(spark, tmp_path):
+    a, b = sums(spark, f"{tmp_path}/g"), sums(spark, f"{tmp_path}/g")
+    one = spark.createDataFrame([(0, 1)], "k bigint, n bigint")
+    a.append(one, 0)
+    stale = b.manifest()
+    a.append(one, 1)
+    with pytest.raises(RuntimeError, match="another writer"):
+        b._publish(replace(stale, number=stale.number + 1))
+    assert rows(a.read()) == [(0, 2)]
+    with pytest.raises(ValueError):
+        sums(spark, f"{tmp_path}/g", horizon=1)
+
+
+def test_only_changed_counts_are_added(spark, tmp_path):
+    source = tmp_path / "in"
+    write_lines(source, "a.txt", ["мир и мир", "дом"])
+    write_lines(source, "b.txt", ["дом мир"])
+    messages = read_folder_stream(spark, str(source), "value string", "text", files_per_batch=1)
+    run(words.keep_word_counts(messages, "value", f"{tmp_path}/n", f"{tmp_path}/cp", interval=None, fan=9))
+    stop = spark.createDataFrame([("и",)], "word string")
+    assert [tuple(r) for r in words.read_word_counts(spark, f"{tmp_path}/n", stop).collect()] == [("мир", 3), ("дом", 2)]
+    assert spark.read.parquet(f"{tmp_path}/n/parts/*").count() == 5
 
 
 def test_sliding_stream_equals_batch_and_drops_late_rows(spark, tmp_path):
@@ -138,7 +225,7 @@ def test_latest_changes_over_batches(spark, tmp_path):
         spark.createDataFrame(data, schema).coalesce(1).write.mode("append").json(str(source / f"{i}"))
     stream = read_folder_stream(spark, f"{source}/*", schema, "json", files_per_batch=1)
     run(start_latest_changes(stream, ["id"], f"{tmp_path}/out", f"{tmp_path}/cp", interval=None))
-    assert rows(read_latest_state(spark, f"{tmp_path}/out", ["id"])) == [(1, "b")]
+    assert rows(read_latest_state(spark, f"{tmp_path}/out", ["id"], "id: int, name: string")) == [(1, "b")]
 
 
 def test_append_parsed_is_exactly_once(spark, tmp_path):
