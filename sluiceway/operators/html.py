@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
@@ -41,12 +42,13 @@ class Element:
     """Which element to take: tag, attribute values that must match, and what to read from it.
 
     A ``class`` matches when all its words are among the element's classes. ``read`` is ``"text"`` or an
-    attribute name.
+    attribute name. ``within`` lists elements that must be open around it, the outermost first, with anything between.
     """
 
     tag: str | None = None
     attrs: dict[str, str] = field(default_factory=dict)
     read: str = "text"
+    within: tuple[Element, ...] = ()
 
     def matches(self, tag: str, attrs: dict[str, str]) -> bool:
         if self.tag is not None and tag != self.tag:
@@ -63,13 +65,8 @@ class Element:
         return True
 
 
-@dataclass
-class _Open:
-    """An element whose end has not been seen: the record it started, and the fields that read its text."""
-
-    tag: str
-    record: dict[str, str | None] | None
-    reading: list[tuple[dict, str, list[str]]] = field(default_factory=list)
+#: What starts after an omitted end tag, to the elements that it ends.
+ENDS = {tag: [there for there, ends in ENDED_BY.items() if tag in ends] for tag in set().union(*ENDED_BY.values())}
 
 
 class _Collector(HTMLParser):
@@ -78,61 +75,119 @@ class _Collector(HTMLParser):
     Open elements are kept as a stack. A container inside another gives a record of its own; what lies in
     the inner one lies in the outer one as well. Elements whose end tag may be omitted end where the next
     one of their kind begins, others at the end of what holds them.
+
+    The work is linear in the page: the places of each tag on the stack are listed, so no end tag searches it; a field knows
+    the open records that still wait for it; texts are ranges of one buffer, cut out at the end; and how far the ``within`` of
+    each wanted element is met is a number that an element hands down to what it holds.
     """
 
     def __init__(self, container: Element, fields: dict[str, Element]):
         super().__init__(convert_charrefs=True)
         self.container, self.fields = container, fields
-        self.records: list[dict[str, str | None]] = []
-        self._stack: list[_Open] = []
+        self.records: list[dict] = []
+        self._tags: list[str] = []
+        self._places: dict[str, list[int]] = {}
+        self._holders: list[int] = []
+        self._waiting: dict[str, list[tuple[int, dict]]] = {name: [] for name in fields}
+        self._reading: list[tuple[int, list[int]]] = []
+        self._pieces: list[str] = []
+        self._size = 0
+        self._scoped = [e for e in dict.fromkeys(map(_Known, [container, *fields.values()])) if e.element.within]
+        self._met: list[tuple[int, ...]] = [(0,) * len(self._scoped)]
+        self._number = {e: i for i, e in enumerate(self._scoped)}
 
     def handle_starttag(self, tag, attrs):
         attrs = {k: v or "" for k, v in attrs}
         self._end_omitted(tag)
-        opened = _Open(tag, dict.fromkeys(self.fields) if self.container.matches(tag, attrs) else None)
-        if opened.record is not None:
-            self.records.append(opened.record)
-        for record in [o.record for o in [*self._stack, opened] if o.record is not None]:
-            for name, wanted in self.fields.items():
-                if record[name] is None and wanted.matches(tag, attrs):
-                    if wanted.read != "text":
-                        record[name] = attrs.get(wanted.read)
-                    else:
-                        record[name] = ""
-                        opened.reading.append((record, name, []))
-        if tag not in VOID:
-            self._stack.append(opened)
+        place = len(self._tags)
+        if self._fits(self.container, tag, attrs):
+            record = dict.fromkeys(self.fields)
+            self.records.append(record)
+            for waiting in self._waiting.values():
+                waiting.append((place, record))
+        for name, wanted in self.fields.items():
+            waiting = self._waiting[name]
+            if not waiting or wanted.read != "text" and wanted.read not in attrs or not self._fits(wanted, tag, attrs):
+                continue
+            value = attrs[wanted.read] if wanted.read != "text" else [self._size, self._size]
+            for _, record in waiting:
+                record[name] = value
+            waiting.clear()
+            if wanted.read == "text" and tag not in VOID:
+                self._reading.append((place, value))
+        if tag in VOID:
+            self._forget(place)
+            return
+        self._tags.append(tag)
+        self._places.setdefault(tag, []).append(place)
+        if tag in HOLDS_ITS_OWN:
+            self._holders.append(place)
+        met = self._met[-1]
+        for i, known in enumerate(self._scoped):
+            around = known.element.within
+            if met[i] < len(around) and around[met[i]].matches(tag, attrs):
+                met = (*met[:i], met[i] + 1, *met[i + 1 :])
+        self._met.append(met)
+
+    def _fits(self, wanted: Element, tag: str, attrs: dict[str, str]) -> bool:
+        if not wanted.matches(tag, attrs):
+            return False
+        return not wanted.within or self._met[-1][self._number[_Known(wanted)]] == len(wanted.within)
 
     def _end_omitted(self, tag: str) -> None:
-        """End open elements that the start of ``tag`` implies."""
-        for at in range(len(self._stack) - 1, -1, -1):
-            there = self._stack[at].tag
-            if tag in ENDED_BY.get(there, ()):
-                self._end(at)
-            elif there in HOLDS_ITS_OWN:
-                return
+        """End the open elements that the start of ``tag`` implies, down to one that holds its own."""
+        held = self._holders[-1] if self._holders else -1
+        first = [places[at] for there in ENDS.get(tag, ()) if (at := bisect_right(places := self._places.get(there, []), held)) < len(places)]
+        if first:
+            self._end(min(first))
 
     def handle_data(self, data):
-        for opened in self._stack:
-            for _, _, pieces in opened.reading:
-                pieces.append(data)
+        if self._reading:
+            self._pieces.append(data)
+            self._size += len(data)
 
     def handle_endtag(self, tag):
-        for at in range(len(self._stack) - 1, -1, -1):
-            if self._stack[at].tag == tag:
-                self._end(at)
-                return
+        places = self._places.get(tag)
+        if places:
+            self._end(places[-1])
 
     def _end(self, at: int) -> None:
         """End the open element at this place of the stack and all inside it."""
-        for opened in self._stack[at:]:
-            for record, name, pieces in opened.reading:
-                record[name] = "".join(pieces)
-        del self._stack[at:]
+        while len(self._tags) > at:
+            self._places[self._tags.pop()].pop()
+            self._met.pop()
+        while self._holders and self._holders[-1] >= at:
+            self._holders.pop()
+        while self._reading and self._reading[-1][0] >= at:
+            self._reading.pop()[1][1] = self._size
+        self._forget(at)
+
+    def _forget(self, at: int) -> None:
+        for waiting in self._waiting.values():
+            while waiting and waiting[-1][0] >= at:
+                waiting.pop()
 
     def close(self):
         super().close()
         self._end(0)
+        text = "".join(self._pieces)
+        for record in self.records:
+            for name, value in record.items():
+                if isinstance(value, list):
+                    record[name] = text[value[0] : value[1]]
+
+
+@dataclass(frozen=True, eq=False)
+class _Known:
+    """An element by identity: its attributes are no key."""
+
+    element: Element
+
+    def __hash__(self):
+        return id(self.element)
+
+    def __eq__(self, other):
+        return self.element is other.element
 
 
 def page_records(html: str | None, container: Element, fields: dict[str, Element]) -> list[dict]:

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluiceway.functions.binary import pair_label
+from sluiceway.functions.clock import previous_month
 from sluiceway.operators.columns import cast_columns, drop_missing, fill_zero
 from sluiceway.operators.joins import chain_left, keep_keys, union_families
 from sluiceway.operators.labelling import backfill, label_ahead
 from sluiceway.plans.telemetry import DEVICE, ERROR_FIELDS, PARTITION
-from sluiceway.session import hand_over
+from sluiceway.session import hand_over, own_files
+from sluiceway.sinks.files import write_partitioned
+from sluiceway.sources.tables import read_table
 
 # Label rule of an error code pair, required columns and version columns.
 ERROR_LABELS = {(3, 0): 1, (12, 0): 2}
@@ -43,12 +47,19 @@ def failed_devices(errors: DataFrame) -> DataFrame:
 
 
 def family_rows(
-    telemetry: DataFrame, status: DataFrame, errors: DataFrame, devices: DataFrame, only_failed: bool = True
-) -> DataFrame:
-    """Telemetry of one device family with its side tables. A side key that repeats repeats the row."""
-    if only_failed:
-        telemetry = keep_keys(telemetry, failed_devices(errors), [DEVICE])
-    return chain_left(telemetry, [status, labelled_errors(errors), devices], KEYS, REPEATED)
+    telemetry: dict[int, DataFrame], status: DataFrame, errors: DataFrame, devices: DataFrame, only_failed: bool = True
+) -> dict[int, DataFrame]:
+    """Telemetry of each device family, by type number, with its side tables. A side key that repeats repeats the row.
+
+    The error windows are made once and handed over: every family reads them for its labels and for its failed devices.
+    """
+    errors = hand_over(labelled_errors(errors), "mart-errors")
+    failed = errors.where(F.col(LABEL).isin(*FAILURES)).select(DEVICE).distinct()
+    families = {}
+    for number, rows in telemetry.items():
+        kept = keep_keys(rows, failed, [DEVICE]) if only_failed else rows
+        families[number] = chain_left(kept, [status, errors, devices], KEYS, REPEATED)
+    return families
 
 
 def joined_rows(
@@ -69,18 +80,43 @@ def build_mart(
     families: dict[int, DataFrame],
     connection: DataFrame,
     weather: DataFrame | None,
+    tiebreak: Sequence[str],
     required: Sequence[str] = REQUIRED,
     versions: Sequence[str] = VERSIONS,
-    tiebreak: Sequence[str] = (),
     slice_width: str = "1 day",
     casts: dict[str, str] | None = None,
 ) -> DataFrame:
     """The mart: joined rows, labels of the day before a failure, versions filled back.
 
-    ``families`` maps the type number to the result of ``family_rows``. The joined rows are written once to
+    ``families`` is the result of ``family_rows``; ``tiebreak`` orders the rows of one device and window. The joined rows are written once to
     the shared folder, because labelling and filling read them several times.
     """
     rows = hand_over(joined_rows(families, connection, weather, required), "mart-joined")
     rows = label_ahead(rows, [DEVICE], "start", LABEL, sources=FAILURES, targets=(0, OTHER_ERROR), slice_width=slice_width)
     rows = backfill(rows, [DEVICE], "start", versions, tiebreak, slice_width)
     return cast_columns(rows, casts or {"additionalvalue": "string"})
+
+
+def stored_mart(
+    spark: SparkSession,
+    sources: dict[str, str],
+    families: dict[int, Column],
+    weather: DataFrame | None,
+    target: str,
+    run_date: dt.date,
+    tiebreak: Sequence[str],
+    slice_width: str = "1 day",
+) -> DataFrame:
+    """The mart of the month before the run date, from the folders that the month jobs store to a partitioned target.
+
+    ``sources`` has the folders ``readings``, ``status``, ``error``, ``device`` and ``connection``; ``families`` says by type number
+    which readings belong to a family. Returns the month as stored; intermediate folders are deleted.
+    """
+    year, month = previous_month(run_date)
+    tables = {name: read_table(spark, folder, {"year": year, "month": month}) for name, folder in sources.items()}
+    with own_files(spark):
+        readings = {number: tables["readings"].where(wanted) for number, wanted in families.items()}
+        joined = family_rows(readings, tables["status"], tables["error"], tables["device"])
+        rows = build_mart(joined, tables["connection"], weather, tiebreak, slice_width=slice_width)
+        write_partitioned(rows, target, PARTITION, "overwrite_partitions", sort=KEYS)
+    return read_table(spark, target, {"year": year, "month": month})

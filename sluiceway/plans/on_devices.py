@@ -156,14 +156,14 @@ def _windows_sql() -> str:
 )
 def device_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ1, FLT1, SCL1-5, SCL10, WIN1-4: decoded and repaired readings."""
-    return telemetry.repair(telemetry.decode(telemetry_rows(spark, sf_dir)), "6 hours")
+    return telemetry.repair(telemetry.decode(telemetry_rows(spark, sf_dir)), [], "6 hours")
 
 
 @query(f"WITH {_base_sql()}, {_decoded_sql()}, {_repaired_sql()}, {_grown_sql()} {_windows_sql()}")
 def device_ten_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """WIN5, AGG1-6, DT1-3, PRJ8, SNK1: the whole chain to ten-minute rows, with the hand-over between jobs."""
-    repaired = telemetry.repair(telemetry.decode(telemetry_rows(spark, sf_dir)), "6 hours")
-    return telemetry.ten_minutes(mart.hand_over(repaired, "readings"), "6 hours")
+    repaired = telemetry.repair(telemetry.decode(telemetry_rows(spark, sf_dir)), [], "6 hours")
+    return telemetry.ten_minutes(mart.hand_over(repaired, "readings"), [], "6 hours")
 
 
 _OF_MONTH = _grown_sql().replace("FROM repaired)", "FROM repaired WHERE \"year\" = '2024' AND \"month\" = '01')")
@@ -174,7 +174,7 @@ def device_month_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC1-2, SRC4, SNK1, SRT1: one call from the run date over a raw zone to stored, sorted ten-minute rows."""
     zone, target = shared_folder(spark, "alive-zone"), shared_folder(spark, "alive-windows")
     write_partitioned(telemetry_rows(spark, sf_dir), zone, telemetry.PARTITION)
-    return telemetry.month_job(spark, zone, target, dt.date(2024, 2, 3), slice_width=None, max_rows=2_000)
+    return telemetry.month_job(spark, zone, target, dt.date(2024, 2, 3), [], slice_width=None, max_rows=2_000)
 
 
 # Side tables, again from events. v is a small number that varies from event to event.
@@ -219,6 +219,7 @@ def _side_sql(name: str, columns: dict[str, str], where: str) -> str:
               WHERE {where}))"""
 
 
+# Column names of the side records; the expressions make them out of events.
 _STATUS = {
     "operationmode": "v % 2",
     "insidetemperature": "v",
@@ -293,7 +294,7 @@ def error_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def connection_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG4, AGG8: last connection status per window."""
-    return telemetry.connection_windows(side_rows(spark, sf_dir, _CONNECTION, _CONNECTION_WHERE))
+    return telemetry.connection_windows(side_rows(spark, sf_dir, _CONNECTION, _CONNECTION_WHERE), [])
 
 
 @query(f"WITH {_side_sql('device_raw', _DEVICE, _DEVICE_WHERE)}, {_DEVICE_SQL} SELECT * FROM device")
@@ -376,8 +377,8 @@ def _mart_sql() -> str:
 
 def ten_minute_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ten-minute measures for the mart."""
-    repaired = telemetry.repair(telemetry.decode(telemetry_rows(spark, sf_dir)), "6 hours")
-    return telemetry.ten_minutes(mart.hand_over(repaired, "readings"), "6 hours").drop("end")
+    repaired = telemetry.repair(telemetry.decode(telemetry_rows(spark, sf_dir)), [], "6 hours")
+    return telemetry.ten_minutes(mart.hand_over(repaired, "readings"), [], "6 hours").drop("end")
 
 
 @query(_mart_sql())
@@ -387,17 +388,15 @@ def device_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     errors = telemetry.error_windows(error_rows(spark, sf_dir))
     status = telemetry.status_windows(side_rows(spark, sf_dir, _STATUS, _STATUS_WHERE))
     devices = telemetry.device_windows(side_rows(spark, sf_dir, _DEVICE, _DEVICE_WHERE))
-    connection = telemetry.connection_windows(side_rows(spark, sf_dir, _CONNECTION, _CONNECTION_WHERE))
+    connection = telemetry.connection_windows(side_rows(spark, sf_dir, _CONNECTION, _CONNECTION_WHERE), [])
     weather = (
         table(spark, sf_dir, "events")
         .groupBy(F.window("ts", "10 minutes").alias("w"))
         .agg(F.min(F.floor("value") % 40).alias("temperature"))
         .select(F.col("w.start").cast("string").alias("datetime"), "temperature")
     )
-    families = {
-        number: mart.family_rows(ten.where(F.col("additionalvalue") == parity), status, errors, devices)
-        for number, parity in ((2, 0), (3, 1))
-    }
+    readings = {number: ten.where(F.col("additionalvalue") == parity) for number, parity in ((2, 0), (3, 1))}
+    families = mart.family_rows(readings, status, errors, devices)
     return mart.build_mart(
         families,
         connection,

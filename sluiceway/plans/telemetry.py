@@ -13,7 +13,7 @@ from sluiceway.functions.clock import epoch_ms, previous_month
 from sluiceway.operators.counters import counter_diff, repair_counter
 from sluiceway.operators.slices import fit_slice
 from sluiceway.operators.tumbling import Growth, Last, any_set, mean, tumble
-from sluiceway.session import hand_over, release
+from sluiceway.session import hand_over, own_files
 from sluiceway.sinks.files import write_partitioned
 from sluiceway.sources.tables import read_table
 
@@ -81,15 +81,18 @@ def decode(raw: DataFrame, align: str = "left") -> DataFrame:
     return with_bits(fields, FLAGS, align).drop(*spent)
 
 
-def repair(decoded: DataFrame, slice_width: str = "1 day", tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Counter outliers of a device and month become the previous reading."""
+def repair(decoded: DataFrame, tiebreak: Sequence[str], slice_width: str = "1 day") -> DataFrame:
+    """Counter outliers of a device and month become the previous reading.
+
+    ``tiebreak`` names the columns that order readings of one time; it may be empty only if a device has no two of them.
+    """
     return repair_counter(decoded, COUNTERS, [DEVICE, "month"], TIME, tiebreak, slice_width)
 
 
 def ten_minutes(
-    readings: DataFrame, slice_width: str = "1 day", tiebreak: Sequence[str] = (), width: str = "10 minutes"
+    readings: DataFrame, tiebreak: Sequence[str], slice_width: str = "1 day", width: str = "10 minutes"
 ) -> DataFrame:
-    """Counter growth per reading, then one row per device, attributes and window."""
+    """Counter growth per reading, then one row per device, attributes and window; ``tiebreak`` as in ``repair``."""
     growing = counter_diff(readings, COUNTERS, [DEVICE], TIME, tiebreak, slice_width)
     spec = {c: any_set(c) for c in FLAG_COLUMNS}
     spec |= {c: mean(c) for c in WHOLE_MEANS}
@@ -110,7 +113,7 @@ def error_windows(events: DataFrame, width: str = "10 minutes") -> DataFrame:
     return tumble(decoded, keys, epoch_ms(TIME), width, {c: F.max(c) for c in pairs})
 
 
-def connection_windows(events: DataFrame, tiebreak: Sequence[str] = (), width: str = "10 minutes") -> DataFrame:
+def connection_windows(events: DataFrame, tiebreak: Sequence[str], width: str = "10 minutes") -> DataFrame:
     """Last connection status per device, kind and window."""
     keys = [DEVICE, "thingstype", *PARTITION]
     return tumble(events, keys, epoch_ms(TIME), width, {"status": Last("status")}, [TIME, *tiebreak])
@@ -140,9 +143,9 @@ def month_job(
     zone: str,
     target: str,
     run_date: dt.date,
+    tiebreak: Sequence[str],
     slice_width: str | None = "1 day",
     max_rows: int = 5_000_000,
-    tiebreak: Sequence[str] = (),
 ) -> DataFrame:
     """The ten-minute rows of the month before the run date, from a raw zone to a partitioned target.
 
@@ -152,9 +155,25 @@ def month_job(
     """
     year, month = previous_month(run_date)
     decoded = decode(read_table(spark, zone, {"year": year, "month": month}))
-    width = slice_width or fit_slice(decoded, [DEVICE], TIME, max_rows)
-    repaired = hand_over(repair(decoded, width, tiebreak), "month-readings")
-    rows = ten_minutes(repaired, width, tiebreak)
+    with own_files(spark):
+        width = slice_width or fit_slice(decoded, [DEVICE], TIME, max_rows)
+        repaired = hand_over(repair(decoded, tiebreak, width), "month-readings")
+        rows = ten_minutes(repaired, tiebreak, width)
+        write_partitioned(rows, target, PARTITION, "overwrite_partitions", sort=[DEVICE, "start"])
+    return read_table(spark, target, {"year": year, "month": month})
+
+
+#: The side tables by name: how their records become windows.
+SIDES = {"error": error_windows, "connection": connection_windows, "device": device_windows, "status": status_windows}
+
+
+def side_month_job(spark: SparkSession, side: str, zone: str, target: str, run_date: dt.date, tiebreak: Sequence[str] = ()) -> DataFrame:
+    """The windows of one side table for the month before the run date, as ``month_job`` stores those of the readings.
+
+    ``tiebreak`` is for ``connection``, whose last status needs an order of records of one time.
+    """
+    year, month = previous_month(run_date)
+    records = read_table(spark, zone, {"year": year, "month": month})
+    rows = connection_windows(records, tiebreak) if side == "connection" else SIDES[side](records)
     write_partitioned(rows, target, PARTITION, "overwrite_partitions", sort=[DEVICE, "start"])
-    release(spark)
     return read_table(spark, target, {"year": year, "month": month})

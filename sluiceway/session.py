@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN_FOLDERS: dict[str, str] = {}
-_HANDED_OVER: dict[str, list[str]] = {}
+#: The folders of the job at work in this thread.
+_JOB: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("job", default=None)
 
 # The JVM interprets, and never compiles, methods above 8000 bytes of code. Wide projections such as the
 # device decoding reach that in one generated method. A cluster sets the same option for its executors.
@@ -57,19 +61,27 @@ def hand_over(df: DataFrame, purpose: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_folder(spark, purpose)
-    _HANDED_OVER.setdefault(spark.sparkContext.applicationId, []).append(path)
+    job = _JOB.get()
+    if job is not None:
+        job.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> int:
-    """Delete what ``hand_over`` has written in this application, and return the number of folders.
+@contextlib.contextmanager
+def own_files(spark: SparkSession) -> Iterator[list[str]]:
+    """Delete, at the end, what is handed over inside the ``with`` block, and nothing else.
 
-    Call it at the end of a job, when the results are stored: frames that were handed over cannot be read after.
+    For a job that stores its results: frames that were handed over inside cannot be read after. A block inside another has
+    files of its own; other threads and frames planned before are not touched.
     """
-    folders = _HANDED_OVER.pop(spark.sparkContext.applicationId, [])
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for folder in folders:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
-    return len(folders)
+    written: list[str] = []
+    token = _JOB.set(written)
+    try:
+        yield written
+    finally:
+        _JOB.reset(token)
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in written:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)

@@ -17,30 +17,65 @@ def read_table(
 
     ``partitions`` keeps only the matching partition folders; the others are not listed or read. The partition
     columns of a folder are text, so ``month=08`` stays ``08`` and can be written on under the same name; a
-    ``schema`` says otherwise for the columns it names.
+    ``schema`` says otherwise for the columns it names. Without a ``schema``, the columns are those of one matching file.
+    No matching folder gives an empty frame.
     """
-    if "/" not in name:
-        df = spark.table(name)
-    else:
-        declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
-        if declared is None:
-            declared = _with_text_partitions(spark, name)
-        df = spark.read.schema(declared).parquet(name)
-    df = lower_names(df)
-    for column, value in (partitions or {}).items():
+    wanted = partitions or {}
+    df = lower_names(spark.table(name) if "/" not in name else _read_folder(spark, name.rstrip("/"), wanted, schema))
+    for column, value in wanted.items():
         df = df.where(F.col(column) == value)
     return df
 
 
-def _with_text_partitions(spark: SparkSession, folder: str) -> StructType:
-    """The schema of a folder, its partition columns as text: those that no file holds, at the end."""
-    whole = spark.read.parquet(folder)
-    # The files' own columns, read from one of them as it stands, without folder names.
-    files = whole.select(F.input_file_name().alias("file")).limit(1).collect()
-    if not files:
-        return whole.schema
-    held = {f.name for f in spark.read.parquet(files[0]["file"]).schema}
-    return StructType([f if f.name in held else StructField(f.name, StringType()) for f in whole.schema])
+def _read_folder(spark: SparkSession, folder: str, wanted: dict[str, str], schema: StructType | str | None) -> DataFrame:
+    declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    file = _first_file(spark, folder, wanted)
+    sample = file or _first_file(spark, folder, {})
+    if sample is None:
+        if declared is None:
+            raise FileNotFoundError(f"{folder} holds no file that tells its columns")
+        return spark.createDataFrame([], declared)
+    levels = [level.split("=", 1)[0] for level in sample[sample.rindex(folder) + len(folder) :].split("/") if "=" in level]
+    held = spark.read.parquet(sample).schema if declared is None else declared
+    named = {f.name for f in held}
+    whole = StructType([*held, *(StructField(level, StringType()) for level in levels if level not in named)])
+    if file is None:
+        return spark.createDataFrame([], whole)
+    # Only the folders of this pattern are listed; escaped values hold no character that means something in a pattern.
+    depth = max((i + 1 for i, level in enumerate(levels) if level in wanted), default=0)
+    pattern = "".join(f"/{level}={_escaped(spark, wanted[level]) if level in wanted else '*'}" for level in levels[:depth])
+    return spark.read.schema(whole).option("basePath", folder).parquet(folder + pattern)
+
+
+def _first_file(spark: SparkSession, folder: str, wanted: dict[str, str]) -> str | None:
+    """The first file of a folder that lies in the wanted partitions; only one path is walked down where they are named."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def below(at) -> str | None:
+        entries = fs.listStatusIterator(at)
+        while entries.hasNext():
+            entry = entries.next()
+            name = entry.getPath().getName()
+            if name.startswith(("_", ".")):
+                continue
+            if entry.isFile():
+                return entry.getPath().toString()
+            level = name.split("=", 1)[0]
+            if "=" in name and level in wanted:
+                named = hadoop.Path(at, f"{level}={_escaped(spark, wanted[level])}")
+                return below(named) if fs.exists(named) else None
+            if found := below(entry.getPath()):
+                return found
+        return None
+
+    root = hadoop.Path(folder)
+    return below(root) if fs.exists(root) else None
+
+
+def _escaped(spark: SparkSession, value: str) -> str:
+    """A partition value as it stands in the name of a folder."""
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
 
 
 def read_raw_zone(

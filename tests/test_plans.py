@@ -21,7 +21,7 @@ def test_partition_filter_reaches_the_scan(spark, sf_dir, tmp_path):
 
 def test_device_plan_stays_in_the_jvm(spark, sf_dir):
     decoded = telemetry.decode(on_devices.telemetry_rows(spark, sf_dir))
-    for df in (decoded, telemetry.repair(decoded), telemetry.ten_minutes(decoded)):
+    for df in (decoded, telemetry.repair(decoded, []), telemetry.ten_minutes(decoded, [])):
         text = plan_of(df)
         assert "Python" not in text and "ArrowEval" not in text
 

@@ -1,12 +1,16 @@
 """Hand-made messages, pages and change events."""
 
 import json
+import time
+from html.parser import HTMLParser
 
 import pytest
 from helpers import rows
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from sluiceway.operators import changes, columns, records
+from sluiceway.operators import changes, columns, html, records
 from sluiceway.operators.html import Element, extract_html, page_records
 from sluiceway.operators.joins import chain_left, drop_words, keep_keys, union_families
 from sluiceway.operators.ranking import top_k_per, top_names, value_chunks
@@ -145,6 +149,85 @@ def test_comments_and_broken_pages(spark):
     assert rows(extract_html(df, "html", image, {"src": Element("img", read="src")})) == [("a",), ("b",)]
 
 
+class Plain(HTMLParser):
+    """The same records with a whole search at every tag: what the linear collector must equal."""
+
+    def __init__(self, container, fields):
+        super().__init__(convert_charrefs=True)
+        self.container, self.fields, self.records, self.stack = container, fields, [], []
+
+    def handle_starttag(self, tag, attrs):
+        attrs = {k: v or "" for k, v in attrs}
+        for at in range(len(self.stack) - 1, -1, -1):
+            there = self.stack[at][0]
+            if tag in html.ENDED_BY.get(there, ()):
+                del self.stack[at:]
+            elif there in html.HOLDS_ITS_OWN:
+                break
+        above = [(t, a) for t, a, _, _ in self.stack]
+
+        def fits(wanted):
+            left = list(wanted.within)
+            for t, a in above:
+                if left and left[0].matches(t, a):
+                    left.pop(0)
+            return not left and wanted.matches(tag, attrs)
+
+        record = dict.fromkeys(self.fields) if fits(self.container) else None
+        if record is not None:
+            self.records.append(record)
+        reading = []
+        for r in [r for _, _, r, _ in [*self.stack, (tag, attrs, record, [])] if r is not None]:
+            for name, wanted in self.fields.items():
+                if r[name] is None and fits(wanted):
+                    r[name] = attrs.get(wanted.read) if wanted.read != "text" else ""
+                    if wanted.read == "text":
+                        reading.append((r, name))
+        if tag not in html.VOID:
+            self.stack.append((tag, attrs, record, reading))
+
+    def handle_data(self, data):
+        for _, _, _, reading in self.stack:
+            for r, name in reading:
+                r[name] += data
+
+    def handle_endtag(self, tag):
+        for at in range(len(self.stack) - 1, -1, -1):
+            if self.stack[at][0] == tag:
+                del self.stack[at:]
+                return
+
+
+_TAG = st.sampled_from(["div", "p", "li", "ul", "td", "tr", "table", "b", "br", "img", "dt", "dd"])
+_TOKENS = st.one_of(
+    st.builds("<{} class='{}' id='{}'>".format, _TAG, st.sampled_from(["c", "c d", "e", ""]), st.sampled_from("12")),
+    st.builds("</{}>".format, _TAG),
+    st.builds("<{}>".format, _TAG),
+    st.sampled_from(["x", "y ", "&amp;"]),
+)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(_TOKENS, max_size=40))
+def test_html_equals_a_plain_search(tokens):
+    page = "".join(tokens)
+    inner = Element("b", within=(Element("div", {"class": "c"}), Element("p")))
+    fields = {"all": Element("div"), "id": Element("p", read="id"), "item": Element("li", {"class": "c"}), "inner": inner, "img": Element("img")}
+    for container in (Element("div", {"class": "c"}), Element("li"), Element("p", within=(Element("table"),)), Element("br")):
+        plain = Plain(container, fields)
+        plain.feed(page)
+        plain.close()
+        assert page_records(page, container, fields) == plain.records
+
+
+@pytest.mark.parametrize("unit", ["<div>x", "<li>x", "<p>x<div>", "<div class='c'><b>x</b>", "</b>x<div>"])
+def test_broken_pages_take_linear_time(unit):
+    begun = time.process_time()
+    fields = {"t": Element("b"), "u": Element("i"), "h": Element("div", read="href")}
+    page_records(unit * 16_000, Element("div", {"class": "c"}), fields)
+    assert time.process_time() - begun < 1.5
+
+
 def envelope(op, key, name, ts, pos, before=None):
     row = {"id": key, "first_name": name}
     after = None if op == "d" else row

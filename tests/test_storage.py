@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from helpers import rows
 
-from sluiceway.session import hand_over, shared_folder
+from sluiceway.session import hand_over, own_files, shared_folder
 from sluiceway.sinks import jdbc as jdbc_sink
 from sluiceway.sinks import tables
 from sluiceway.sinks.files import write_csv, write_partitioned
@@ -28,6 +28,36 @@ def test_partitioned_modes(spark, tmp_path):
     assert rows(read_table(spark, path)) == [(5, "c")]
 
 
+def test_only_the_wanted_folder_is_listed(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    data = spark.createDataFrame([(1, "2020", "08", "a b"), (2, "2021", "08", "x:y/z"), (3, "2021", "09", "c*")], "v int, year string, month string, day string")
+    write_partitioned(data, path, ["year", "month", "day"])
+    assert rows(read_table(spark, path, {"month": "08"})) == [(1, "2020", "08", "a b"), (2, "2021", "08", "x:y/z")]
+    assert rows(read_table(spark, path, {"year": "2021", "day": "x:y/z"})) == [(2, "2021", "08", "x:y/z")]
+    assert rows(read_table(spark, path, {"day": "c*"})) == [(3, "2021", "09", "c*")]
+    none = read_table(spark, path, {"month": "10"})
+    assert none.columns == ["v", "year", "month", "day"] and rows(none) == []
+    assert len(read_table(spark, path, {"year": "2021"}).inputFiles()) == 2
+    assert read_table(spark, path, {"year": "2021"}, "v int, year int").schema["year"].dataType.simpleString() == "int"
+    with pytest.raises(FileNotFoundError):
+        read_table(spark, f"{tmp_path}/nothing")
+    assert rows(read_table(spark, f"{tmp_path}/nothing", schema="v int")) == []
+
+
+def test_a_job_deletes_its_own_files_only(spark):
+    before = hand_over(spark.range(3), "before")
+    with own_files(spark) as outer:
+        kept = hand_over(spark.range(4), "outer")
+        with pytest.raises(ValueError), own_files(spark) as inner:
+            lost = hand_over(spark.range(5), "inner")
+            raise ValueError("jobs that fail clean up too")
+        assert kept.count() == 4 and len(inner) == 1 and len(outer) == 1
+    assert before.count() == 3
+    for gone in (kept, lost):
+        with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist"):
+            gone.count()
+
+
 def test_stamped_csv(spark, tmp_path):
     folder = write_csv(frame(spark, (1, "é,\"x\"")), str(tmp_path), stamp=dt.datetime(2020, 9, 3, 1, 2, 3), escape='"')
     assert folder.endswith("2020-09-03_01-02-03")
