@@ -14,6 +14,7 @@ vocabulary become their bytes and join nothing.
 from __future__ import annotations
 
 import functools
+import itertools
 import re
 import struct
 from collections.abc import Iterator
@@ -87,7 +88,13 @@ class Vocabulary:
         alphabet = {c for s in own for c in s}
         #: What each string is written as; a character that only occurs inside pieces is written as its bytes.
         self.ids = {c: [self.of_byte[b] for b in c.encode()] for c in alphabet} | own
+        self.alphabet = alphabet
         self.shorter = {s: next((s[:n] for n in range(len(s) - 1, 0, -1) if s[:n] in self.ids), None) for s in self.ids}
+        #: The longest piece at the start of every beginning of a piece.
+        self.within: dict[str, str] = {}
+        for start in sorted({s[:n] for s in self.ids for n in range(1, len(s) + 1)}, key=len):
+            self.within[start] = start if start in self.ids else self.within[start[:-1]]
+        self.longest = max(map(len, self.ids))
         self.automaton = ahocorasick.Automaton()
         for s in self.ids:
             self.automaton.add_word(s, s)
@@ -125,47 +132,51 @@ class Vocabulary:
             self.known_pairs[pair] = found
         return found
 
-    def backtrack(self, longest: list[str | None], begin: int, end: int) -> list[str]:
-        """The tokens of the positions [begin, end), all of which have a longest match."""
-        failed = bytearray((end - begin >> 3) + 1)
+    def match(self, text: str, at: int) -> str:
+        """The longest piece at a position that the automaton's run over the text did not stop at."""
+        ahead = text[at : at + self.longest]
+        return self.within[ahead[: self.automaton.longest_prefix(ahead)]]
+
+    def backtrack(self, text: str) -> list[str]:
+        """The tokens of a text of known characters."""
+        longest = {last + 1 - len(piece): piece for last, piece in self.automaton.iter_long(text)}
+        known_pairs, shorter, size = self.known_pairs, self.shorter, len(text)
+        failed: bytearray | None = None  # a bitfield, made when the first position fails
         tokens: list[str] = []
-        at, token = begin, longest[begin]
-        while at < end:
-            before = tokens[-1] if tokens else None
+        at, before = 0, None
+        token = longest[0]
+        while True:
             while token is not None:
-                stop = at + len(token) - begin
-                if not failed[stop >> 3] >> (stop & 7) & 1 and self.compatible(before, token):
-                    break
-                token = self.shorter[token]
+                stop = at + len(token)
+                if failed is None or not failed[stop >> 3] >> (stop & 7) & 1:
+                    fits = known_pairs.get((before, token))
+                    if self.compatible(before, token) if fits is None else fits:
+                        break
+                token = shorter[token]
             if token is not None:
                 tokens.append(token)
-                at += len(token)
-                token = longest[at] if at < end else None
+                if stop == size:
+                    return tokens
+                at, before = stop, token
+                token = longest.get(at) or self.match(text, at)
                 continue
             if not tokens:
                 raise AssertionError("merging gave no tokens for a known text")
-            failed[at - begin >> 3] |= 1 << (at - begin & 7)
+            if failed is None:
+                failed = bytearray((size >> 3) + 1)
+            failed[at >> 3] |= 1 << (at & 7)
             token = tokens.pop()
+            before = tokens[-1] if tokens else None
             at -= len(token)
-        return tokens
 
     def encode_part(self, text: str) -> list[int]:
         """The ids of one pre-token of any length."""
-        longest: list[str | None] = [None] * len(text)
-        for last, piece in self.automaton.iter(text):
-            longest[last - len(piece) + 1] = piece  # later matches of one start are longer
+        if self.alphabet.issuperset(text):
+            return [i for token in self.backtrack(text) for i in self.ids[token]]
         ids: list[int] = []
-        at = 0
-        while at < len(text):
-            begin = at
-            while at < len(text) and longest[at] is not None:
-                at += 1
-            if at > begin:
-                for token in self.backtrack(longest, begin, at):
-                    ids += self.ids[token]
-            else:
-                ids += [self.of_byte[b] for b in text[at].encode()]
-                at += 1
+        for known, run in itertools.groupby(text, self.alphabet.__contains__):
+            run = "".join(run)
+            ids += [i for token in self.backtrack(run) for i in self.ids[token]] if known else [self.of_byte[b] for b in run.encode()]
         return ids
 
     def encode(self, text: str) -> bytes:
