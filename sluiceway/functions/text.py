@@ -77,12 +77,8 @@ CAPTURE_PATTERNS = {
 _FIELD = re.compile(r"%\{(\w+)(?::(\w+))?\}")
 
 
-def capture_fields(df: DataFrame, column: str, template: str) -> DataFrame:
-    """Add one text column per named field of a template such as ``%{WORD:host} took %{INT:ms} ms``.
-
-    Text around the fields is a regular expression without capture groups of its own (use ``(?:...)``).
-    A line that does not match gives null in every field.
-    """
+def capture_pattern(template: str) -> tuple[str, list[str]]:
+    """A template such as ``%{WORD:host} took %{INT:ms} ms`` as a regular expression with a group per named field, and the names."""
     names: list[str] = []
 
     def group(match: re.Match) -> str:
@@ -95,6 +91,16 @@ def capture_fields(df: DataFrame, column: str, template: str) -> DataFrame:
     pattern = _FIELD.sub(group, template)
     if re.compile(pattern).groups != len(names):
         raise ValueError("write (?:...) for groups outside the named fields")
+    return pattern, names
+
+
+def capture_fields(df: DataFrame, column: str, template: str) -> DataFrame:
+    """Add one text column per named field of a template such as ``%{WORD:host} took %{INT:ms} ms``.
+
+    Text around the fields is a regular expression without capture groups of its own (use ``(?:...)``).
+    A line that does not match gives null in every field.
+    """
+    pattern, names = capture_pattern(template)
     matched = F.col(column).rlike(pattern)
     return df.withColumns(
         {name: F.when(matched, F.regexp_extract(column, pattern, i + 1)) for i, name in enumerate(names)}

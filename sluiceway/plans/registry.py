@@ -36,6 +36,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def load_all() -> dict[str, Query]:
-    from sluiceway.plans import on_devices, on_events, on_orders, on_storage, on_text  # noqa: F401
+    from sluiceway.plans import on_devices, on_events, on_loads, on_orders, on_storage, on_text  # noqa: F401
 
     return REGISTRY

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import contextvars
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -68,6 +69,16 @@ def hand_over(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Let go of what finished jobs have left, so that Spark deletes their shuffle files now.
+
+    Spark deletes the files of a shuffle when the driver's memory no longer holds its plan, which without pressure on that
+    memory may be long after. Call it after a large ``hand_over``, whose files take the place of the shuffles.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 @contextlib.contextmanager
 def own_files(spark: SparkSession) -> Iterator[list[str]]:
     """Delete, at the end, what is handed over inside the ``with`` block, and nothing else.

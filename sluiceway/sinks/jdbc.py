@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+from sluiceway.sinks.ledger import insert_once
 
 BULK_BATCH = 3000
 BULK_PARTITIONS = 32
@@ -29,14 +31,19 @@ def write_jdbc(
 
 
 def append_batch(url: str, table: str, batch_size: int = ROW_BATCH, partitions: int = 8, **options: str):
-    """A ``foreachBatch`` function that appends each micro-batch.
+    """A ``foreachBatch`` function that appends each micro-batch, once.
 
-    A batch that is repeated after a failure is appended again; give the table a unique key, or have the
-    batch number as a column, when rows must not repeat.
+    The table has two columns more, ``batch_id`` and ``part``: its own ledger of what is in it (see ``insert_once``). A part is
+    written by one task on one connection, which the database commits as a whole.
     """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        writer = batch.coalesce(partitions).write.format("jdbc")
-        writer.options(**write_options(url, table, batch_size, **options)).mode("append").save()
+    def append(rows: DataFrame) -> None:
+        writer = rows.write.format("jdbc").options(**write_options(url, table, batch_size, **options))
+        writer.mode("append").save()
+
+    def ledger(spark: SparkSession, batch_id: int) -> DataFrame:
+        query = f"SELECT DISTINCT part FROM {table} WHERE batch_id = {int(batch_id)}"
+        connection = {"url": url, "query": query, **options}
+        return spark.read.format("jdbc").options(**connection).load()
 
-    return write
+    return insert_once(append, ledger, partitions)

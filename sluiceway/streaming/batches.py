@@ -54,11 +54,16 @@ def to_console(rows: int = 20) -> BatchFunction:
 
 
 def to_messages(fmt: str = "kafka", **options: str) -> BatchFunction:
-    """(metric, values) rows as key/value messages; each task keeps one connection for its rows."""
+    """(metric, values) rows as key/value messages; each task keeps one connection for its rows.
+
+    The format is told the number of the batch as the option ``batch``; one that knows it, as ``spool`` does, takes a repeated
+    batch once. Others take it again.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         text = F.concat_ws(",", F.col("metric"), F.to_json("values"))
-        batch.select(F.col("metric").alias("key"), text.alias("value")).write.format(fmt).options(**options).save()
+        messages = batch.select(F.col("metric").alias("key"), text.alias("value"))
+        messages.write.format(fmt).options(**options, batch=str(batch_id)).mode("append").save()
 
     return write
 
