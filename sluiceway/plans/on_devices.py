@@ -404,3 +404,37 @@ def device_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
         tiebreak=["operationmode", "hotwatertemperaturemin", "boilercontrollerswsubversion"],
         slice_width="12 hours",
     )
+
+
+def month_zone(spark: SparkSession, rows: DataFrame, name: str) -> str:
+    zone = shared_folder(spark, f"{name}-zone")
+    write_partitioned(rows, zone, telemetry.PARTITION)
+    return zone
+
+
+_MONTH = "WHERE \"year\" = '2024' AND \"month\" = '01'"
+
+
+@query(
+    f"""
+    WITH {_side_sql('connection_raw', _CONNECTION, _CONNECTION_WHERE)}, {_CONNECTION_SQL}, {_side_sql('status_raw', _STATUS, _STATUS_WHERE)}, {_STATUS_SQL},
+    {_side_sql('device_raw', _DEVICE, _DEVICE_WHERE)}, {_DEVICE_SQL}, {_side_sql('error_raw', _ERROR_RAW, _ERROR_WHERE)}, {_error_sql()}
+    SELECT 'connection' AS side, macaddress, "start", "day", status AS told FROM connection {_MONTH}
+    UNION ALL SELECT 'status', macaddress, "start", "day", CAST(operationbusy AS VARCHAR) FROM status {_MONTH}
+    UNION ALL SELECT 'device', macaddress, "start", "day", CAST(roomcontrollerswversion AS VARCHAR) FROM device {_MONTH}
+    UNION ALL SELECT 'error', macaddress, "start", "day", CAST(errorcode_low AS VARCHAR) FROM error {_MONTH}"""
+)
+def device_side_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC1-2, SNK1, AGG3-8: the month jobs of all side tables, each from its zone to stored windows."""
+    told = {"connection": "status", "status": "operationbusy", "device": "roomcontrollerswversion", "error": "errorcode_low"}
+    parts = []
+    for side, records in (
+        ("connection", side_rows(spark, sf_dir, _CONNECTION, _CONNECTION_WHERE)),
+        ("status", side_rows(spark, sf_dir, _STATUS, _STATUS_WHERE)),
+        ("device", side_rows(spark, sf_dir, _DEVICE, _DEVICE_WHERE)),
+        ("error", error_rows(spark, sf_dir)),
+    ):
+        target = shared_folder(spark, f"{side}-windows")
+        stored = telemetry.side_month_job(spark, side, month_zone(spark, records, side), target, dt.date(2024, 2, 3))
+        parts.append(stored.select(F.lit(side).alias("side"), "macaddress", "start", "day", F.col(told[side]).cast("string").alias("told")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])

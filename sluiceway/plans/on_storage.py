@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluiceway.operators.columns import split_path_parts, with_load_time
@@ -12,7 +13,7 @@ from sluiceway.plans.registry import query, table
 from sluiceway.session import shared_folder
 from sluiceway.sinks import tables as table_sink
 from sluiceway.sinks.files import write_csv, write_partitioned
-from sluiceway.sources.tables import read_csv, read_ndjson, read_raw_zone, read_table, run_sql, select_all
+from sluiceway.sources.tables import read_csv, read_ndjson, read_raw_zone, read_table, run_sql, select_all, with_position
 
 _DATED = "strftime(o_orderdate, '%Y') AS \"year\", strftime(o_orderdate, '%m') AS \"month\""
 
@@ -80,7 +81,11 @@ def path_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_path_parts(parts, {"partition_1": "year", "partition_2": "month"})
 
 
-@query("SELECT c_custkey, c_name, CAST(round(c_acctbal * 100) AS BIGINT) AS cents, 'a \"b\"' || chr(10) || c_mktsegment AS note FROM customer")
+@query(
+    """
+    SELECT c_custkey, c_name, CAST(round(c_acctbal * 100) AS BIGINT) AS cents, 'a "b"' || chr(10) || c_mktsegment AS note,
+           CASE WHEN c_custkey % 2 = 0 THEN '2021-03-04_05-06-07' ELSE '2021-03-05_00-00-00' END AS stamp FROM customer"""
+)
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC5, SNK2-3: delimited text with a header, quotes and line breaks."""
     rows = table(spark, sf_dir, "customer").select(
@@ -89,9 +94,25 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(F.col("c_acctbal") * 100).cast("bigint").alias("cents"),
         F.concat(F.lit('a "b"\n'), "c_mktsegment").alias("note"),
     )
-    folder = write_csv(rows, shared_folder(spark, "customers-csv"), escape='"')
+    target = shared_folder(spark, "customers-csv")
+    stamps = (dt.datetime(2021, 3, 4, 5, 6, 7), dt.datetime(2021, 3, 5))
+    folders = [write_csv(rows.where(F.col("c_custkey") % 2 == i), target, stamp=s, escape='"') for i, s in enumerate(stamps)]
     schema = "c_custkey BIGINT, c_name STRING, cents BIGINT, note STRING"
-    return read_csv(spark, folder, schema, multiLine="true", escape='"')
+    first, second = (
+        read_csv(spark, f, schema, multiLine="true", escape='"').withColumn("stamp", F.lit(f.rsplit("/", 1)[1])) for f in folders
+    )
+    return first.unionByName(second)
+
+
+@query("SELECT o_orderkey, o_orderstatus, CAST(0 AS BIGINT) AS displaced FROM orders")
+def sorted_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRT1: rows of partitioned files, and how far each stands from its place in the order of its file."""
+    folder = shared_folder(spark, "sorted-files")
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    write_partitioned(rows, folder, ["o_orderstatus"], sort=["o_custkey", "o_orderkey"])
+    placed = with_position(spark, folder)
+    wanted = F.row_number().over(Window.partitionBy("o_orderstatus", "file").orderBy("o_custkey", "o_orderkey")) - 1
+    return placed.select("o_orderkey", "o_orderstatus", (F.col("row") - wanted).alias("displaced"))
 
 
 @query("SELECT event_id, user_id, event_type, value, CAST(NULL AS VARCHAR) AS missing FROM events")

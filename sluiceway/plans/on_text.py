@@ -18,6 +18,7 @@ from sluiceway.plans.registry import query, table
 from sluiceway.plans.trades import TRADE_FIELDS, trades
 from sluiceway.session import shared_folder
 from sluiceway.sources.messages import read_folder_stream
+from sluiceway.sources.tables import with_position
 from sluiceway.streaming import batches
 from sluiceway.streaming.changes import read_latest_state, start_latest_changes
 from sluiceway.streaming.words import keep_word_counts, read_word_counts
@@ -52,6 +53,17 @@ def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_word_counts(spark, f"{folder}/counts", stop_words(spark))
 
 
+@query(f"SELECT word, n, row_number() OVER (ORDER BY n DESC, word) - 1 AS position FROM ({_WORDS_SQL})")
+def stream_word_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR3, SRT3: where each word stands in the stored report, most frequent word first."""
+    folder = shared_folder(spark, "word-order")
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    messages = read_folder_stream(spark, sf_dir, schema, pathGlobFilter="documents.parquet")
+    keep_word_counts(messages, "text", f"{folder}/counts", f"{folder}/checkpoint", LATIN, None).awaitTermination()
+    read_word_counts(spark, f"{folder}/counts", stop_words(spark)).write.parquet(f"{folder}/report")
+    return with_position(spark, f"{folder}/report").select("word", "n", "position")
+
+
 def sensor_messages(events: DataFrame) -> DataFrame:
     data = F.struct(
         F.unix_seconds(F.col("ts").cast("timestamp")).alias("timestamp"),
@@ -405,7 +417,8 @@ def change_messages(customers: DataFrame) -> DataFrame:
 
     renamed = F.when(F.col("c_acctbal") < 0, envelope("u", 1, row, changed))
     removed = F.when(F.col("c_mktsegment") == "BUILDING", envelope("d", 4, changed, nothing))
-    ddl = F.when(F.col("c_custkey") == 0, F.lit('{"payload": {"ddl": "ALTER TABLE customers ADD x INT"}}'))
+    statement = F.concat(F.lit("ALTER TABLE customers ADD x"), F.col("c_custkey").cast("string"), F.lit(" INT"))
+    ddl = F.when(F.col("c_custkey") % 4 == 0, F.to_json(F.struct(F.struct(statement.alias("ddl")).alias("payload"))))
     created = envelope("c", 0, nothing, row)
     messages = F.array(created, renamed, removed, created, ddl)
     return customers.select(F.explode(messages).alias("value")).where(F.col("value").isNotNull())
@@ -435,7 +448,7 @@ def cdc_unwrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("op", "pos", "row.first_name")
 
 
-@query("SELECT 'ALTER TABLE customers ADD x INT' AS ddl, 'ALTER' AS verb FROM customer WHERE c_custkey = 0")
+@query("SELECT 'ALTER TABLE customers ADD x' || c_custkey || ' INT' AS ddl, 'ALTER' AS verb FROM customer WHERE c_custkey % 4 = 0")
 def cdc_schema_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR11, SCL24: DDL events among the messages."""
     found = changes.schema_changes(change_messages(table(spark, sf_dir, "customer")))

@@ -73,9 +73,11 @@ def sweep(spark: SparkSession) -> None:
     """Let go of what finished jobs have left, so that Spark deletes their shuffle files now.
 
     Spark deletes the files of a shuffle when the driver's memory no longer holds its plan, which without pressure on that
-    memory may be long after. Call it after a large ``hand_over``, whose files take the place of the shuffles.
+    memory may be long after. Call it after a large ``hand_over``, whose files take the place of the shuffles. The scheduler
+    holds on to the job that ended last, so a small one is run first.
     """
     gc.collect()
+    spark.range(1).count()
     spark._jvm.System.gc()
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -78,6 +78,18 @@ def _escaped(spark: SparkSession, value: str) -> str:
     return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
 
 
+def with_position(spark: SparkSession, folder: str) -> DataFrame:
+    """A Parquet folder with ``file``, ``row`` (its number in the file) and ``position``, its number in the order of the files.
+
+    Only the sizes of the files are added up in one task. Files written by a sorted job are in order by their names.
+    """
+    rows = spark.read.parquet(folder).select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+    sizes = rows.groupBy("file").agg(F.count("*").alias("_n"))
+    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    skipped = sizes.select(F.col("file").alias("_of"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_skip"))
+    return rows.join(skipped, F.col("file") == F.col("_of")).withColumn("position", F.col("row") + F.col("_skip")).drop("_of", "_skip")
+
+
 def read_raw_zone(
     spark: SparkSession, root: str, parts: dict[str, str], fmt: str = "parquet", schema: str | None = None, **options: str
 ) -> DataFrame:

@@ -1,6 +1,8 @@
 """What the physical plans must and must not hold."""
 
-from helpers import plan_of
+import datetime as dt
+
+from helpers import plan_of, rows
 from pyspark.sql import functions as F
 
 from sluiceway.operators.counters import repair_counter
@@ -78,3 +80,32 @@ def test_aggregates_combine_before_the_shuffle(spark, sf_dir):
 def test_top_k_keeps_k_rows_per_task(spark, sf_dir):
     assert "TakeOrderedAndProject" in plan_of(on_orders.top5_clients(spark, sf_dir))
     assert "WindowGroupLimit" in plan_of(on_orders.top5_symbols_60m(spark, sf_dir))
+
+
+def test_stored_mart_equals_the_mart_of_the_same_windows(spark, sf_dir, tmp_path):
+    """Five month jobs and the mart over their folders, against the mart of the same windows at once."""
+    run_date, folders = dt.date(2024, 2, 3), {}
+    zone = on_devices.month_zone(spark, on_devices.telemetry_rows(spark, sf_dir), "readings")
+    telemetry.month_job(spark, zone, f"{tmp_path}/readings", run_date, [], "12 hours")
+    folders["readings"] = f"{tmp_path}/readings"
+    records = {
+        "connection": on_devices.side_rows(spark, sf_dir, on_devices._CONNECTION, on_devices._CONNECTION_WHERE),
+        "status": on_devices.side_rows(spark, sf_dir, on_devices._STATUS, on_devices._STATUS_WHERE),
+        "device": on_devices.side_rows(spark, sf_dir, on_devices._DEVICE, on_devices._DEVICE_WHERE),
+        "error": on_devices.error_rows(spark, sf_dir),
+    }
+    for side, rows_ in records.items():
+        folders[side] = f"{tmp_path}/{side}"
+        telemetry.side_month_job(spark, side, on_devices.month_zone(spark, rows_, side), folders[side], run_date)
+    families = {2: F.col("additionalvalue") == 0, 3: F.col("additionalvalue") == 1}
+    tiebreak = ["operationmode", "hotwatertemperaturemin", "boilercontrollerswsubversion"]
+    stored = mart.stored_mart(spark, folders, families, None, f"{tmp_path}/mart", run_date, tiebreak, "12 hours")
+    tables = {name: read_table(spark, folder) for name, folder in folders.items()}
+    joined = mart.family_rows(
+        {n: tables["readings"].where(c) for n, c in families.items()}, tables["status"], tables["error"], tables["device"]
+    )
+    at_once = mart.build_mart(joined, tables["connection"], None, tiebreak, slice_width="12 hours")
+    columns = sorted(at_once.columns)
+    assert rows(stored.select(*columns)) == rows(at_once.select(*columns)) != []
+    again = mart.stored_mart(spark, folders, families, None, f"{tmp_path}/mart", run_date, tiebreak, "12 hours")
+    assert again.count() == at_once.count()  # a repeated run replaces the month
