@@ -27,9 +27,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluiceway.llm.common import bytes_of, steps
-from sluiceway.session import hand_over
+from sluiceway.session import hand_over, sweep
 
-_ODD = np.uint64(0x9E3779B97F4A7C15)
+ODD = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes of segments that a shard index is built over at once, and rows of one anchor that stay together.
 SHARD_BYTES, FEWEST_HOT, MOST_TOGETHER = 1 << 20, 2_000, 16_000
 
@@ -61,7 +61,7 @@ def _sliding(values: np.ndarray, span: int, pick: np.ufunc) -> np.ndarray:
 
 def _grams(codes: np.ndarray, k: int) -> np.ndarray:
     """A polynomial hash of every k consecutive codes, in about log2(k) passes."""
-    done, out, step = 1, codes, _ODD
+    done, out, step = 1, codes, ODD
     whole, size = None, 0  # hash of the first ``size`` codes, for the binary digits of k
     while True:
         if k & done:
@@ -103,54 +103,78 @@ def _emit_anchors(units: Units):
 
 
 _SEGMENT = pa.schema(
-    [("anchor", pa.int64()), ("key", pa.int64()), ("digest", pa.binary()), ("begin", pa.int64()), ("segment", pa.binary()), ("hot", pa.bool_())]
+    [("anchor", pa.int64()), ("key", pa.int64()), ("digest", pa.int64()), ("begin", pa.int64()), ("segment", pa.binary()), ("hot", pa.bool_())]
 )
 
 
 def _emit_segments(units: Units):
-    """Rows (key, digest, _bytes, found) to the surroundings of their shared anchors, or single windows of hot ones."""
+    """Rows (key, digest, _bytes, anchors, hot) to the surroundings of their shared anchors, or single windows of hot ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         reach = units.width - units.gram
-        for batch in steps(batches, "_bytes"):
-            out: tuple[list, ...] = ([], [], [], [], [], [])
-            for key, digest, text, found in zip(*(c.to_pylist() for c in batch.columns)):
-                cut = units.cut(text)
+        for batch in batches:
+            columns = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
+            known, hot = (columns[name].flatten().to_numpy(zero_copy_only=False) for name in ("anchors", "hot"))
+            ends = np.cumsum(columns["anchors"].value_lengths().to_numpy())
+            rows, routes, begins, segments, hots = [], [], [], [], []
+
+            def part() -> pa.RecordBatch:
+                of = pa.array(np.concatenate([np.zeros(0, np.int64), *rows]))
+                return pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate([np.zeros(0, np.int64), *routes])),
+                        columns["key"].take(of),
+                        columns["digest"].take(of),
+                        pa.array(np.concatenate([np.zeros(0, np.int64), *begins])),
+                        pa.array(segments, pa.binary()),
+                        pa.array(np.concatenate([np.zeros(0, bool), *hots])),
+                    ],
+                    schema=_SEGMENT,
+                )
+
+            for row in range(batch.num_rows):
+                cut = units.cut(columns["_bytes"][row].as_py())
                 at, hashes = anchors(units.codes(cut), units)
-                hot = {f["anchor"]: f["hot"] for f in found}
-                for a, h in zip(at.tolist(), hashes.tolist()):
-                    if h not in hot:
-                        continue
-                    begin, end = max(0, a - reach), min(len(cut), a + units.width)
-                    if not hot[h]:
-                        rows = [(h, begin, units.join(cut[begin:end]), False)]
-                    else:
-                        rows = []
-                        for b in range(begin, end - units.width + 1):
-                            window = xxhash.xxh3_128_digest(units.join(cut[b : b + units.width]))
-                            rows.append((int.from_bytes(window[:8], "little", signed=True), b, window, True))
-                    for anchor, b, segment, is_hot in rows:
-                        for column, value in zip(out, (anchor, key, digest, b, segment, is_hot)):
-                            column.append(value)
-                if len(out[0]) > 20_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _SEGMENT)], schema=_SEGMENT)
-                    out = ([], [], [], [], [], [])
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _SEGMENT)], schema=_SEGMENT)
+                span = slice(ends[row - 1] if row else 0, ends[row])
+                order = np.argsort(known[span])
+                mine, is_hot = known[span][order], hot[span][order]
+                place = np.minimum(np.searchsorted(mine, hashes), max(0, len(mine) - 1))
+                shared = np.flatnonzero(mine[place] == hashes) if len(mine) else np.zeros(0, np.int64)
+                begin, end = np.maximum(0, at[shared] - reach), np.minimum(len(cut), at[shared] + units.width)
+                warm = is_hot[place[shared]]
+                cold = ~warm
+                rows.append(np.full(int(cold.sum()), row))
+                routes.append(hashes[shared][cold])
+                begins.append(begin[cold])
+                hots.append(np.zeros(len(rows[-1]), bool))
+                segments += [units.join(cut[b:e]) for b, e in zip(begin[cold].tolist(), end[cold].tolist())]
+                if warm.any():
+                    starts = np.unique(np.concatenate([np.arange(b, e - units.width + 1) for b, e in zip(begin[warm], end[warm])]))
+                    windows = [xxhash.xxh3_128_digest(units.join(cut[b : b + units.width])) for b in starts.tolist()]
+                    rows.append(np.full(len(starts), row))
+                    routes.append(np.array([int.from_bytes(w[:8], "little", signed=True) for w in windows], np.int64))
+                    begins.append(starts)
+                    hots.append(np.ones(len(starts), bool))
+                    segments += windows
+                if len(segments) > 20_000:
+                    yield part()
+                    rows, routes, begins, segments, hots = [], [], [], [], []
+            yield part()
 
     return run
 
 
-#: Anchors, keys and segments of whole anchors, sorted, to covered ranges (row, begin, end).
-Match = Callable[[np.ndarray, np.ndarray, list[bytes]], tuple[np.ndarray, np.ndarray, np.ndarray]]
+#: Anchors, keys, segments and their places in the texts, of whole anchors and sorted, to covered ranges (row, begin, end).
+Match = Callable[[np.ndarray, np.ndarray, list[bytes], np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
 def _by_shard(match: Match):
     """Cut rows sorted by (anchor, key) into shards of whole anchors and match each shard."""
 
     def matched(rows: pa.Table) -> pa.RecordBatch:
-        at, begin, end = match(rows["anchor"].to_numpy(), rows["key"].to_numpy(), rows["segment"].to_pylist())
+        at, begin, end = match(rows["anchor"].to_numpy(), rows["key"].to_numpy(), rows["segment"].to_pylist(), rows["begin"].to_numpy())
         base = rows["begin"].to_numpy()[at]
         return pa.RecordBatch.from_arrays(
             [
@@ -188,7 +212,7 @@ def _by_shard(match: Match):
 def covered(docs: DataFrame, units: Units, match: Match, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, digest, whole, spans``: the covered ranges of units of texts that have any.
 
-    A row is told by its key and the digest of its text. ``whole`` marks later copies of a text, which are
+    A row is told by its key and a 64-bit digest of its text; which texts are equal is decided by 128 bits. ``whole`` marks later copies of a text, which are
     covered as a whole if they have a window at all. Keys are integers; rows with a null key are no reference
     and keep everything.
     """
@@ -215,6 +239,7 @@ def covered(docs: DataFrame, units: Units, match: Match, key: str = "doc_id", te
         .select("anchor", "rep", "n"),
         "repeats-anchors",
     )
+    sweep(spark)
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     hot_from = min(MOST_TOGETHER, max(FEWEST_HOT, shared.count() // (2 * tasks)))
     lists = (
@@ -222,21 +247,22 @@ def covered(docs: DataFrame, units: Units, match: Match, key: str = "doc_id", te
         .groupBy("rep")
         .agg(F.collect_set(F.struct("anchor", "hot")).alias("found"))
         .join(firsts, "rep")
-        .select("key", "digest", "found")
+        .select("key", F.col("rep").alias("digest"), F.col("found.anchor").alias("anchors"), F.col("found.hot").alias("hot"))
     )
-    texts = keyed.select("key", "digest", "_bytes").join(lists, ["key", "digest"])
+    texts = keyed.select("key", F.col("rep").alias("digest"), "_bytes").join(lists, ["key", "digest"])
     segments = hand_over(
-        texts.select("key", "digest", "_bytes", "found").mapInArrow(
-            _emit_segments(units), "anchor long, key long, digest binary, begin long, segment binary, hot boolean"
+        texts.select("key", "digest", "_bytes", "anchors", "hot").mapInArrow(
+            _emit_segments(units), "anchor long, key long, digest long, begin long, segment binary, hot boolean"
         ),
         "repeats-segments",
     )
+    sweep(spark)
     in_shards = (
         segments.where(~F.col("hot"))
         .select("anchor", "key", "digest", "begin", "segment")
         .repartition("anchor")
         .sortWithinPartitions("anchor", "key")
-        .mapInArrow(_by_shard(match), "key long, digest binary, begin long, end long")
+        .mapInArrow(_by_shard(match), "key long, digest long, begin long, end long")
     )
     windows = segments.where("hot").select(F.col("segment").alias("window"), "key", "digest", "begin")
     first_key = hand_over(windows.groupBy("window").agg(F.min("key").alias("_first")), "repeats-windows")
@@ -251,7 +277,7 @@ def covered(docs: DataFrame, units: Units, match: Match, key: str = "doc_id", te
         .agg(F.collect_set(F.struct("begin", "end")).alias("spans"), F.lit(False).alias("whole"))
     )
     none = F.array().cast("array<struct<begin:long,end:long>>")
-    return spans.unionByName(copies.select("key", "digest", none.alias("spans"), F.lit(True).alias("whole")))
+    return spans.unionByName(copies.select("key", F.col("rep").alias("digest"), none.alias("spans"), F.lit(True).alias("whole")))
 
 
 def merged(spans: list[dict]) -> list[tuple[int, int]]:
@@ -294,9 +320,10 @@ def _strip(units: Units):
 def remove(docs: DataFrame, units: Units, match: Match, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, n_units, n_removed, spans, kept, kept_sha256`` of every row; kept is the remaining text in bytes."""
     found = hand_over(covered(docs, units, match, key, text), "repeats-spans").withColumnRenamed("key", "_key")
+    sweep(docs.sparkSession)
     kind = docs.select(key).schema[0].dataType.simpleString()
     body = docs.select(
-        F.col(f"`{key}`").alias("key"), bytes_of(text).alias("_bytes"), F.unhex(F.md5(bytes_of(text))).alias("_digest")
+        F.col(f"`{key}`").alias("key"), bytes_of(text).alias("_bytes"), F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("_digest")
     )
     joined = body.join(found, (F.col("key") == F.col("_key")) & (F.col("_digest") == F.col("digest")), "left")
     stripped = joined.select("key", "_bytes", "spans", F.coalesce("whole", F.lit(False)).alias("whole")).mapInArrow(

@@ -84,7 +84,7 @@ class SuffixAutomaton:
 
 
 def _match(width: int) -> repeats.Match:
-    def match(anchors: np.ndarray, keys: np.ndarray, segments: list[bytes]):
+    def match(anchors: np.ndarray, keys: np.ndarray, segments: list[bytes], begins: np.ndarray):
         rows, begins, ends = [], [], []
         at, n = 0, len(segments)
         while at < n:
