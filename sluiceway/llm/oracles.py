@@ -58,6 +58,46 @@ FROM judged LEFT JOIN failing USING (row_id)
 """
 
 
+def op6_sql() -> str:
+    """All windows of 13 words with the least document that each starts in; removed words by position."""
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS row_id, doc_id, coalesce(regexp_extract_all(text, '{WORD}'), []) AS ws FROM documents),
+windows AS (
+  SELECT row_id, doc_id, unnest(range(1, len(ws) - 11)) AS p,
+         unnest(list_transform(range(1, len(ws) - 11), lambda i: array_to_string(ws[i:i + 12], ' '))) AS w
+  FROM docs WHERE len(ws) >= 13),
+firsts AS (SELECT w, min(doc_id) AS first FROM windows GROUP BY w),
+hit AS (SELECT row_id, p FROM windows JOIN firsts USING (w) WHERE first < doc_id),
+gone AS (SELECT DISTINCT row_id, unnest(range(p, p + 13)) AS i FROM hit),
+placed AS (SELECT row_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM docs),
+kept AS (SELECT row_id, string_agg(word, ' ' ORDER BY i) AS t FROM placed ANTI JOIN gone USING (row_id, i) GROUP BY row_id),
+counted AS (SELECT row_id, count(*) AS n FROM gone GROUP BY row_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (row_id) LEFT JOIN counted USING (row_id)
+"""
+
+
+def op10_sql() -> str:
+    """All strings of 50 bytes, in hexadecimal digits, with the least document that each starts in; removed bytes by position."""
+    return """
+WITH docs AS (SELECT row_number() OVER () AS row_id, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+sized AS (SELECT *, len(h) // 2 AS n FROM docs),
+windows AS (SELECT row_id, doc_id, p, substr(h, 2 * p - 1, 100) AS w
+            FROM (SELECT *, unnest(range(1, n - 48)) AS p FROM sized WHERE n >= 50)),
+firsts AS (SELECT w, min(doc_id) AS first FROM windows GROUP BY w),
+hit AS (SELECT row_id, p FROM windows JOIN firsts USING (w) WHERE first < doc_id),
+gone AS (SELECT DISTINCT row_id, unnest(range(p, p + 50)) AS i FROM hit),
+counted AS (
+  SELECT row_id, count(*) AS removed, count(*) FILTER (before IS NULL OR before < i - 1) AS spans
+  FROM (SELECT *, lag(i) OVER (PARTITION BY row_id ORDER BY i) AS before FROM gone) GROUP BY row_id),
+placed AS (SELECT row_id, h, unnest(range(1, n + 1)) AS i FROM sized JOIN counted USING (row_id)),
+kept AS (SELECT row_id, string_agg(substr(h, 2 * i - 1, 2), '' ORDER BY i) AS t FROM placed ANTI JOIN gone USING (row_id, i) GROUP BY row_id)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(CASE WHEN removed IS NULL THEN h ELSE coalesce(t, '') END)) AS kept_sha256
+FROM sized LEFT JOIN counted USING (row_id) LEFT JOIN kept USING (row_id)
+"""
+
+
 def op8_sql() -> str:
     """Windows joined by their word lists."""
     words = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"

@@ -20,7 +20,7 @@ from sluiceway.llm import (
     suffix_dedup,
 )
 from sluiceway.llm import token_counts as counting
-from sluiceway.llm.oracles import op1_sql, op8_sql, op11_sql, op13_sql
+from sluiceway.llm.oracles import op1_sql, op6_sql, op8_sql, op10_sql, op11_sql, op13_sql
 from sluiceway.plans.registry import Query, table
 
 
@@ -136,11 +136,11 @@ QUERIES: dict[str, Query] = {
     "op3_token_counts": Query(op3_token_counts, None),
     "op4_sharding": Query(op4_sharding, None),
     "op5_mixing": Query(op5_mixing, None),
-    "op6_substring_dedup": Query(op6_substring_dedup, None),
+    "op6_substring_dedup": Query(op6_substring_dedup, op6_sql()),
     "op7_quality_classifier": Query(op7_quality_classifier, None),
     "op8_decontamination": Query(op8_decontamination, op8_sql()),
     "op9_pseudonyms": Query(op9_pseudonyms, None),
-    "op10_suffix_dedup": Query(op10_suffix_dedup, None),
+    "op10_suffix_dedup": Query(op10_suffix_dedup, op10_sql()),
     "op11_lexical_search": Query(op11_lexical_search, op11_sql()),
     "op12_piece_merging": Query(op12_piece_merging, None),
     "op13_hard_negatives": Query(op13_hard_negatives, op13_sql()),
