@@ -8,9 +8,11 @@ become equal pseudonyms in all documents, whatever their punctuation.
 
 Kinds: payment cards (13 to 19 digits, Luhn; the check digit is computed anew; see _cards for cards beside other
 digits), telephone numbers
-(+CC and ten digits), social security numbers (ddd-dd-dddd in valid ranges), IPv4 addresses, dates
-(yyyy-mm-dd, dd/mm/yyyy, dd.mm.yyyy within FIRST_DAY .. FIRST_DAY + DAYS), access tokens (32 to 64 hexadecimal
-digits after a word such as token or secret, permuted ten digits at a time), and the local part of e-mail
+(+CC and ten digits, or + and 8 to 15 digits in other groupings), international account numbers (modulo 97; the check
+digits are computed anew), social security numbers (ddd-dd-dddd in valid ranges), IPv4 and IPv6 addresses, dates
+(yyyy-mm-dd, dd/mm/yyyy, dd.mm.yyyy within FIRST_DAY .. FIRST_DAY + DAYS; month-first dates stay, since a reader
+cannot tell which of them are), access tokens (32 to 64 hexadecimal
+digits after a word such as token or secret, permuted as a whole), and the local part of e-mail
 addresses, which is not a number: it becomes a keyed name of 16 hexadecimal digits.
 
 Everything is built from column functions; nothing is shuffled.
@@ -29,11 +31,18 @@ from sluiceway.llm.common import let, once
 ROUNDS = 10
 #: Dates are permuted within this range; others are left alone. DAYS factors into 250 * 292.
 FIRST_DAY, DAYS = "1900-01-01", 73_000
-KINDS = ("email", "ipv4", "phone", "ssn", "date", "secret", "card")
+KINDS = ("email", "ipv4", "ipv6", "iban", "phone", "ssn", "date", "secret", "card", "world")
+#: Country codes of two digits. 1 and 7 have one; all others have three.
+TWO_DIGIT_CODES = (
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98"
+).split()
 
 _FORMS = {
     "email": r"[A-Za-z0-9][A-Za-z0-9._%+\-]*@(?:[A-Za-z0-9\-]+\.)+[A-Za-z]{2,}",
     "ipv4": r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d)",
+    "ipv6": r"(?<![\w:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+    r"|[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5}::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?)(?![\w:]|\.\d)",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2} ?[A-Z0-9]{4}(?: ?(?=[A-Z]{0,3}\d)[A-Z0-9]{4}){1,6}(?: ?(?=[A-Z]{0,2}\d)[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "phone": r"(?<![\d+])\+\d{1,3}[ .\-]?\(?\d{3}\)?[ .\-]?\d{3}[ .\-]?\d{4}(?!\d)",
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
     "date": r"(?<![\d./\-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\d/\-])",
@@ -43,6 +52,7 @@ _FORMS = {
 # A run of digit groups with one space or hyphen between; it ends before a value of another kind.
 _GROUP = r"\d++(?!-(?!\d))"
 _OTHER = "|".join(_FORMS[k] for k in ("ipv4", "ssn", "date"))
+_FORMS["world"] = r"(?<![\d+])\+\d{1,3}(?:[ .\-]?\(?\d{1,5}\)?){1,6}(?!\d)"
 _FORMS["card"] = rf"(?<![\d\-.])(?=\d(?:[ \-]?\d){{12}}){_GROUP}(?:[ \-](?!{_OTHER}){_GROUP})*+"
 #: Usual sizes of the digit groups of cards besides one unbroken run, in order of preference.
 GROUPINGS = ("4-4-4-4", "4-6-5", "4-6-4", "4-4-5", "4-3-3-3", "4-4-4-4-3", "6-13")
@@ -242,21 +252,94 @@ def _email(value: Column, secret: str) -> Column:
     return F.concat(F.lit("u"), F.substring(digest, 1, 16), F.lit("@"), F.split(value, "@")[1])
 
 
+_NIBBLES = "0123456789abcdef"
+
+
+def permute_string(text: Column, base: int, secret: str, kind: str, backwards: bool = False) -> Column:
+    """The keyed permutation of strings of one length over the first ``base`` of the digits 0-9a-f, up to 64 of them.
+
+    A Feistel network over the two halves of the string: a keyed hash of one half is added to the other, digit by digit, so
+    every digit of the result depends on every digit of the string.
+    """
+    rounds = F.sequence(F.lit(ROUNDS - 1), F.lit(0), F.lit(-1)) if backwards else F.sequence(F.lit(0), F.lit(ROUNDS - 1))
+    digit = lambda c: F.instr(F.lit(_NIBBLES), c) - 1
+    sign = -1 if backwards else 1
+
+    def mixed(half: Column, other: Column, i: Column) -> Column:
+        by = F.sha2(F.concat_ws("|", F.lit(secret), F.lit(kind), i.cast("string"), F.length(half).cast("string"), other), 256)
+        added = F.zip_with(
+            F.split(half, ""),
+            F.split(F.substr(by, F.lit(1), F.length(half)), ""),
+            lambda x, y: F.substr(F.lit(_NIBBLES), F.pmod(digit(x) + sign * digit(y), F.lit(base)) + 1, F.lit(1)),
+        )
+        return F.array_join(added, "")
+
+    def turn(s: Column, i: Column) -> Column:
+        return F.when(i % 2 == 0, F.struct(mixed(s["l"], s["r"], i).alias("l"), s["r"].alias("r"))).otherwise(
+            F.struct(s["l"].alias("l"), mixed(s["r"], s["l"], i).alias("r"))
+        )
+
+    def of(t: Column) -> Column:
+        half = F.floor(F.length(t) / 2).cast("int")
+        start = F.struct(F.substr(t, F.lit(1), half).alias("l"), F.substr(t, half + 1, F.length(t)).alias("r"))
+        return let(F.aggregate(rounds, start, turn), lambda s: F.concat(s["l"], s["r"]))
+
+    return let(text, of)
+
+
 def _secret(value: Column, secret: str, backwards: bool) -> Column:
-    def chunk(number: Column) -> Column:
-        x = F.conv(number, 16, 10).cast("long")
-        sizes = [
-            F.when(
-                F.length(number) == n,
-                F.lpad(F.lower(F.hex(permute(x, 16 ** (n - n // 2), 16 ** (n // 2), secret, f"secret{n}", backwards))), n, "0"),
-            )
-            for n in range(1, 11)
-        ]
-        return F.coalesce(*sizes)
+    new = permute_string(F.lower(value), 16, secret, "secret", backwards)
+    return let(new, lambda n: F.when(value == F.upper(value), F.upper(n)).otherwise(n))
+
+
+def _world_phone(value: Column, secret: str, backwards: bool) -> Column:
+    """Numbers in national groupings: 8 to 15 digits, of which the country code stays."""
+
+    def of(digits: Column) -> Column:
+        code = F.when(digits.rlike("^[17]"), 1).when(F.substring(digits, 1, 2).isin(*TWO_DIGIT_CODES), 2).otherwise(3)
+        rest = let(code, lambda c: F.concat(F.substr(digits, F.lit(1), c), permute_string(F.substr(digits, c + 1, F.length(digits)), 10, secret, "phone", backwards)))
+        return F.when(F.length(digits).between(8, 15), _put(value, rest))
+
+    return let(_digits(value), of)
+
+
+def _iban(value: Column, secret: str, backwards: bool) -> Column:
+    """International account numbers: digits of the account are permuted, country and letters stay, the check is computed anew."""
+
+    def remainder(text: Column) -> Column:
+        """Modulo 97, letters as two digits."""
+        return F.aggregate(
+            F.split(text, ""),
+            F.lit(0),
+            lambda t, c: F.when(c.rlike("[0-9]"), t * 10 + c.try_cast("int")).otherwise(t * 100 + F.ascii(c) - 55) % 97,
+        )
+
+    def of(plain: Column) -> Column:
+        country, account = F.substring(plain, 1, 2), F.substr(plain, F.lit(5), F.length(plain))
+        new = let(account, lambda a: _put(a, permute_string(_digits(a), 10, secret, "iban", backwards)))
+        whole = let(new, lambda n: F.concat(country, _pad(98 - remainder(F.concat(n, country, F.lit("00"))), 2), n))
+        valid = remainder(F.concat(account, F.substring(plain, 1, 4))) == 1
+        spaced = F.when(value.contains(" "), F.trim(F.regexp_replace(whole, "(.{4})", "$1 "))).otherwise(whole)
+        # Groups of four with a space between, or none at all, are how such numbers are written.
+        usual = (~value.contains(" ")) | value.rlike("^[A-Z]{2}[0-9]{2}( [A-Z0-9]{4})+( [A-Z0-9]{1,3})?$")
+        return F.when(valid & usual & (F.length(plain).between(15, 34)), spaced)
+
+    return let(F.replace(value, F.lit(" "), F.lit("")), of)
+
+
+def _ipv6(value: Column, secret: str, backwards: bool) -> Column:
+    """Addresses of eight groups; the pseudonym is written in full. Equal addresses link, however they are shortened."""
+
+    def of(sides: Column) -> Column:
+        groups = lambda s: F.filter(F.split(s, ":"), lambda g: g != "")
+        left, right = groups(F.get(sides, F.lit(0))), groups(F.coalesce(F.get(sides, F.lit(1)), F.lit("")))
+        gap = F.array_repeat(F.lit("0"), F.lit(8) - F.size(left) - F.size(right))
+        whole = F.transform(F.concat(left, gap, right), lambda g: F.lpad(F.lower(g), 4, "0"))
+        new = permute_string(F.array_join(whole, ""), 16, secret, "ipv6", backwards)
+        valid = value.rlike(r"\d") & (F.size(left) + F.size(right)).between(2, 8)
+        return F.when(valid, let(new, lambda n: F.array_join(F.regexp_extract_all(n, F.lit("(.{4})"), 1), ":")))
 
-    parts = F.regexp_extract_all(F.lower(value), F.lit("([0-9a-f]{1,10})"), 1)
-    new = F.array_join(F.transform(parts, chunk), "")
-    return F.when(value == F.upper(value), F.upper(new)).otherwise(new)
+    return let(F.split(value, "::"), of)
 
 
 def _kind(value: Column) -> Column:
@@ -274,7 +357,10 @@ def pseudonym(value: Column, secret: str, backwards: bool = False) -> Column:
     by_kind: dict[str, Callable[[Column], Column]] = {
         "email": lambda v: F.lit(None).cast("string") if backwards else _email(v, secret),
         "ipv4": lambda v: _ipv4(v, secret, backwards),
+        "ipv6": lambda v: _ipv6(v, secret, backwards),
+        "iban": lambda v: _iban(v, secret, backwards),
         "phone": lambda v: _phone(v, secret, backwards),
+        "world": lambda v: _world_phone(v, secret, backwards),
         "ssn": lambda v: _ssn(v, secret, backwards),
         "date": lambda v: _date(v, secret, backwards),
         "secret": lambda v: _secret(v, secret, backwards),
@@ -282,12 +368,12 @@ def pseudonym(value: Column, secret: str, backwards: bool = False) -> Column:
 
     def of(s: Column) -> Column:
         new = functools.reduce(
-            lambda done, k: done.when(s["k"] == k, by_kind[k](s["v"])), KINDS[1:-1], F.when(s["k"] == KINDS[0], by_kind[KINDS[0]](s["v"]))
+            lambda done, k: done.when(s["k"] == k, by_kind[k](s["v"])), list(by_kind)[1:], F.when(s["k"] == KINDS[0], by_kind[KINDS[0]](s["v"]))
         )
         one = F.struct(new.alias("new"), F.lit(1).alias("n"))
         return let(
             F.when(s["k"] == "card", _cards(s["v"], secret, backwards)).otherwise(one),
-            lambda r: F.struct(s["k"].alias("kind"), r["new"].alias("new"), r["n"].alias("n")),
+            lambda r: F.struct(F.when(s["k"] == "world", "phone").otherwise(s["k"]).alias("kind"), r["new"].alias("new"), r["n"].alias("n")),
         )
 
     return let(F.struct(_kind(value).alias("k"), value.alias("v")), of)
