@@ -182,7 +182,7 @@ def fit_rates(found: DataFrame, domains: list[str], weights: Mapping[str, float]
     The first domain, the background, is taken whole; it sets the size of the result. The others get their
     weight relative to it, or all they have if that is less, since documents are not repeated. The residual of
     a domain is measured against its present tokens, which keeps the steps well scaled for rare domains. The
-    steps end when no total moves by more than TOLERANCE of all tokens any more.
+    steps end when no total moves by more than TOLERANCE of the domain's own tokens any more, however rare it is.
     """
     names = [f"p_{i}" for i in range(len(domains))]
     table = hand_over(found.groupBy(*names).agg(F.sum("n_tokens").alias("tokens")).where("tokens > 0"), "mixing-cells")
@@ -200,7 +200,7 @@ def fit_rates(found: DataFrame, domains: list[str], weights: Mapping[str, float]
     step = 1 / max(sum(v / math.sqrt(have[i] * have[j]) for v, j in zip(row, present)) for row, i in zip(rows, present))
     rate, got, before = F.lit(1.0), have, None
     for _ in range(ITERATIONS):
-        if before and all(abs(g - b) <= TOLERANCE * sum(have) for g, b in zip(got, before)):
+        if before and all(abs(g - b) <= TOLERANCE * h for g, b, h in zip(got, before, have)):
             break
         off = [(g - t) / h if h > 0 else 0.0 for g, t, h in zip(got, target, have)]
         change = functools.reduce(Column.__add__, [F.lit(step * o) * p for o, p in zip(off, part)])
