@@ -6,11 +6,13 @@ given number of shards the capacity is the least one, up to a tolerance, for whi
 
 Groups of equal size are interchangeable, so the packing runs over size classes and their counts, and its
 result says which range of a class goes where. Sizes below EXACT bytes are classes of their own; larger
-ones are classed by their leading bits, at most 0.1 % apart, and packed at their mean. So at most
+ones are classed by their leading bits, at most 0.1 % apart, and packed at their mean, or at their largest
+where a capacity is given and must hold. So at most
 ``EXACT + 1024 * 64`` class rows reach the driver, whatever the input; groups are assigned by Spark.
 
 A group larger than a whole shard cannot be kept together by any packing with equal capacities. It is cut
-into parts of an eighth of a shard by a hash of the key. At most ``shards`` groups can be that large.
+into parts of an eighth of a shard by a hash of the key; with a given capacity, into its rows. At most ``shards``
+groups can be that large.
 """
 
 from __future__ import annotations
@@ -148,7 +150,7 @@ def assign(
     """``key, size, text_crc32, shard, slot`` of every row.
 
     Give the number of ``shards``, or a ``capacity`` in bytes to use as few shards of that size as best fit
-    finds. The size of a row is its UTF-8 bytes plus 1; a null text counts as empty. Slots number the rows of
+    finds; no shard then holds more, but one whose only row is larger. The size of a row is its UTF-8 bytes plus 1; a null text counts as empty. Slots number the rows of
     a shard from 0 by key; rows with a null key come first, rows that repeat a key get distinct slots in an
     arbitrary order. An empty table gives no rows. Other columns are ignored.
     """
@@ -166,12 +168,16 @@ def assign(
     groups = rows.groupBy("digest", "size").agg((F.count("*") * F.col("size")).alias("bytes")).select("digest", "bytes")
     total = rows.agg(F.sum("size")).first()[0] or 0
     limit = capacity or -(-total // shards) or 1
-    # Fewer than total / limit groups are larger than the limit.
+    # Fewer than total / limit groups are larger than the limit; with a capacity that number grows with the input.
     huge = hand_over(groups.where(F.col("bytes") > limit), "shard-huge")
-    parts = F.broadcast(huge.select("digest", F.ceil(8 * F.col("bytes") / limit).alias("parts")))
-    parted = rows.join(parts, "digest", "left").withColumn(
-        "part", F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("key"), F.col("parts"))).cast("int")
-    )
+    parts = huge.select("digest", F.ceil(8 * F.col("bytes") / limit).alias("parts"))
+    cut = rows.join(parts.hint("merge") if capacity else F.broadcast(parts), "digest", "left")
+    by_key = F.pmod(F.xxhash64("key"), F.col("parts"))
+    if capacity:  # rows of one key, or of a hash, may exceed a part: each row of a huge group is a unit of its own
+        by_key = F.xxhash64("key", F.monotonically_increasing_id())
+    parted = cut.withColumn("part", F.when(F.col("parts").isNull(), F.lit(0)).otherwise(by_key).cast("long"))
+    if capacity:
+        parted = hand_over(parted, "shard-parted")
     units = (
         parted.groupBy("digest", "part")
         .agg(F.sum("size").alias("bytes"))
@@ -180,7 +186,7 @@ def assign(
     numbered = hand_over(number_rows(units, ["class"], ["digest", "part"], "rank"), "shard-units")
     classes = [
         (r["class"], r["mean"], r["n"])
-        for r in numbered.groupBy("class").agg(F.ceil(F.avg("bytes")).alias("mean"), F.count("*").alias("n")).collect()
+        for r in numbered.groupBy("class").agg((F.max("bytes") if capacity else F.ceil(F.avg("bytes"))).alias("mean"), F.count("*").alias("n")).collect()
     ]
     runs = pack(classes, capacity) if capacity else pack_into(classes, shards)
     plan = spark.createDataFrame(

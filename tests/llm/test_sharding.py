@@ -81,7 +81,17 @@ def test_group_larger_than_a_shard_is_spread(documents):
 def test_capacity(documents):
     rows = s.assign(documents(*["x" * n for n in (9, 9, 5, 4, 3, 1)]), shards=None, capacity=16).collect()
     _, load = check(None, rows, 16)
-    assert max(load.values()) <= 20 and sum(load.values()) == 37
+    assert max(load.values()) <= 16 and sum(load.values()) == 37
+
+
+def test_capacity_holds_for_classed_sizes(documents):
+    """Sizes of one class differ; a shard of the largest must not overrun."""
+    docs = documents(*["x" * (70_000 + 13 * n) for n in range(30)], *["y" * 500] * 300, "z" * 400_000)
+    capacity = 210_067
+    rows = s.assign(docs, shards=None, capacity=capacity).collect()
+    _, load = check(None, rows, len(rows))
+    assert sorted(load.values())[-1] == 400_001 and sorted(load.values())[-2] <= capacity
+    assert sum(load.values()) == sum(r["size"] for r in rows) and len(load) <= 17
 
 
 def test_odd_rows(odd):
