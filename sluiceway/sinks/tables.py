@@ -146,17 +146,30 @@ def truncate_table(spark: SparkSession, table: str, partition: dict[str, str | S
             spark.sql(f"TRUNCATE TABLE {table}")
         return
     wanted = {k: {v} if isinstance(v, str) else set(v) for k, v in partition.items()}
-    for found in _partitions_of(spark, table):
-        if any(found[k] not in values for k, values in wanted.items()):
-            continue
+    matching = [p for p in _partitions_of(spark, table) if all(p[k] in values for k, values in wanted.items())]
+    for found in matching:
         where = "PARTITION (" + ", ".join(f"`{k}` = {_quoted(v)}" for k, v in found.items()) + ")"
-        if not external:
+        if external:  # Spark truncates managed tables only
+            _empty_folder(spark, _location(spark, table, where))
+        else:
             spark.sql(f"TRUNCATE TABLE {table} {where}")
-            continue
-        # Spark truncates managed tables only. An overwrite of a partition named in full replaces its rows
-        # whatever the session says about dynamic overwrites.
-        nothing = spark.createDataFrame([], StructType([f for f in spark.table(table).schema if f.name not in found]))
-        spark.sql(f"INSERT OVERWRITE TABLE {table} {where} SELECT * FROM {{nothing}}", nothing=nothing)
+    if external and matching:
+        spark.catalog.refreshTable(table)
+
+
+def _location(spark: SparkSession, table: str, where: str) -> str:
+    """The folder of a partition, as the catalog knows it; it need not lie below that of the table."""
+    told = spark.sql(f"DESCRIBE EXTENDED {table} {where}")
+    return told.where("col_name = 'Location'").select("data_type").first()[0]
+
+
+def _empty_folder(spark: SparkSession, folder: str) -> None:
+    """Delete the files of a folder: calls to the store, no Spark job."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        for entry in fs.listStatus(path):
+            fs.delete(entry.getPath(), True)
 
 
 def drop_table(spark: SparkSession, table: str, purge_data: bool = True) -> None:
