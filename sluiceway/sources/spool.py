@@ -16,6 +16,7 @@ import sys
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from urllib.parse import urlsplit
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -47,7 +48,7 @@ class _Log:
     """The numbered entries of a spool. An entry is a file that is created once, under the first free number."""
 
     def __init__(self, path: str):
-        self.path = path.rstrip("/")
+        self.path = _mounted(path).rstrip("/")
         self.segments, self.entries, self.marks = (f"{self.path}/{name}" for name in ("segments", "log", "subscriptions"))
         for folder in (self.segments, self.entries, self.marks):
             os.makedirs(folder, exist_ok=True)
@@ -145,6 +146,11 @@ def _read(path: str, segment: _Segment) -> Iterator[pa.RecordBatch]:
         yield from stream
 
 
+def _mounted(path: str) -> str:
+    """A path of the file system; ``file:`` in front of it is left out."""
+    return urlsplit(path).path if path.startswith("file:") else path
+
+
 class MessageSpool(DataSource):
     """Options: ``path``; to read, ``subscription``; to write, ``writer`` and, for bounded sets, ``batch``."""
 
@@ -156,16 +162,16 @@ class MessageSpool(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
-        return _Reader(self.options["path"])
+        return _Reader(_mounted(self.options["path"]))
 
     def streamReader(self, schema) -> DataSourceStreamReader:
-        return _StreamReader(self.options["path"], self.options.get("subscription"))
+        return _StreamReader(_mounted(self.options["path"]), self.options.get("subscription"))
 
     def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
-        return _Writer(self.options["path"], self.options.get("writer", "bounded"), self.options.get("batch") or uuid.uuid4().hex)
+        return _Writer(_mounted(self.options["path"]), self.options.get("writer", "bounded"), self.options.get("batch") or uuid.uuid4().hex)
 
     def streamWriter(self, schema, overwrite: bool) -> DataSourceStreamArrowWriter:
-        return _StreamWriter(self.options["path"], self.options.get("writer", "stream"), "")
+        return _StreamWriter(_mounted(self.options["path"]), self.options.get("writer", "stream"), "")
 
 
 class _Reader(DataSourceReader):

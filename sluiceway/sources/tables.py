@@ -35,8 +35,8 @@ def _read_folder(spark: SparkSession, folder: str, wanted: dict[str, str], schem
         if declared is None:
             raise FileNotFoundError(f"{folder} holds no file that tells its columns")
         return spark.createDataFrame([], declared)
-    levels = [level.split("=", 1)[0] for level in sample[sample.rindex(folder) + len(folder) :].split("/") if "=" in level]
-    held = spark.read.parquet(sample).schema if declared is None else declared
+    levels = [level.split("=", 1)[0] for level in sample.split("/")[:-1] if "=" in level]
+    held = spark.read.parquet(folder + sample).schema if declared is None else declared
     named = {f.name for f in held}
     whole = StructType([*held, *(StructField(level, StringType()) for level in levels if level not in named)])
     if file is None:
@@ -48,7 +48,10 @@ def _read_folder(spark: SparkSession, folder: str, wanted: dict[str, str], schem
 
 
 def _first_file(spark: SparkSession, folder: str, wanted: dict[str, str]) -> str | None:
-    """The first file of a folder that lies in the wanted partitions; only one path is walked down where they are named."""
+    """The first file of a folder that lies in the wanted partitions, as its path below the folder.
+
+    Only one path is walked down where the partitions are named.
+    """
     hadoop = spark._jvm.org.apache.hadoop.fs
     fs = hadoop.Path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
@@ -69,8 +72,9 @@ def _first_file(spark: SparkSession, folder: str, wanted: dict[str, str]) -> str
                 return found
         return None
 
-    root = hadoop.Path(folder)
-    return below(root) if fs.exists(root) else None
+    root = fs.makeQualified(hadoop.Path(folder))
+    found = below(root) if fs.exists(root) else None
+    return found and found[len(root.toString()) :]
 
 
 def _escaped(spark: SparkSession, value: str) -> str:

@@ -47,6 +47,7 @@ def test_spool_takes_a_batch_once(spark, box):
     assert held(spark, box) == sorted([("a", "1"), ("b", None), (None, "3"), ("c", "4"), ("c", "4")], key=repr)
     listed = {f for n in os.listdir(f"{box}/log") for f in json.load(open(f"{box}/log/{n}"))["files"]}
     assert set(os.listdir(f"{box}/segments")) == listed  # the repeated batch has left nothing
+    assert held(spark, f"file://{box}") == held(spark, box)
     with pytest.raises(Exception, match="no dot"):
         send(spark, box, [("c", "4")], writer="w.x")
 

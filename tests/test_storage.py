@@ -42,6 +42,7 @@ def test_only_the_wanted_folder_is_listed(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         read_table(spark, f"{tmp_path}/nothing")
     assert rows(read_table(spark, f"{tmp_path}/nothing", schema="v int")) == []
+    assert rows(read_table(spark, f"file://{path}", {"month": "09"})) == [(3, "2021", "09", "c*")]
 
 
 def test_a_job_deletes_its_own_files_only(spark):
