@@ -23,6 +23,11 @@ def test_proof(spark):
     assert "the" in whole and all(len(MODEL.encode(w)) == 1 for w in list(whole)[:500])
 
 
+def test_normaliser_is_read_from_the_file():
+    assert t.normaliser(MODEL.serialized_model_proto()) == t.NO_CHANGE
+    assert t.normaliser(b"\x1a\x06\x12\x02ab\x20\x00") != t.NO_CHANGE and t.normaliser(b"") != t.NO_CHANGE
+
+
 def test_whole_table(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     got = {r.doc_id: (r.n_bytes, r.n_tokens, r.over_limit) for r in t.token_counts(docs, PATH).collect()}
