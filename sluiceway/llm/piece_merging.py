@@ -31,7 +31,7 @@ MARK = "▁"
 USUAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 MERGES = 2
 UNREADABLE = " ⁇ "
-#: Pre-tokens and pairs that a worker remembers, and characters of a text that are cut into pre-tokens at a time.
+#: Pre-tokens (in each of two halves) and pairs that a worker remembers, and characters of a text that are cut into pre-tokens at a time.
 REMEMBERED, STRETCH = 400_000, 1 << 20
 
 
@@ -247,19 +247,24 @@ def _readable(run: bytes) -> str:
 
 
 class _Known(dict):
-    """Packed ids by pre-token; long pre-tokens are not kept, and a full memory starts anew."""
+    """Packed ids by pre-token. Long pre-tokens are not kept; what is full becomes the older half, and what is found there returns."""
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
         self.vocabulary = vocabulary
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, part: str) -> bytes:
-        ids = self.vocabulary.encode_part(part)
-        packed = struct.pack(f"<{len(ids)}I", *ids)
-        if len(part) <= 64:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[part] = packed
+        packed = self.older.get(part)
+        if packed is None:
+            ids = self.vocabulary.encode_part(part)
+            packed = struct.pack(f"<{len(ids)}I", *ids)
+            if len(part) > 64:
+                return packed
+        if len(self) >= REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+        self[part] = packed
         return packed
 
 
