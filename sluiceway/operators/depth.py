@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,13 +10,17 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Range:
-    """Rows with low < value <= high; without a bound the range is open. ``inside`` cuts one heavy value by a second column."""
+    """Rows with low < value <= high; without a bound the range is open. ``inside`` cuts one heavy value by a second column.
+
+    ``cut`` is the quantile that the range lies up to; that of a range in front of a heavy value is the heavy value.
+    """
 
     column: str
     low: object = None
     high: object = None
     inside: Range | None = None
     nulls: bool = False
+    cut: object = field(default=None, compare=False)
 
     def sql(self) -> str:
         """The range as a predicate that databases understand."""
@@ -59,21 +63,21 @@ def depth_ranges(df: DataFrame, column: str, n: int, second: str | None = None,
             # What lies between the cut before and the heavy value is a range without it.
             below = _value(_before(cuts[at]), kind)
             if low is None or below > low:
-                ranges.append(Range(column, low, below))
+                ranges.append(Range(column, low, below, cut=cuts[at]))
                 low = below
         if heavy and second is not None:
             mine = df.where(F.col(column) == F.lit(cuts[at]))
-            ranges += [Range(column, None, cuts[at], r) for r in depth_ranges(mine, second, times, None, accuracy)]
+            ranges += [Range(column, None, cuts[at], r, cut=cuts[at]) for r in depth_ranges(mine, second, times, None, accuracy)]
         else:
-            ranges.append(Range(column, low, cuts[at]))
+            ranges.append(Range(column, low, cuts[at], cut=cuts[at]))
         low = cuts[at]
         at += times
     ranges.append(Range(column, low, None))
     first = ranges[0]
     if first.inside is None:
-        ranges[0] = Range(column, first.low, first.high, None, True)
+        ranges[0] = replace(first, nulls=True)
         return ranges
-    return [Range(column, None, _value(_before(first.high), kind), None, True), *ranges]
+    return [Range(column, None, _value(_before(first.high), kind), None, True, first.cut), *ranges]
 
 
 def _number(column: str, kind) -> Column:

@@ -127,21 +127,11 @@ def equal_depth_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
             seen[r.high] = seen.get(r.high, -1) + 1
             split[i] = seen[r.high]
     heavy = {ranges[i].high for i in split}
-    cut = F.coalesce(*[F.when(F.col("range") == i, F.lit(_cut(ranges, i, heavy))) for i in range(len(ranges))])
-    inside = F.coalesce(
-        *[F.when(F.col("range") == i, F.lit(split.get(i, -1 if _cut(ranges, i, heavy) in heavy else None))) for i in range(len(ranges))]
-    )
+    cut = F.coalesce(*[F.when(F.col("range") == i, F.lit(r.cut)) for i, r in enumerate(ranges)])
+    inside = F.coalesce(*[F.when(F.col("range") == i, F.lit(split.get(i, -1 if r.cut in heavy else None))) for i, r in enumerate(ranges)])
     return numbered.select("l_orderkey", "l_linenumber", cut.isNull().alias("beyond"), cut.cast("bigint").alias("cut"), inside.cast("bigint").alias("inside"))
 
 
-def _cut(ranges: list, i: int, heavy: set) -> int | None:
-    """The cut that a range ends at: its own upper end, or the heavy value that follows it."""
-    r = ranges[i]
-    if r.inside is None and i + 1 < len(ranges) and ranges[i + 1].inside is not None and r.high not in heavy:
-        return ranges[i + 1].high
-    return r.high
-
-
 _BAD = "o_orderkey % 10 = 3"
 
 

@@ -6,7 +6,9 @@ import os
 import random
 import re
 
+import duckdb
 import pytest
+from compare import compare
 from helpers import plan_of, rows
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from sluiceway.functions.text import capture_fields, capture_pattern
 from sluiceway.operators import schema_versions as versions
 from sluiceway.operators import variants
 from sluiceway.operators.depth import depth_ranges, in_ranges
+from sluiceway.plans.registry import load_all
 from sluiceway.sinks.ledger import ChunkLoad, insert_once
 from sluiceway.sources import spool
 from sluiceway.sources.messages import read_messages
@@ -186,6 +189,33 @@ def test_equal_depth_of_types(spark, kind):
     assert len(depth_ranges(df, "v", 1)) == 1
 
 
+def test_equal_depth_tells_the_cut_of_each_range(spark):
+    # 0 is a cut of its own right in front of the heavy 1; nothing lies between them, nor between 4 and the heavy 6 but 5.
+    values = [0] * 10 + [1] * 20 + [4] * 10 + [5] * 3 + [6] * 27 + [7] * 10
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "v bigint, w bigint")
+    ranges = depth_ranges(df, "v", 8, "w", accuracy=100_000)
+    cuts = {r.v: set() for r in df.select("v").distinct().collect()}
+    for row in in_ranges(df, ranges).select("v", "range").distinct().collect():
+        cuts[row.v].add(ranges[row.range].cut)
+    assert cuts == {0: {0}, 1: {1}, 4: {4}, 5: {6}, 6: {6}, 7: {None}}
+    front = [r for r in ranges if r.inside is None and r.cut == 6]
+    assert [(r.low, r.high) for r in front] == [(4, 5)]
+
+
+def test_equal_depth_ranges_with_a_cut_in_front_of_a_heavy_one(spark, tmp_path):
+    # A twelfth of the rows has part 0 and five twelfths part 1000, so 0 is a cut and 1 a heavy cut, with nothing in between.
+    parts = [0, 1000, 1000, 1000, 1000, 1000, 2000, 3000, 4000, 5000, 6000, 7000]
+    lines = spark.range(1200).selectExpr(
+        "id AS l_orderkey", "id % 7 AS l_linenumber", "timestamp_seconds(id * 86400) AS l_shipdate", f"array({', '.join(map(str, parts))})[int(id % 12)] AS l_partkey"
+    )
+    lines.coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet/*.parquet'")
+    registered = load_all()["equal_depth_ranges"]
+    count, diffs = compare(spark, con, registered.run, registered.oracle, str(tmp_path))
+    assert (count, diffs) == (1200, [])
+
+
 def test_typed_rows_and_rejects_are_all_rows(spark):
     data = [("1", "2.5", "2020-01-02", None), ("x", "y", "2020-01-02", "more"), (None, "1", "no", None), ("4", None, None, "more")]
     df = spark.createDataFrame(data, "A string, b string, c string, d string")
