@@ -11,7 +11,7 @@ from sluiceway.operators.columns import drop_missing, fill_zero
 from sluiceway.operators.joins import chain_left, keep_keys, union_families
 from sluiceway.operators.ranking import bounds, sorted_distinct, top_k, top_k_per, value_chunks
 from sluiceway.operators.tumbling import sliding_sum
-from sluiceway.plans.registry import query, table
+from sluiceway.plans.registry import query, table, table_path
 from sluiceway.session import shared_folder
 from sluiceway.sources.messages import read_folder_stream
 from sluiceway.streaming import batches, orders as order_flow
@@ -211,7 +211,7 @@ def case_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "orders").schema.simpleString()[len("struct<") : -1].replace(":", " ")
-    rows = read_folder_stream(spark, sf_dir, schema, pathGlobFilter="orders.parquet")
+    rows = read_folder_stream(spark, table_path(sf_dir, "orders"), schema)
     return order_flow.parse_orders(order_lines(spark, sf_dir, rows))[0]
 
 

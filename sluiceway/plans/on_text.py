@@ -14,7 +14,7 @@ from sluiceway.operators.records import json_field, parse_json, parse_json_list,
 from sluiceway.operators.words import word_count
 from sluiceway.plans import pages as page_jobs
 from sluiceway.plans.history import analyse_history
-from sluiceway.plans.registry import query, table
+from sluiceway.plans.registry import query, table, table_path
 from sluiceway.plans.trades import TRADE_FIELDS, trades
 from sluiceway.session import shared_folder
 from sluiceway.sources.messages import read_folder_stream
@@ -48,7 +48,7 @@ def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR3, STR5, SRT3: the same counts as the state of a stream."""
     folder = shared_folder(spark, "word-count")
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
-    messages = read_folder_stream(spark, sf_dir, schema, pathGlobFilter="documents.parquet")
+    messages = read_folder_stream(spark, table_path(sf_dir, "documents"), schema)
     keep_word_counts(messages, "text", f"{folder}/counts", f"{folder}/checkpoint", LATIN, None).awaitTermination()
     return read_word_counts(spark, f"{folder}/counts", stop_words(spark))
 
@@ -58,7 +58,7 @@ def stream_word_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR3, SRT3: where each word stands in the stored report, most frequent word first."""
     folder = shared_folder(spark, "word-order")
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
-    messages = read_folder_stream(spark, sf_dir, schema, pathGlobFilter="documents.parquet")
+    messages = read_folder_stream(spark, table_path(sf_dir, "documents"), schema)
     keep_word_counts(messages, "text", f"{folder}/counts", f"{folder}/checkpoint", LATIN, None).awaitTermination()
     read_word_counts(spark, f"{folder}/counts", stop_words(spark)).write.parquet(f"{folder}/report")
     return with_position(spark, f"{folder}/report").select("word", "n", "position")
@@ -114,7 +114,7 @@ def stream_message_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR9-10, PRJ13, SRC14: a stream fans out to two tables; the code is that of the batch job."""
     folder = shared_folder(spark, "sensor-tables")
     schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
-    events = read_folder_stream(spark, sf_dir, schema, pathGlobFilter="events.parquet")
+    events = read_folder_stream(spark, table_path(sf_dir, "events"), schema)
     parsed = parse_json(sensor_messages(events), "value", SENSOR_SCHEMA)
     outputs = {
         "position": (["tags", "data.x", "data.y"], batches.to_folder(f"{folder}/position")),
@@ -461,7 +461,7 @@ def stream_cdc_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR11: the newest change per key as stream state, written per batch and read back."""
     folder = shared_folder(spark, "changes")
     schema = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
-    customers = read_folder_stream(spark, sf_dir, schema, pathGlobFilter="customer.parquet")
+    customers = read_folder_stream(spark, table_path(sf_dir, "customer"), schema)
     unwrapped = changes.unwrap_changes(change_messages(customers), ROW_SCHEMA)
     start_latest_changes(unwrapped, ["id"], f"{folder}/out", f"{folder}/checkpoint", interval=None).awaitTermination()
     return read_latest_state(spark, f"{folder}/out", ["id"], ROW_SCHEMA)

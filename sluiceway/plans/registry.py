@@ -31,8 +31,13 @@ def query(oracle: str | None = None) -> Callable[[QueryFunction], QueryFunction]
     return register
 
 
+def table_path(sf_dir: str, name: str) -> str:
+    """Where a table lies: a file, or a folder of files."""
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def load_all() -> dict[str, Query]:

@@ -32,7 +32,12 @@ def read_topic(
 
 
 def read_folder_stream(spark: SparkSession, path: str, schema: str, fmt: str = "parquet", files_per_batch: int | None = None, **options: str) -> DataFrame:
-    """New files of a folder as a stream of typed rows."""
+    """New files of a folder as a stream of typed rows; a path to one file is a stream of that file."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(place)
+    if found and len(found) == 1 and found[0].isFile():
+        # A stream lists folders: that of the file, where all other names are passed over.
+        path, options = str(place.getParent().toString()), {**options, "pathGlobFilter": place.getName()}
     reader = spark.readStream.format(fmt).schema(schema).options(**options)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)

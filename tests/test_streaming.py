@@ -9,6 +9,7 @@ from helpers import rows
 from pyspark.sql import functions as F
 
 from sluiceway.operators.tumbling import sliding_sum
+from sluiceway.plans.registry import load_all
 from sluiceway.sources.messages import read_folder_stream, read_messages
 from sluiceway.streaming import batches, orders, words
 from sluiceway.streaming.generations import Generations
@@ -234,3 +235,19 @@ def test_append_parsed_is_exactly_once(spark, tmp_path):
     for _ in range(2):
         run(batches.append_parsed(order_source(spark, source), f"{tmp_path}/t", f"{tmp_path}/cp", None))
     assert spark.read.parquet(f"{tmp_path}/t").count() == 1
+
+
+@pytest.mark.parametrize("name", ["stream_word_count", "stream_word_order"])
+def test_word_streams_of_a_table_in_several_files(spark, tmp_path, sf_dir, name):
+    spark.read.parquet(f"{sf_dir}/documents.parquet").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    run_query = load_all()[name].run
+    of_file = rows(run_query(spark, sf_dir))
+    assert len(of_file) > 1000 and rows(run_query(spark, str(tmp_path))) == of_file
+
+
+def test_folder_stream_of_one_file_leaves_others(spark, tmp_path):
+    for name in ("a.txt", "b.txt"):
+        write_lines(tmp_path / "in", name, [name])
+    stream = read_folder_stream(spark, f"{tmp_path}/in/a.txt", "value string", "text")
+    run(batches.start(stream, f"{tmp_path}/checkpoint", batches.to_folder(f"{tmp_path}/out"), interval=None))
+    assert rows(spark.read.parquet(f"{tmp_path}/out").select("value")) == [("a.txt",)]
