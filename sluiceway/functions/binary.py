@@ -62,6 +62,23 @@ def with_bits(df, columns: dict[str, tuple[str, int]], align: str = "left"):
     return df.withColumns(new).drop(*columns)
 
 
+def packed_bits(columns: dict[str, tuple[str, int]], align: str = "left") -> Column:
+    """The digits that ``with_bits`` makes columns of, as the bits of one bigint: the first digit of the first column is bit 0."""
+    if align not in ("left", "positional"):
+        raise ValueError(f"align must be 'left' or 'positional', not {align!r}")
+    if sum(count for _, count in columns.values()) > 63:
+        raise ValueError("at most 63 digits fit a bigint without a sign")
+    total, place = F.lit(0).cast("bigint"), 0
+    for source, (_, count) in columns.items():
+        digits = F.bin(_col(source).try_cast("bigint"))
+        if align == "positional":
+            digits = F.lpad(digits, count, "0")
+        number = F.conv(F.reverse(F.substring(digits, 1, count)), 2, 10).cast("bigint")
+        total = total.bitwiseOR(F.shiftleft(F.coalesce(number, F.lit(0)), place))
+        place += count
+    return total
+
+
 def low_part(value: Column | str, base: int = 256) -> Column:
     """Remainder of a packed pair, as int; null for text that is no number."""
     return F.round(_number(value) % base).try_cast("int")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sluiceway.operators import slices
 
-_ROW, _PREVIOUS, _KNOWN = "_row", "_previous", "_known"
+_PREVIOUS, _KNOWN = "_previous_", "_known"
 
 
 def _with_previous(
@@ -33,7 +33,7 @@ def _with_previous(
     summary = slices.summarise(sliced, keys, *aggs)
 
     in_time = slices.over_slices(keys)
-    edge = {_ROW: F.struct(*[F.lag(f"_newest_{c}").over(in_time).alias(c) for c in cols])}
+    edge = {c: F.lag(f"_newest_{c}").over(in_time) for c in cols}
     if known_range:
         whole_key = in_time.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         edge[_KNOWN] = F.struct(
@@ -42,9 +42,9 @@ def _with_previous(
         )
     edges = summary.withColumns(edge).select(*keys, slices.SLICE, *edge)
 
-    rows = slices.with_edges(sliced.withColumn(_ROW, F.struct(*cols)), edges)
+    rows = slices.with_edges(sliced, edges)
     window = slices.in_slice(keys, tiebreak)
-    found = {_PREVIOUS: F.lag(_ROW).over(window)}
+    found = {f"{_PREVIOUS}{c}": F.lag(c).over(window) for c in cols}
     if known_range:
         found[_KNOWN] = F.first(_KNOWN).over(slices.up_to_this(window))
     return rows.withColumns(found).where(F.col(slices.EDGE) == 1)
@@ -69,7 +69,7 @@ def repair_counter(
     def repaired(c: str) -> Column:
         known = F.col(_KNOWN)
         outside = (F.col(c) > known[f"last_{c}"]) | (F.col(c) < known[f"first_{c}"])
-        return F.when(outside, F.col(_PREVIOUS)[c]).otherwise(F.col(c))
+        return F.when(outside, F.col(f"{_PREVIOUS}{c}")).otherwise(F.col(c))
 
     return rows.select(*[repaired(c).alias(c) if c in cols else c for c in df.columns])
 
@@ -81,14 +81,16 @@ def counter_diff(
     time: str,
     tiebreak: Sequence[str] = (),
     slice_width: str = "1 day",
+    keep_slice: bool = False,
 ) -> DataFrame:
     """Replace counters by the growth since the previous reading of the key.
 
-    The first row of a key, and a row next to an unknown reading, keeps the raw value.
+    The first row of a key, and a row next to an unknown reading, keeps the raw value. With ``keep_slice`` the number of
+    the slice stays as a column: rows of one key and slice lie in one task, so grouping by both needs no further shuffle.
     """
     rows = _with_previous(df, cols, keys, time, tiebreak, slice_width, known_range=False)
 
     def growth(c: str) -> Column:
-        return F.coalesce(F.col(c) - F.col(_PREVIOUS)[c], F.col(c))
+        return F.coalesce(F.col(c) - F.col(f"{_PREVIOUS}{c}"), F.col(c))
 
-    return rows.select(*[growth(c).alias(c) if c in cols else c for c in df.columns])
+    return rows.select(*[growth(c).alias(c) if c in cols else c for c in df.columns], *([slices.SLICE] if keep_slice else []))

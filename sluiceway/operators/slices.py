@@ -28,10 +28,9 @@ END_OF_TIME = 2**62
 
 
 def add_slice(df: DataFrame, time: str, width: str) -> DataFrame:
-    """Add the time in microseconds and the number of its slice."""
-    return df.withColumn(TIME, micros(df, time)).withColumn(
-        SLICE, F.expr(f"{TIME} div {duration_micros(width)}")
-    )
+    """Add the time in microseconds and the number of its slice, counted from 1970 in both directions."""
+    size = duration_micros(width)
+    return df.withColumn(TIME, micros(df, time)).withColumn(SLICE, F.expr(f"({TIME} - pmod({TIME}, {size})) div {size}"))
 
 
 def row_order(sliced: DataFrame, tiebreak: Sequence[str]) -> Column:

@@ -109,3 +109,22 @@ def test_stored_mart_equals_the_mart_of_the_same_windows(spark, sf_dir, tmp_path
     assert rows(stored.select(*columns)) == rows(at_once.select(*columns)) != []
     again = mart.stored_mart(spark, folders, families, None, f"{tmp_path}/mart", run_date, tiebreak, "12 hours")
     assert again.count() == at_once.count()  # a repeated run replaces the month
+
+
+def test_packed_flags_give_the_same_windows(spark, sf_dir):
+    raw = on_devices.telemetry_rows(spark, sf_dir)
+    for align in ("left", "positional"):
+        plain = telemetry.ten_minutes(telemetry.decode(raw, align), [])
+        packed = telemetry.ten_minutes(telemetry.decode(raw, align, packed=True), [])
+        assert plain.columns == packed.columns and [f.dataType for f in plain.schema] == [f.dataType for f in packed.schema]
+        assert rows(plain) == rows(packed)
+
+
+def test_windows_are_aggregated_where_their_slices_lie(spark, sf_dir):
+    readings = telemetry.decode(on_devices.telemetry_rows(spark, sf_dir), packed=True).localCheckpoint()
+    # Detail and edge rows once; the summary by slice and then by key.
+    assert plan_of(telemetry.ten_minutes(readings, [], "6 hours")).count("Exchange hashpartitioning") == 3
+    # A slice that is no multiple of the window needs a shuffle of its own, and gives the same rows.
+    odd = telemetry.ten_minutes(readings, [], "15 minutes")
+    assert plan_of(odd).count("Exchange hashpartitioning") == 4
+    assert rows(odd) == rows(telemetry.ten_minutes(readings, [], "6 hours"))
