@@ -378,8 +378,8 @@ def _mart_sql() -> str:
 
 
 def ten_minute_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All ten-minute measures for the mart."""
-    return device_ten_minutes(spark, sf_dir).drop("end")
+    """All ten-minute measures for the mart, handed over because each family reads them."""
+    return mart.hand_over(device_ten_minutes(spark, sf_dir).drop("end"), "mart-readings")
 
 
 @query(_mart_sql())

@@ -128,3 +128,7 @@ def test_windows_are_aggregated_where_their_slices_lie(spark, sf_dir):
     odd = telemetry.ten_minutes(readings, [], "15 minutes")
     assert plan_of(odd).count("Exchange hashpartitioning") == 4
     assert rows(odd) == rows(telemetry.ten_minutes(readings, [], "6 hours"))
+
+
+def test_mart_reads_stored_readings(spark, sf_dir):
+    assert "Window" not in plan_of(on_devices.ten_minute_state(spark, sf_dir))
