@@ -122,10 +122,15 @@ def under_final_schema(changes: DataFrame, versions: DataFrame) -> DataFrame:
 
 
 def latest_rows(changes: DataFrame, versions: DataFrame, table: str, key: str) -> DataFrame:
-    """The current rows of one table, typed as its last schema says; ``key`` is the last name of the key column."""
+    """The current rows of one table, typed as its last schema says; ``key`` is the last name of the key column.
+
+    The newest row is found by sorting, so changes are shuffled by key before and not after it: a task sorts a share of the keys and
+    not all changes of its input, which a small file may unfold into.
+    """
     rows = under_final_schema(changes.where(F.col("source_table") == table), versions)
     newest = F.max_by(F.struct("op", "row"), F.struct("file", "pos")).alias("newest")
-    current = rows.groupBy(F.col("row")[key].alias("_key")).agg(newest).where("newest.op <> 'd'")
+    by_key = rows.select(F.col("row")[key].alias("_key"), "file", "pos", "op", "row").repartition("_key")
+    current = by_key.groupBy("_key").agg(newest).where("newest.op <> 'd'")
     columns = versions.where(F.col("source_table") == table).select("columns").first()[0]
     typed = [(c["names"][-1]["name"], spark_type(c["kind"])) for c in columns if not c["dropped"]]
     return current.select(*[F.col("newest.row")[name].try_cast(kind).alias(name) for name, kind in typed])

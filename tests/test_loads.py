@@ -294,3 +294,15 @@ def test_versions_of_several_tables(spark):
         ("t", "f2", 7): {"c": "6", "a": "new"}, ("u", "f1", 0): {"z": "7"}, ("u", "f1", 1): {"z": "8"}, ("w", "f9", 1): {"a": "9"},
     }
     assert [versions.spark_type(k) for k in ("VARCHAR(3)", "decimal(8, 2)", "INT unsigned", "DATETIME(6)", None)] == ["string", "decimal(8,2)", "int", "timestamp", "string"]
+
+
+def test_latest_rows_shuffle_by_key_before_they_sort(spark):
+    stored = spark.createDataFrame([("t", "log.1", i, "c", {"id": str(i % 5), "v": str(i)}) for i in range(20)], "source_table string, file string, pos bigint, op string, row map<string,string>")
+    none = spark.createDataFrame([], "source_table string, file string, pos bigint, verb string, name string, rest string")
+    known = versions.schema_versions(none, {"t": {"id": "INT", "v": "INT"}})
+    latest = versions.latest_rows(stored, known, "t", "id")
+    assert rows(latest) == sorted([(i, 15 + i) for i in range(5)], key=repr)
+    plan = plan_of(latest)
+    below = plan[plan.index("SortAggregate") :]
+    # Both steps of the aggregate, and their sort, are above the shuffle.
+    assert below.count("SortAggregate", 0, below.index("Exchange hashpartitioning")) == 2
