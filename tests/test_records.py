@@ -4,6 +4,7 @@ import json
 import time
 from html.parser import HTMLParser
 
+import pyarrow as pa
 import pytest
 from helpers import rows
 from hypothesis import given, settings
@@ -268,3 +269,20 @@ def test_bounded_messages(spark, tmp_path):
     df = read_messages(spark, "text", False, path=str(tmp_path))
     assert df.schema["value"].dataType.typeName() == "binary"
     assert rows(records.wrap_text(df)) == [("a",), ("b",)]
+
+
+def test_pages_leave_arrow_a_few_at_a_time():
+    pages = pa.array(["x" * 10, None, "y" * (html.STEP_BYTES + 1), "z"] + ["w"] * 600, pa.string())
+    parts = list(html._steps(pages))
+    assert pa.concat_arrays(parts).equals(pages)
+    sizes = [sum(len(t or "") for t in p.to_pylist()) for p in parts]
+    assert all(len(p) <= html.STEP and (size <= html.STEP_BYTES or len(p) == 1) for p, size in zip(parts, sizes))
+    assert [len(p) for p in html._steps(pa.array([], pa.string()))] == [0]
+
+
+def test_pages_of_many_steps(spark):
+    df = spark.range(3000).selectExpr("id", "CASE WHEN id % 7 <> 0 THEN concat('<b>', id, '</b><b>', repeat('é', int(id % 50)), '</b>') END AS html").coalesce(1)
+    got = html.extract_html(df, "html", html.Element("b"), {"t": html.Element("b")})
+    assert "ArrowEvalPython" in got._jdf.queryExecution().executedPlan().toString()
+    wanted = [(i, t) for i in range(3000) if i % 7 for t in (str(i), "é" * (i % 50))]
+    assert sorted((r.id, r.t) for r in got.collect()) == sorted(wanted)
