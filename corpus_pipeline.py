@@ -22,8 +22,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of texts that share 0.8 of their five-word shingles, the one with the least id."""
-    return near_copies.keep_first(docs, shingle=5, similarity=0.8).select(*COLUMNS)
+    """One document of each component of near copies, the one with the least id.
+
+    Texts link if op2's SimHash links them, or if they share 0.8 of their five-word shingles.
+    """
+    return near_copies.keep_first(docs, shingle=5, similarity=0.8, fingerprinted=True).select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,8 +8,10 @@ those of the others, and these among themselves. Texts of large keys are dealt t
 something to compare meet in a group of bounded size. A group keeps a union-find and gives one link for each two components
 that it joins, so links stay below the rows that went in; no pair is listed, and none is left out.
 
-A SimHash radius does not do this: of two texts of similarity 0.8, fingerprints of 64 bits differ in some 10 bits
-on average and in up to 18, and fields of 64 / 19 bits are keys that everything shares.
+With ``fingerprinted``, op2's SimHash comes first: texts that it puts in one class are linked, whatever their sets share, and
+are not compared again. It finds near copies below the similarity, and alone would miss most of those above: of two texts of
+similarity 0.8, fingerprints of 64 bits differ in some 10 bits on average and in up to 18, and fields of 64 / 19 bits are keys
+that everything shares.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluiceway.llm import simhash
 from sluiceway.llm.common import bytes_of, steps
 from sluiceway.llm.components import components
 from sluiceway.session import hand_over
@@ -60,12 +63,14 @@ def minima(hashes: np.ndarray) -> np.ndarray:
     return low
 
 
-def _marks(shingle: int) -> Callable:
+def _marks(shingle: int, fingerprinted: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         for batch in steps(batches, "_bytes"):
-            sets = [shingles(t, shingle) for t in batch.column("_bytes").to_pylist()]
+            texts = batch.column("_bytes").to_pylist()
+            sets = [shingles(t, shingle) for t in texts]
+            prints = np.array([simhash.fingerprint(t) for t in texts] if fingerprinted else [0] * len(texts), np.uint64)
             lows = [minima(s) for s in sets]
             bands = [
                 xxhash.xxh64_intdigest(low[b * ROWS : (b + 1) * ROWS].tobytes(), b) for low in lows for b in range(BANDS)
@@ -80,8 +85,9 @@ def _marks(shingle: int) -> Callable:
                     ),
                     pa.array([low.astype(np.uint8).tobytes() for low in lows], pa.binary()),
                     pa.array([s.nbytes for s in sets], pa.int64()),
+                    pa.array(prints.view(np.int64)),
                 ],
-                names=["key", "digest", "fp", "bands", "sketch", "size"],
+                names=["key", "digest", "fp", "bands", "sketch", "size", "simhash"],
             )
 
     return run
@@ -154,8 +160,24 @@ def _forest(similarity: float) -> Callable:
     return run
 
 
-def links(distinct: DataFrame, texts: DataFrame, shingle: int, similarity: float, chunk: int = CHUNK) -> DataFrame:
-    """Links ``a, b`` between shingle sets that join all proposed pairs of the similarity.
+def class_links(marked: DataFrame) -> DataFrame:
+    """Links ``a, b`` between the shingle sets of texts in one class of op2: a star for each class of several sets.
+
+    ``marked`` has ``fp`` of the set and ``simhash`` of the text of every row. Classes are those of ``simhash.near_duplicates``.
+    """
+    named = hand_over(marked.select("fp", "simhash").distinct(), "near-fingerprints")
+    linked = simhash.links(hand_over(named.select(F.col("simhash").alias("fp")).distinct(), "near-simhash"))
+    rooted = components(linked).select(F.col("vertex").alias("simhash"), "root")
+    classed = named.join(rooted.hint("merge"), "simhash", "left").select(F.coalesce("root", "simhash").alias("class"), "fp")
+    several = classed.groupBy("class").agg(F.min("fp").alias("a"), F.max("fp").alias("high")).where("a < high")
+    stars = classed.join(several.hint("merge"), "class").where("fp <> a").select("a", F.col("fp").alias("b"))
+    return hand_over(stars.distinct(), "near-classed")
+
+
+def links(
+    distinct: DataFrame, texts: DataFrame, shingle: int, similarity: float, chunk: int = CHUNK, known: DataFrame | None = None
+) -> DataFrame:
+    """Links ``a, b`` between shingle sets that join all proposed pairs of the similarity, and the links ``known`` before.
 
     ``distinct`` has ``fp, at (digest, key), bands, sketch, size`` of every set; ``texts`` has ``key, digest, _bytes``.
     """
@@ -172,6 +194,7 @@ def links(distinct: DataFrame, texts: DataFrame, shingle: int, similarity: float
     left, right = (sets.select(F.col("fp").alias(x), F.col("items").alias(f"items_{x}")) for x in "ab")
     both = stars.join(left.hint("merge"), "a").join(right.hint("merge"), "b").select("a", "b", "items_a", "items_b")
     near = hand_over(both.mapInArrow(_confirm(similarity), "a long, b long"), "near-links")
+    near = near if known is None else near.unionByName(known)
 
     rooted = components(near).select(F.col("vertex").alias("fp"), "root")
     # The least text of a key has been compared with all others of it; they are left.
@@ -212,11 +235,18 @@ def links(distinct: DataFrame, texts: DataFrame, shingle: int, similarity: float
 
 
 def near_copies(
-    docs: DataFrame, shingle: int = 5, similarity: float = 0.8, key: str = "doc_id", text: str = "text", chunk: int = CHUNK
+    docs: DataFrame,
+    shingle: int = 5,
+    similarity: float = 0.8,
+    key: str = "doc_id",
+    text: str = "text",
+    chunk: int = CHUNK,
+    fingerprinted: bool = False,
 ) -> DataFrame:
     """``key, digest, component, component_id`` of every row; component_id is the least key of the component.
 
-    Texts with one and the same set of shingles always link: copies, and all null and wordless texts. Rows with a
+    Texts with one and the same set of shingles always link: copies, and all null and wordless texts. With
+    ``fingerprinted``, texts that ``simhash.near_duplicates`` puts in one component link too. Rows with a
     null key have a component, but name none. ``digest`` is a hash of the text, ``component`` a number of the component that
     also tells components without a key apart. Rows that repeat a key with different texts are rows of their own; an empty
     table gives an empty result. A text is worked on as a whole in one task; its set of hashes takes eight bytes a word.
@@ -224,7 +254,8 @@ def near_copies(
     """
     kind = docs.select(f"`{key}`").schema[0].dataType.simpleString()
     texts = docs.select(F.col(f"`{key}`").alias("key"), _digest(text), bytes_of(f"`{text}`").alias("_bytes"))
-    marks = texts.mapInArrow(_marks(shingle), f"key {kind}, digest long, fp long, bands array<long>, sketch binary, size long")
+    columns = f"key {kind}, digest long, fp long, bands array<long>, sketch binary, size long, simhash long"
+    marks = texts.mapInArrow(_marks(shingle, fingerprinted), columns)
     marked = hand_over(marks, "near-marks")
     distinct = hand_over(
         marked.groupBy("fp").agg(
@@ -236,7 +267,8 @@ def near_copies(
         ),
         "near-distinct",
     )
-    rooted = components(links(distinct, texts, shingle, similarity, chunk)).select(F.col("vertex").alias("fp"), "root")
+    known = class_links(marked) if fingerprinted else None
+    rooted = components(links(distinct, texts, shingle, similarity, chunk, known)).select(F.col("vertex").alias("fp"), "root")
     groups = distinct.select("fp", "low").join(rooted, "fp", "left").withColumn("component", F.coalesce("root", "fp"))
     least = groups.groupBy("component").agg(F.min("low").alias("component_id"))
     classes = groups.join(least, "component").select("fp", "component", "component_id")

@@ -4,9 +4,11 @@ import collections
 import random
 
 import pytest
+from test_simhash import brute_fingerprint
 
 import corpus_pipeline
 from sluiceway.llm import near_copies as n
+from sluiceway.llm import simhash
 
 
 def brute(texts, similarity=0.8):
@@ -127,3 +129,42 @@ def test_one_row_of_each_component_stays(documents):
     kept = n.keep_first(documents((1, a), (1, b), (2, b), (3, c), (1, c), (1, a), (None, "d e"), (None, "d e"), (None, a))).collect()
     assert sorted(r.text for r in kept) == sorted([a, b, c, "d e"])
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept) == [(False, 1)] * 3 + [(True, 0)]
+
+
+def shared_lines(seed=6):
+    """Texts of one long repeated line with endings of their own: alike to op2, and below the similarity as sets."""
+    rng = random.Random(seed)
+    line = " ".join(f"v{rng.randrange(5000)}" for _ in range(30))
+    return {1000 + i: " ".join([line] * 40 + [f"e{rng.randrange(10**6)}" for _ in range(20)]) for i in range(6)}
+
+
+@pytest.mark.parametrize("chunk", [n.CHUNK, 3])
+def test_components_of_both_links_by_brute_force(documents, chunk):
+    texts = families() | shared_lines()
+    low, prints = brute(texts), {i: brute_fingerprint(t) for i, t in texts.items()}
+    assert len({low[i] for i in texts if i >= 1000}) == 6
+    for i in texts:
+        for j in texts:
+            if (prints[i] ^ prints[j]).bit_count() <= 2:
+                a, b = sorted((low[i], low[j]))
+                low = {k: a if v == b else v for k, v in low.items()}
+    assert len({low[i] for i in texts if i >= 1000}) < 6
+    got = {r.doc_id: r.component_id for r in n.near_copies(documents(*texts.items()), chunk=chunk, fingerprinted=True).collect()}
+    assert got == low
+
+
+def test_stage_keeps_one_document_of_each_component_of_op2(spark):
+    """Four pairs of sf0.1 lie within two bits and share less than 0.8 of their shingles; a fifth shares more."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    docs = docs.where(docs.doc_id.isin(3, 212, 385, 4738, 589, 6676, 2528, 5966, 7810, 9829) | (docs.doc_id < 300)).cache()
+    kept = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()}
+    assert kept >= {3, 385, 589, 2528, 7810} and not kept & {212, 4738, 6676, 5966, 9829}
+    of = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
+    assert len({of[i] for i in kept}) == len(kept)
+
+
+def test_odd_rows_with_fingerprints(odd):
+    rows = n.near_copies(odd, fingerprinted=True).collect()
+    assert len(rows) == odd.count() and {r.component_id for r in rows if r.doc_id in (1, 2, 4)} == {1}
+    assert n.near_copies(odd.limit(0), fingerprinted=True).count() == 0
+    assert n.keep_first(odd, fingerprinted=True).count() == 5
