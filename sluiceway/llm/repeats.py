@@ -4,11 +4,15 @@ A window is ``width`` consecutive units (words or bytes) of one document. A unit
 also starts in a document with a smaller key. To find these windows without sorting every position of the
 corpus, equal windows are brought together by anchors:
 
-1. Each window has anchors: those of its k-grams with the least hash. Equal windows have equal anchors,
-   whatever surrounds them, and neighbouring windows mostly share theirs, so few positions are anchors.
-2. Only anchors that occur in two different texts can belong to a shared window; the others are dropped.
-3. The text around each remaining anchor, wide enough for all windows over it, is sent to the shard of that
-   anchor. There the operator's own index finds the windows that started in a smaller document.
+1. Each window has an anchor: the first of its k-grams with the least hash. Equal windows have equal anchors,
+   whatever surrounds them, and neighbouring windows mostly share theirs, so few positions are anchors. The
+   windows of one anchor are a passage.
+2. Only anchors that occur in two different texts can belong to a shared window; the others are dropped. In a
+   large corpus short k-grams of different texts are equal by chance, nearly all of them in the end. So more has
+   to be equal (``Units.sides``): a window reaches half of the rest of its length to the left or to the right of
+   its anchor, and what lies there occurs in two different texts too.
+3. Each remaining passage is sent to the shard of its anchor. There the operator's own index finds the windows
+   that started in a smaller document.
 
 An anchor that so many texts contain that it would make one task slow is split: its windows, cut out one by
 one, are keyed by their content instead. Texts that are equal as a whole are searched once, for the least key;
@@ -17,32 +21,40 @@ in the others everything is shared.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluiceway.llm.common import bytes_of, steps
-from sluiceway.session import hand_over, sweep
+from sluiceway.session import hand_over, own_files, sweep
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes of segments that a shard index is built over at once, and rows of one anchor that stay together.
 SHARD_BYTES, FEWEST_HOT, MOST_TOGETHER = 1 << 20, 2_000, 16_000
+#: Units of one text that are looked at together, as a power of 2: their places take the lowest bits of hashes. Units of short texts.
+PIECE_BITS, TOGETHER = 20, 1 << 16
 
 
 @dataclass(frozen=True)
 class Units:
-    """How an operator sees a text: ``cut`` gives its units, ``codes`` a 64-bit code for each, ``join`` undoes cut."""
+    """How an operator sees a text: ``cut`` gives its units, ``codes`` a 64-bit code for each, ``join`` undoes cut.
+
+    ``width`` is below half a piece. ``sides`` says whether k-grams are so short that passages are told by more.
+    """
 
     width: int
     gram: int
     cut: Callable[[bytes], list[bytes] | bytes]
     codes: Callable[[list[bytes] | bytes], np.ndarray]
     join: Callable[[list[bytes] | bytes], bytes]
+    sides: bool = False
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -59,122 +71,172 @@ def _sliding(values: np.ndarray, span: int, pick: np.ufunc) -> np.ndarray:
     return pick(out[:-rest], out[rest:]) if rest else out
 
 
-def _grams(codes: np.ndarray, k: int) -> np.ndarray:
-    """A polynomial hash of every k consecutive codes, in about log2(k) passes."""
-    done, out, step = 1, codes, ODD
-    whole, size = None, 0  # hash of the first ``size`` codes, for the binary digits of k
-    while True:
-        if k & done:
-            whole, size = (out, done) if whole is None else (whole[: len(codes) - size - done + 1] * step + out[size:], size + done)
-        if 2 * done > k:
-            return whole
-        out, done = out[:-done] * step + out[done:], 2 * done
-        step = np.uint64(int(step) ** 2 & 0xFFFFFFFFFFFFFFFF)
+@functools.cache
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """The powers of ODD, and those of its inverse modulo 2**64."""
+    inverse = np.uint64(pow(int(ODD), -1, 1 << 64))
+    return tuple(np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(1 << PIECE_BITS, x, np.uint64)))) for x in (ODD, inverse))
+
+
+def _sums(codes: np.ndarray) -> np.ndarray:
+    """What ``_hashes`` tells the hashes of all parts of a piece from."""
+    return np.concatenate((np.zeros(1, np.uint64), np.cumsum(codes * _powers()[0][: len(codes)])))
+
+
+def _hashes(sums: np.ndarray, begin: np.ndarray, size: int) -> np.ndarray:
+    """A polynomial hash of the ``size`` codes from each ``begin`` on."""
+    return _mixed((sums[begin + size] - sums[begin]) * _powers()[1][begin])
 
 
 def anchors(codes: np.ndarray, units: Units) -> tuple[np.ndarray, np.ndarray]:
-    """(positions, hashes) of the k-grams that are least in some window; nothing for texts below a window."""
+    """(positions, hashes) of the k-grams that are the first least of some window of a piece; nothing below a window.
+
+    Hashes are compared without their lowest PIECE_BITS, which hold the position here.
+    """
     n, k = len(codes), units.gram
     if n < units.width:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    grams = _mixed(_grams(codes, k))
-    span = units.width - k + 1
-    least = _sliding(grams, span, np.minimum)
-    # A k-gram is the least of a window if the largest of the window minima over it is the k-gram itself.
-    edge = np.zeros(span - 1, np.uint64)
-    largest = _sliding(np.concatenate((edge, least, edge)), span, np.maximum)
-    at = np.flatnonzero(largest == grams)
+    sums = _sums(codes)
+    grams = _mixed((sums[k:] - sums[:-k]) * _powers()[1][: n - k + 1])
+    low = np.uint64((1 << PIECE_BITS) - 1)
+    least = _sliding(grams & ~low | np.arange(n - k + 1, dtype=np.uint64), units.width - k + 1, np.minimum) & low
+    at = least[np.concatenate(([True], least[1:] != least[:-1]))].astype(np.int64)
     return at, grams[at].view(np.int64)
 
 
+def _pieces(cuts: Iterator[list[bytes] | bytes], units: Units) -> Iterator[list[tuple]]:
+    """Lists of (row, offset, cut): short texts several together, long ones in pieces that overlap by less than a window."""
+    held, size, most = [], 0, 1 << PIECE_BITS
+    for row, cut in enumerate(cuts):
+        for offset in range(0, len(cut) - units.width + 1, most - units.width + 1):
+            piece = cut[offset : offset + most]
+            if held and size + len(piece) > min(TOGETHER, most):
+                yield held
+                held, size = [], 0
+            held.append((row, offset, piece))
+            size += len(piece)
+    if held:
+        yield held
+
+
+def passages(cuts: Iterator[list[bytes] | bytes], units: Units) -> Iterator[tuple]:
+    """Some at a time: (pieces, piece, begin, end, anchor, sides) of the passages of texts.
+
+    A passage is the windows of a piece that start from ``begin`` to before ``end`` and have one anchor; each window of a text is
+    in one. A side is the hash of half of a window, the anchor included, and masked where no window of the passage reaches so far.
+    """
+    width, reach, half = units.width, units.width - units.gram, (units.width - units.gram + 1) // 2
+    for pieces in _pieces(cuts, units):
+        codes = [units.codes(piece) for _, _, piece in pieces]
+        until = np.cumsum([len(c) for c in codes])
+        since = until - np.array([len(c) for c in codes])
+        codes = np.concatenate(codes)
+        at, hashes = anchors(codes, units)
+        # The windows of an anchor end where the next one, if less, comes into them, or else where it leaves them itself.
+        rank = hashes.view(np.uint64) >> np.uint64(PIECE_BITS)
+        bounds = np.concatenate(([0], np.where(rank[1:] < rank[:-1], at[1:] - reach, at[:-1] + 1), [len(codes) - width + 1]))
+        piece = np.searchsorted(until, at, side="right")
+        begin, end = np.maximum(bounds[:-1], since[piece]), np.minimum(bounds[1:], until[piece] - width + 1)
+        within = np.flatnonzero(begin < end)  # not windows over two texts
+        at, piece, begin, end = at[within], piece[within], begin[within], end[within]
+        sides = []
+        if units.sides:
+            sums = _sums(codes)
+            for nearest, farthest in ((0, half - 1), (half, reach)):
+                some = (begin <= at - nearest) & (end > at - farthest)
+                same = _hashes(sums, np.where(some, at - nearest, 0), width - farthest + nearest)
+                sides.append(np.ma.array((same >> np.uint64(32)).astype(np.uint32).view(np.int32), mask=~some))
+        yield pieces, piece, begin - since[piece], end - since[piece], hashes[within], sides
+
+
 def _emit_anchors(units: Units):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "_bytes"):
-            reps, found = batch.column(0).to_numpy(zero_copy_only=False), []
-            for text in batch.column(1).to_pylist():
-                found.append(np.unique(anchors(units.codes(units.cut(text)), units)[1]))
-            sizes = [len(f) for f in found]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(found) if found else np.zeros(0, np.int64)), pa.array(np.repeat(reps, sizes))],
-                names=["anchor", "rep"],
-            )
+            reps = batch.column(0).to_numpy(zero_copy_only=False)
+            for pieces, piece, _, _, hashes, sides in passages(map(units.cut, batch.column(1).to_pylist()), units):
+                of = np.array([row for row, _, _ in pieces])[piece]
+                # Once for each text.
+                told = _mixed(hashes.view(np.uint64) + of.astype(np.uint64) * ODD)
+                for side in sides:
+                    told = _mixed(told + side.filled(0).astype(np.uint64) + (side.mask.astype(np.uint64) << np.uint64(40)))
+                one = np.unique(told, return_index=True)[1]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(hashes[one]), pa.array(reps[of[one]]), *(pa.array(x.data[one], mask=x.mask[one]) for x in sides)],
+                    names=["anchor", "rep", *SIDES[: len(sides)]],
+                )
 
     return run
 
 
+SIDES = ["right", "left"]
 _SEGMENT = pa.schema(
     [("anchor", pa.int64()), ("key", pa.int64()), ("digest", pa.int64()), ("begin", pa.int64()), ("segment", pa.binary()), ("hot", pa.bool_())]
 )
 
 
 def _emit_segments(units: Units):
-    """Rows (key, digest, _bytes, anchors, hot) to the surroundings of their shared anchors, or single windows of hot ones."""
+    """Rows (key, digest, _bytes, anchors, hot) to the passages of their shared anchors, or single windows of hot ones."""
+
+    def of_row(anchors: np.ndarray, row: np.ndarray) -> np.ndarray:
+        return _mixed(anchors.view(np.uint64) + row.astype(np.uint64) * ODD)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        reach = units.width - units.gram
-        for batch in batches:
+        for batch in steps(batches, "_bytes"):
             columns = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
             known, hot = (columns[name].flatten().to_numpy(zero_copy_only=False) for name in ("anchors", "hot"))
-            ends = np.cumsum(columns["anchors"].value_lengths().to_numpy())
-            rows, routes, begins, segments, hots = [], [], [], [], []
+            known = of_row(known, np.repeat(np.arange(batch.num_rows), columns["anchors"].value_lengths().to_numpy()))
+            order = np.argsort(known)
+            known, hot = known[order], hot[order]
 
-            def part() -> pa.RecordBatch:
-                of = pa.array(np.concatenate([np.zeros(0, np.int64), *rows]))
+            def part(of: np.ndarray, route: np.ndarray, begin: np.ndarray, segments: list[bytes], warm: bool) -> pa.RecordBatch:
+                whose = pa.array(of)
                 return pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.concatenate([np.zeros(0, np.int64), *routes])),
-                        columns["key"].take(of),
-                        columns["digest"].take(of),
-                        pa.array(np.concatenate([np.zeros(0, np.int64), *begins])),
+                        pa.array(route),
+                        columns["key"].take(whose),
+                        columns["digest"].take(whose),
+                        pa.array(begin),
                         pa.array(segments, pa.binary()),
-                        pa.array(np.concatenate([np.zeros(0, bool), *hots])),
+                        pa.array(np.full(len(of), warm)),
                     ],
                     schema=_SEGMENT,
                 )
 
-            for row in range(batch.num_rows):
-                cut = units.cut(columns["_bytes"][row].as_py())
-                at, hashes = anchors(units.codes(cut), units)
-                span = slice(ends[row - 1] if row else 0, ends[row])
-                order = np.argsort(known[span])
-                mine, is_hot = known[span][order], hot[span][order]
-                place = np.minimum(np.searchsorted(mine, hashes), max(0, len(mine) - 1))
-                shared = np.flatnonzero(mine[place] == hashes) if len(mine) else np.zeros(0, np.int64)
-                begin, end = np.maximum(0, at[shared] - reach), np.minimum(len(cut), at[shared] + units.width)
-                warm = is_hot[place[shared]]
-                cold = ~warm
-                rows.append(np.full(int(cold.sum()), row))
-                routes.append(hashes[shared][cold])
-                begins.append(begin[cold])
-                hots.append(np.zeros(len(rows[-1]), bool))
-                segments += [units.join(cut[b:e]) for b, e in zip(begin[cold].tolist(), end[cold].tolist())]
-                if warm.any():
-                    starts = np.unique(np.concatenate([np.arange(b, e - units.width + 1) for b, e in zip(begin[warm], end[warm])]))
-                    windows = [xxhash.xxh3_128_digest(units.join(cut[b : b + units.width])) for b in starts.tolist()]
-                    rows.append(np.full(len(starts), row))
-                    routes.append(np.array([int.from_bytes(w[:8], "little", signed=True) for w in windows], np.int64))
-                    begins.append(starts)
-                    hots.append(np.ones(len(starts), bool))
-                    segments += windows
-                if len(segments) > 20_000:
-                    yield part()
-                    rows, routes, begins, segments, hots = [], [], [], [], []
-            yield part()
+            texts = map(units.cut, (x.as_py() for x in columns["_bytes"]))
+            for pieces, piece, begin, end, hashes, _ in passages(texts, units):
+                rows, offsets = np.array([p[0] for p in pieces]), np.array([p[1] for p in pieces])
+                told = of_row(hashes, rows[piece])
+                place = np.minimum(np.searchsorted(known, told), len(known) - 1)
+                shared = known[place] == told
+                for warm in (False, True):
+                    mine = np.flatnonzero(shared & (hot[place] == warm))
+                    if not len(mine):
+                        continue
+                    p, b, e = piece[mine], begin[mine], end[mine]
+                    if not warm:
+                        cut = [units.join(pieces[x][2][y:z]) for x, y, z in zip(p.tolist(), b.tolist(), (e + units.width - 1).tolist())]
+                        yield part(rows[p], hashes[mine], offsets[p] + b, cut, False)
+                        continue
+                    sizes = e - b
+                    p, b = np.repeat(p, sizes), np.arange(sizes.sum()) + np.repeat(b - np.cumsum(sizes) + sizes, sizes)
+                    cut = [xxhash.xxh3_128_digest(units.join(pieces[x][2][y : y + units.width])) for x, y in zip(p.tolist(), b.tolist())]
+                    route = np.array([int.from_bytes(w[:8], "little", signed=True) for w in cut], np.int64)
+                    yield part(rows[p], route, offsets[p] + b, cut, True)
 
     return run
 
 
-#: Anchors, keys, segments and their places in the texts, of whole anchors and sorted, to covered ranges (row, begin, end).
-Match = Callable[[np.ndarray, np.ndarray, list[bytes], np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]
+#: Anchors, keys and segments, of whole anchors and sorted, to covered ranges (row, begin, end).
+Match = Callable[[np.ndarray, np.ndarray, list[bytes]], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
 def _by_shard(match: Match):
     """Cut rows sorted by (anchor, key) into shards of whole anchors and match each shard."""
 
     def matched(rows: pa.Table) -> pa.RecordBatch:
-        at, begin, end = match(rows["anchor"].to_numpy(), rows["key"].to_numpy(), rows["segment"].to_pylist(), rows["begin"].to_numpy())
+        at, begin, end = match(rows["anchor"].to_numpy(), rows["key"].to_numpy(), rows["segment"].to_pylist())
         base = rows["begin"].to_numpy()[at]
         return pa.RecordBatch.from_arrays(
             [
@@ -186,6 +248,9 @@ def _by_shard(match: Match):
             names=["key", "digest", "begin", "end"],
         )
 
+    def weight(part: pa.RecordBatch) -> int:
+        return part.num_rows + pc.sum(pc.binary_length(part.column(4))).as_py()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         size = 0
@@ -193,7 +258,7 @@ def _by_shard(match: Match):
             for at in range(0, batch.num_rows, 4096):
                 part = batch.slice(at, 4096)
                 held.append(part)
-                size += part.num_rows * (len(part.column(4)[0].as_py()) + 1)
+                size += weight(part)
                 if size >= SHARD_BYTES:
                     rows = pa.Table.from_batches(held)
                     routes = rows["anchor"].to_numpy()
@@ -202,7 +267,7 @@ def _by_shard(match: Match):
                         yield matched(rows.slice(0, whole))
                         rows = rows.slice(whole)
                     held = rows.to_batches()
-                    size = sum(b.num_rows for b in held) * (len(part.column(4)[0].as_py()) + 1) if whole else 0
+                    size = sum(map(weight, held)) if whole else 0
         if held:
             yield matched(pa.Table.from_batches(held))
 
@@ -229,16 +294,18 @@ def covered(docs: DataFrame, units: Units, match: Match, key: str = "doc_id", te
     firsts = hand_over(rows.groupBy("digest").agg(F.min("key").alias("key"), F.first("rep").alias("rep")), "repeats-firsts")
     copies = rows.join(firsts.select("digest", F.col("key").alias("_first")), "digest").where(F.col("key") > F.col("_first"))
 
-    emitted = keyed.select("rep", "_bytes").mapInArrow(_emit_anchors(units), "anchor long, rep long")
-    same = Window.partitionBy("anchor")
-    shared = hand_over(
-        emitted.withColumns(
-            {"_low": F.min("rep").over(same), "_high": F.max("rep").over(same), "n": F.count("*").over(same)}
-        )
-        .where(F.col("_low") < F.col("_high"))
-        .select("anchor", "rep", "n"),
-        "repeats-anchors",
-    )
+    sides = SIDES if units.sides else []
+    emitted = keyed.select("rep", "_bytes").mapInArrow(_emit_anchors(units), ", ".join(["anchor long, rep long", *(f"{x} int" for x in sides)]))
+
+    def in_two(*by: str) -> Column:
+        same = Window.partitionBy(*by)
+        return F.col(by[-1]).isNotNull() & (F.min("rep").over(same) < F.max("rep").over(same))
+
+    twice = emitted.withColumn("_two", in_two("anchor")).where("_two")
+    if sides:
+        twice = twice.withColumns({f"_{x}": in_two("anchor", x) for x in sides}).where(" or ".join(f"_{x}" for x in sides))
+    # Spark need not sort or deal out again for windows within those of one anchor.
+    shared = hand_over(twice.select("anchor", "rep", F.count("*").over(Window.partitionBy("anchor")).alias("n")), "repeats-anchors")
     sweep(spark)
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     hot_from = min(MOST_TOGETHER, max(FEWEST_HOT, shared.count() // (2 * tasks)))
@@ -319,7 +386,8 @@ def _strip(units: Units):
 
 def remove(docs: DataFrame, units: Units, match: Match, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, n_units, n_removed, spans, kept, kept_sha256`` of every row; kept is the remaining text in bytes."""
-    found = hand_over(covered(docs, units, match, key, text), "repeats-spans").withColumnRenamed("key", "_key")
+    with own_files(docs.sparkSession):
+        found = hand_over(covered(docs, units, match, key, text), "repeats-spans", beyond=True).withColumnRenamed("key", "_key")
     sweep(docs.sparkSession)
     kind = docs.select(key).schema[0].dataType.simpleString()
     body = docs.select(

@@ -1,6 +1,6 @@
 """Repeated word passages by suffix automata of reference shards.
 
-The documents themselves are the reference. A shard holds the surroundings of one anchor in all documents
+The documents themselves are the reference. A shard holds the passages over one anchor in all documents
 that contain it (see ``repeats``), in order of their keys. It is streamed: each document's segments run through
 the shard's suffix automaton for their matching statistics, the length of the longest reference string that
 ends at each word, and only then join it. Wherever the length reaches the threshold, the words back to the
@@ -84,7 +84,7 @@ class SuffixAutomaton:
 
 
 def _match(width: int) -> repeats.Match:
-    def match(anchors: np.ndarray, keys: np.ndarray, segments: list[bytes], begins: np.ndarray):
+    def match(anchors: np.ndarray, keys: np.ndarray, segments: list[bytes]):
         rows, begins, ends = [], [], []
         at, n = 0, len(segments)
         while at < n:

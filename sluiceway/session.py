@@ -12,8 +12,8 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN_FOLDERS: dict[str, str] = {}
-#: The folders of the job at work in this thread.
-_JOB: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("job", default=None)
+#: The folders of the jobs at work in this thread, the innermost last.
+_JOBS: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("jobs", default=())
 
 # The JVM interprets, and never compiles, methods above 8000 bytes of code. Wide projections such as the
 # device decoding reach that in one generated method. A cluster sets the same option for its executors.
@@ -54,17 +54,18 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def hand_over(df: DataFrame, purpose: str) -> DataFrame:
+def hand_over(df: DataFrame, purpose: str, beyond: bool = False) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
     The stages of a long pipeline use this where a later step reads its input more than once, so that the
-    earlier steps run once and a lost executor costs no more than the files it was reading.
+    earlier steps run once and a lost executor costs no more than the files it was reading. ``beyond`` is for what a
+    job leaves to its caller: it belongs to the ``own_files`` block around the innermost one.
     """
     spark = df.sparkSession
     path = shared_folder(spark, purpose)
-    job = _JOB.get()
-    if job is not None:
-        job.append(path)
+    jobs = _JOBS.get()[: -1 if beyond else None]
+    if jobs:
+        jobs[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -89,11 +90,11 @@ def own_files(spark: SparkSession) -> Iterator[list[str]]:
     files of its own; other threads and frames planned before are not touched.
     """
     written: list[str] = []
-    token = _JOB.set(written)
+    token = _JOBS.set((*_JOBS.get(), written))
     try:
         yield written
     finally:
-        _JOB.reset(token)
+        _JOBS.reset(token)
         conf = spark.sparkContext._jsc.hadoopConfiguration()
         for folder in written:
             path = spark._jvm.org.apache.hadoop.fs.Path(folder)

@@ -103,3 +103,50 @@ def test_equal_windows_have_equal_anchors():
             inside = (at >= len(before)) & (at + 7 <= len(before) + 13)
             found.append(set(hashes[inside].tolist()))
         assert found[0] & found[1]
+
+
+def test_chance_repeats_of_short_grams_are_not_sent(documents, monkeypatch):
+    """Texts of long words share nearly all of their k-grams, but hardly ever 33 bytes; one passage is a true repeat."""
+    rng, sent, hand_over = random.Random(11), {}, repeats.hand_over
+
+    def counted(df, purpose, **how):
+        written = hand_over(df, purpose, **how)
+        sent[purpose] = written.count()
+        return written
+
+    monkeypatch.setattr(repeats, "hand_over", counted)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(19)) for _ in range(1000)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(40))) for i in range(100)]
+    rows[9] = (9, f"{rows[9][1]} {rows[4][1][100:190]}")
+    assert result(suffix_dedup.remove_repeats(documents(*rows))) == by_bytes(rows)
+    assert 0 < sent["repeats-segments"] < sum(len(t) for _, t in rows) // 400
+
+
+def test_windows_of_a_text_lie_in_one_passage_each(monkeypatch):
+    rng = random.Random(12)
+    monkeypatch.setattr(repeats, "PIECE_BITS", 7)
+    repeats._powers.cache_clear()
+    units = repeats.Units(20, 8, bytes, suffix_dedup._codes, bytes, sides=True)
+    for _ in range(60):
+        texts = [bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 300))) for _ in range(3)]
+        texts.append(texts[0][rng.randint(0, 30) :] + texts[1])
+        starts, known = [[] for _ in texts], {}
+        for pieces, piece, begin, end, anchor, sides in repeats.passages(iter(texts), units):
+            for i, p in enumerate(piece.tolist()):
+                row, offset, _ = pieces[p]
+                told = {(anchor[i], at, side[i]) for at, side in enumerate(sides) if not side.mask[i]}
+                for at in range(offset + begin[i], offset + end[i]):
+                    starts[row].append(at)
+                    window = texts[row][at : at + 20]
+                    known[window] = known.get(window, told) & told
+                    assert known[window]
+        assert [sorted(x) for x in starts] == [list(range(max(0, len(t) - 19))) for t in texts]
+    repeats._powers.cache_clear()
+
+
+def test_only_the_spans_stay_on_disk(spark, documents, tmp_path, monkeypatch):
+    monkeypatch.setattr("sluiceway.session.shared_folder", lambda _, purpose: str(tmp_path / purpose))
+    same = "one passage of some sixty bytes that two of these documents do hold"
+    docs = documents((1, f"a {same}"), (2, f"b {same}"))
+    assert sorted(r.n_removed for r in suffix_dedup.remove_repeats(docs).collect()) == [0, len(same) + 1]
+    assert [f.name for f in tmp_path.iterdir()] == ["repeats-spans"]
